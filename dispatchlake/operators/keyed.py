@@ -36,12 +36,7 @@ def latest_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFr
 
 def keep_one(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key where copies differ: the greatest of the remaining columns, left to right."""
-    rest = [c for c in rows.columns if c not in keys]
-    return (
-        rows.groupBy(*keys)
-        .agg(F.max(F.struct(*rest)).alias("kept"))
-        .select(*[F.col(c) if c in keys else F.col(f"kept.{c}").alias(c) for c in rows.columns])
-    )
+    return latest_per_key(rows, keys, [c for c in rows.columns if c not in keys])
 
 
 def timeline(rows: DataFrame, key: str, newest_first: list[str]) -> DataFrame:
@@ -88,19 +83,24 @@ def _same_key(left: str, right: str, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}") == F.col(f"{right}.{k}") for k in keys])
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def merge_upsert(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str] | None = None,
+    newest_by: list[str] | None = None,
+) -> DataFrame:
     """The target after ``source`` was merged into it: matched rows updated, others inserted.
 
-    * Source rows that share a key are reduced to one, so a match is never ambiguous.
+    * Source rows that share a key are reduced to one, so a match is never ambiguous: the newest by
+      ``newest_by``, or the greatest row when no order is given.
     * Updates: target left join source. A small source is broadcast and the target is not shuffled.
     * Inserts: source keys found in the target come from a semi join that reads only the target's key
       columns; the source minus those keys is what gets inserted.
     * A null key matches nothing: target rows stay, source rows are inserted.
     """
     keys = keys or primary_key(target.columns)
-    staged = keep_one(align(source, target.columns), keys)
-    rest = [c for c in target.columns if c not in keys]
-
+    aligned = align(source, target.columns)
+    staged = latest_per_key(aligned, keys, newest_by) if newest_by else keep_one(aligned, keys)
     marked = staged.withColumn("_matched", F.lit(True))
     updated = target.alias("t").join(marked.alias("s"), _same_key("t", "s", keys), "left").select(
         *[
@@ -111,10 +111,28 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str] | None =
         ]
     )
     present = target.select(*keys).join(staged.select(*keys), keys, "left_semi").distinct()
-    inserted = staged.join(present, keys, "left_anti").select(*keys, *rest)
+    inserted = staged.join(present, keys, "left_anti")
     return updated.unionByName(inserted)
 
 
+def merge_into_table(source: DataFrame, table: str, keys: list[str], newest_by: list[str]) -> None:
+    """The same merge run by the table itself, for table formats with row-level updates.
+
+    Parquet tables refuse it; they take :func:`merge_upsert` and a new table version.
+    """
+    staged = latest_per_key(source, keys, newest_by).alias("source")
+    values = {c: F.col(f"source.{c}") for c in source.columns}
+    on = reduce(lambda a, b: a & b, [F.col(f"{table}.{k}") == F.col(f"source.{k}") for k in keys])
+    (
+        staged.mergeInto(table, on)
+        .whenMatched()
+        .update({c: v for c, v in values.items() if c not in keys})
+        .whenNotMatched()
+        .insert(values)
+        .merge()
+    )
+
+
 def append(*loads: DataFrame) -> DataFrame:
     """Loads put after each other by column name, copies kept."""
     return reduce(lambda a, b: a.unionByName(b), loads)

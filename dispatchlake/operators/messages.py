@@ -22,16 +22,27 @@ HANDLED_FEEDS = ("orders", "couriers")
 
 
 def decode(records: DataFrame, contract: T.StructType = ANY_MESSAGE, value: str = "value") -> DataFrame:
-    """Records with their JSON value parsed into ``message``; an unreadable value lands in its corrupt field."""
+    """Records with their JSON value parsed into ``message``; an unreadable value lands in its corrupt field.
+
+    The parse goes through a one-element explode: filters on parsed fields then stay above it. Pushed
+    below, each of them would parse the text once more.
+    """
     schema = T.StructType([*contract.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(value, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return records.withColumn("message", parsed)
+    return records.select("*", F.explode(F.array(parsed)).alias("message"))
 
 
 def unreadable() -> Column:
     return F.col("message").isNull() | F.col(f"message.{CORRUPT}").isNotNull()
 
 
+def _corrupt_field(messages: DataFrame) -> list[Column]:
+    """The reason of unreadable values, for messages that came out of :func:`decode`."""
+    if CORRUPT not in messages.schema["message"].dataType.names:
+        return []
+    return [F.when(unreadable(), F.lit("malformed json"))]
+
+
 def split_dead_letters(records: DataFrame, contract: T.StructType = ANY_MESSAGE) -> tuple[DataFrame, DataFrame]:
     """Readable records with their parsed message, and dead letters with the raw value and a reason."""
     parsed = decode(records, contract)
@@ -67,9 +78,10 @@ def envelope(events: DataFrame, payload: list[str], pattern: str = DEFAULT_TOPIC
     )
 
 
-def _missing(required: dict[str, Column]) -> Column:
-    """Name of the first required value that is absent, or null."""
-    return F.coalesce(*[F.when(c.isNull(), F.lit(f"bad or missing {n}")) for n, c in required.items()])
+def _reason(messages: DataFrame, required: dict[str, Column]) -> Column:
+    """Why a message cannot be stored: unreadable, or its first required value that is absent. Else null."""
+    absent = [F.when(c.isNull(), F.lit(f"bad or missing {n}")) for n, c in required.items()]
+    return F.coalesce(*_corrupt_field(messages), *absent)
 
 
 def shape_orders(messages: DataFrame) -> DataFrame:
@@ -92,7 +104,7 @@ def shape_orders(messages: DataFrame) -> DataFrame:
     return messages.select(
         *[shaped[c].alias(c) for c in OPS_ORDERS],
         "offset",
-        _missing({c: shaped[c] for c in required}).alias("reason"),
+        _reason(messages, {c: shaped[c] for c in required}).alias("reason"),
     )
 
 
@@ -108,7 +120,7 @@ def shape_couriers(messages: DataFrame) -> DataFrame:
     return messages.select(
         *[shaped[c].alias(c) for c in OPS_COURIERS],
         "offset",
-        _missing({c: shaped[c] for c in required}).alias("reason"),
+        _reason(messages, {c: shaped[c] for c in required}).alias("reason"),
     )
 
 

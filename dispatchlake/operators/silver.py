@@ -45,21 +45,21 @@ def silver_orders(bronze: DataFrame) -> DataFrame:
     )
 
 
-def order_items(orders: DataFrame, keep_empty: bool = False) -> DataFrame:
+def order_items(orders: DataFrame, keep_empty: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """One typed row per item; orders with a null or empty list give none unless ``keep_empty``.
 
-    Works on a list of structs as well as on a list of string maps.
+    Works on a list of structs as well as on a list of string maps. ``carry`` names further order columns
+    to repeat on each item, such as the days the items table is stored by.
     """
-    carried = [c for c in ("order_id", "event_date") if c in orders.columns]
     entries = (F.explode_outer if keep_empty else F.explode)("items")
-    return orders.select(*carried, entries.alias("item")).select(
+    return orders.select("order_id", *carry, entries.alias("item")).select(
         "order_id",
         F.col("item.item_id").alias("item_id"),
         F.col("item.name").alias("name"),
         F.col("item.quantity").try_cast("int").alias("quantity"),
         to_double(F.col("item.unit_price")).alias("unit_price"),
         to_double(F.col("item.total_price")).alias("total_price"),
-        *carried[1:],
+        *carry,
     )
 
 

@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from dispatchlake.schemas import ADDRESS_PREFIX, MERCHANT_CSV
 
 
-def write_days(df: DataFrame, path: str, day: str = "event_date") -> None:
-    """Replace the days present in ``df``.
+def write_days(df: DataFrame, path: str, *by: str) -> None:
+    """Replace the partitions present in ``df``: by ``event_date`` unless told otherwise.
 
     Rebalancing groups a day's rows into few files, and splits a day that is much larger than the
     advisory size over several tasks, so neither small files nor a hot day pile up.
     """
+    by = by or ("event_date",)
     (
-        df.hint("rebalance", day)
-        .write.partitionBy(day)
+        df.hint("rebalance", *by)
+        .write.partitionBy(*by)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .parquet(path)

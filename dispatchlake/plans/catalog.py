@@ -226,7 +226,7 @@ def silver_orders(spark, sf):
 @query
 def order_items(spark, sf):
     """Items of valid orders, through the whole bronze to silver path."""
-    return silver.order_items(silver.silver_orders(given.bronze_orders_with_items(spark, sf))).drop("event_date")
+    return silver.order_items(silver.silver_orders(given.bronze_orders_with_items(spark, sf)))
 
 
 @query
@@ -365,12 +365,13 @@ def order_timeline(spark, sf):
 def _order_messages(spark, sf):
     """The order feed delivered twice: the second time with its payment completed and later offsets."""
     bronze = given.bronze_orders_with_items(spark, sf).withColumn("courier_id", F.lit(None).cast("string"))
-    first = bronze.withColumn("offset", F.col("event_id").cast("bigint") * 2)
-    again = bronze.withColumn("payment_status", F.lit("completed")).withColumn(
-        "offset", F.col("event_id").cast("bigint") * 2 + 1
+    twice = bronze.withColumn("delivery", F.explode(F.array(F.lit(0), F.lit(1)))).withColumns(
+        {
+            "payment_status": F.when(F.col("delivery") == 1, F.lit("completed")).otherwise(F.col("payment_status")),
+            "offset": F.col("event_id").cast("bigint") * 2 + F.col("delivery"),
+        }
     )
-    fields = F.struct(*ORDER_MESSAGE.names).alias("message")
-    return first.select(fields, "offset").unionByName(again.select(fields, "offset"))
+    return twice.select(F.struct(*ORDER_MESSAGE.names).alias("message"), "offset")
 
 
 @query
@@ -387,8 +388,8 @@ def ops_orders_rejects(spark, sf):
 
 @query
 def ops_courier_upsert(spark, sf):
-    good, _ = messages.split_dead_letters(given.courier_records(_events(spark, sf)), COURIER_MESSAGE)
-    rows = messages.storable(messages.shape_couriers(good))
+    decoded = messages.decode(given.courier_records(_events(spark, sf)), COURIER_MESSAGE)
+    rows = messages.storable(messages.shape_couriers(decoded))
     return keyed.latest_per_key(rows, jobs.KEYS["couriers"], ["offset"])
 
 
@@ -496,7 +497,8 @@ def silver_write_roundtrip(spark, sf):
 def items_write_roundtrip(spark, sf):
     """Silver items written twice, placed by the day of their order, and read back."""
     path = scratch(spark, "silver-items")
-    items = silver.order_items(silver.silver_orders(given.bronze_orders_with_items(spark, sf)))
+    orders = silver.silver_orders(given.bronze_orders_with_items(spark, sf))
+    items = silver.order_items(orders, carry=("event_date",))
     for _ in range(2):
         sinks.write_days(_by_month(items), path, "event_month")
     return spark.read.parquet(path).select(*items.columns)

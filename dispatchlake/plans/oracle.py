@@ -165,7 +165,8 @@ ITEM_JSON = """
 lists AS (
   SELECT k, '[' || string_agg('{"item_id":"' || item_id || '","name":"' || name || '","quantity":' || quantity
       || ',"unit_price":"' || CAST(unit_cents * 0.01::DECIMAL(3,2) AS VARCHAR)
-      || '","total_price":"' || CAST(total_cents * 0.01::DECIMAL(3,2) AS VARCHAR) || '"}', ',' ORDER BY slot) || ']' AS js
+      || '","total_price":"' || CAST(total_cents * 0.01::DECIMAL(3,2) AS VARCHAR) || '"}', ','
+      ORDER BY item_id, name, quantity, CAST(unit_cents * 0.01::DECIMAL(3,2) AS VARCHAR)) || ']' AS js
   FROM items GROUP BY k)"""
 
 ORDER_REASON = """CASE WHEN order_id IS NULL THEN 'bad or missing order_id'

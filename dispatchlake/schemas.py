@@ -150,6 +150,15 @@ FEED_RECORD = T.StructType(
     ]
 )
 
+# The raw landing lake: a record and the partition columns it is stored under.
+LANDED_RECORD = T.StructType(
+    [
+        *FEED_RECORD.fields,
+        T.StructField("ingest_date", T.DateType()),
+        T.StructField("ingest_hour", T.IntegerType()),
+    ]
+)
+
 MERCHANT_CSV = T.StructType(_strings("Name", "Address"))
 
 # Silver orders without the nested item list: the warehouse layout.

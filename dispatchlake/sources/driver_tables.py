@@ -105,28 +105,15 @@ def item_lines(lineitem: DataFrame) -> DataFrame:
 
 
 def item_lists(lineitem: DataFrame) -> DataFrame:
-    """One row per order with its item list in slot order (at most ``ITEM_SLOTS`` entries)."""
-    entry = F.struct(
-        "slot",
+    """One row per order with its sorted item list (at most ``ITEM_SLOTS`` entries)."""
+    item = F.struct(
         F.expr("concat('item_', 1 + (slot + 1) % 5)").alias("item_id"),
         F.expr("concat('Menu Item ', 1 + (slot + 1) % 5)").alias("name"),
         "quantity",
         F.expr("cast(round(try_divide(total, cast(quantity as decimal(18,0))), 2) as string)").alias("unit_price"),
         F.col("total").cast("string").alias("total_price"),
     )
-    return (
-        item_lines(lineitem)
-        .groupBy("l_orderkey")
-        .agg(F.array_sort(F.collect_list(entry)).alias("numbered"))
-        .select(
-            "l_orderkey",
-            F.transform(
-                "numbered",
-                lambda i: F.struct(i.item_id.alias("item_id"), i["name"].alias("name"), i.quantity.alias("quantity"),
-                                   i.unit_price.alias("unit_price"), i.total_price.alias("total_price")),
-            ).alias("items"),
-        )
-    )
+    return item_lines(lineitem).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("items"))
 
 
 def bronze_orders(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
@@ -237,7 +224,7 @@ def feed_records(events: DataFrame) -> DataFrame:
     contract = {
         "orders-raw": F.struct(
             "event_id",
-            _iso(F.col("event_timestamp")).alias("event_timestamp"),
+            _lake_time("event_timestamp").alias("event_timestamp"),
             "order_id",
             "merchant_id",
             "customer_id",
@@ -257,7 +244,9 @@ def feed_records(events: DataFrame) -> DataFrame:
             ).alias("delivery_location"),
             F.lit("1000.00").alias("delivery_fee"),
             (F.col("amount") * 2).cast("string").alias("total_amount"),
-            _iso(F.col("event_timestamp") + F.expr("interval 45 minutes")).alias("estimated_delivery_time"),
+            F.date_format(F.col("event_timestamp") + F.expr("interval 45 minutes"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(
+                "estimated_delivery_time"
+            ),
             F.lit("card").alias("payment_method"),
             F.lit("pending").alias("payment_status"),
         ),

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dispatchlake.functions.keys import DEFAULT_TOPIC_PATTERN, topic_name
-from dispatchlake.schemas import BRONZE_ORDERS, FEED_RECORD, FEEDS
+from dispatchlake.operators import messages
+from dispatchlake.schemas import BRONZE_ORDERS, FEED_RECORD, FEEDS, LANDED_RECORD
 
 
 @dataclass
@@ -87,6 +89,18 @@ def read_bronze_orders(spark: SparkSession, path: str) -> DataFrame:
     return scan(spark, path, BRONZE_ORDERS)
 
 
+def read_lake_orders(spark: SparkSession, path: str, topic: str, ingest_days: list[date] | None = None) -> DataFrame:
+    """Orders out of the raw landing lake, with their ingest day.
+
+    Topic and days are partition columns, so only the folders asked for are listed and read.
+    """
+    raw = spark.read.schema(LANDED_RECORD).parquet(path).filter(F.col("topic") == topic)
+    if ingest_days is not None:
+        raw = raw.filter(F.col("ingest_date").isin(ingest_days))
+    parsed = messages.decode(raw, BRONZE_ORDERS).filter(~messages.unreadable())
+    return parsed.select(*[F.col(f"message.{c}").alias(c) for c in BRONZE_ORDERS.names], "ingest_date")
+
+
 def read_table(
     spark: SparkSession, name: str, source: str | None = None, options: dict[str, str] | None = None
 ) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from dispatchlake.functions.keys import DEFAULT_TOPIC_PATTERN
 from dispatchlake.operators import keyed, messages
 from dispatchlake.schemas import COURIER_MESSAGE, ORDER_MESSAGE
 
@@ -59,7 +60,11 @@ def land_messages(
 
 
 def upsert_state(
-    records: DataFrame, root: str, checkpoint: str, trigger: dict | None = None
+    records: DataFrame,
+    root: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    topic_pattern: str = DEFAULT_TOPIC_PATTERN,
 ) -> StreamingQuery:
     """Order and courier messages into the keyed tables below ``root``; what cannot be stored to dead letters.
 
@@ -68,23 +73,19 @@ def upsert_state(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            route = messages.handler(F.col("topic"))
-            for feed, contract, shape in (
-                ("orders", ORDER_MESSAGE, messages.shape_orders),
-                ("couriers", COURIER_MESSAGE, messages.shape_couriers),
-            ):
-                good, dead = messages.split_dead_letters(batch.filter(route == feed), contract)
-                shaped = shape(good)
+        for feed, contract, shape in (
+            ("orders", ORDER_MESSAGE, messages.shape_orders),
+            ("couriers", COURIER_MESSAGE, messages.shape_couriers),
+        ):
+            mine = batch.filter(messages.handler(F.col("topic"), topic_pattern) == feed)
+            shaped = shape(messages.decode(mine, contract)).persist()
+            try:
                 last = keyed.latest_per_key(messages.storable(shaped), KEYS[feed], ["offset"])
                 _write_batch(last, f"{root}/{feed}", batch_id)
-                refused = messages.rejected(shaped).select("offset", "reason")
-                _write_batch(
-                    dead.select("offset", "reason").unionByName(refused), f"{root}/{feed}_dead_letters", batch_id
-                )
-        finally:
-            batch.unpersist()
+                dead = messages.rejected(shaped).select("offset", "reason")
+                _write_batch(dead, f"{root}/{feed}_dead_letters", batch_id)
+            finally:
+                shaped.unpersist()
 
     return _each_batch(records, write, checkpoint, trigger)
 
