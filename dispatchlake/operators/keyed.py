@@ -44,28 +44,29 @@ def timeline(rows: DataFrame, key: str, newest_first: list[str]) -> DataFrame:
 
     A window over the key alone would put a hot key into one task. Here rows are range-partitioned
     on (key, time, ...), which may cut a key anywhere; the window ranks inside each cut, and the sizes
-    of the key's earlier cuts (at most one row per cut) are added on top. The cut numbers are written
-    down first, because ranking and counting must see the same ones.
+    of the key's earlier cuts are added on top. The cut numbers are written down first, because ranking
+    and counting must see the same ones.
+
+    Only a key that goes on from one cut into the next has earlier rows, and a cut has at most one such
+    key: the table that is broadcast has fewer rows than there are cuts.
     """
     order = [F.desc(c) for c in newest_first]
     cut = settle(
         rows.repartitionByRange(F.col(key), *order).withColumn("_cut", F.spark_partition_id()), "timeline"
     )
     before = W.partitionBy(key).orderBy("_cut").rowsBetween(W.unboundedPreceding, -1)
-    earlier = (
+    continued = (
         cut.groupBy(key, "_cut")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            F.col(key).alias("_key"),
-            F.col("_cut").alias("_of"),
-            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_earlier"),
-        )
+        .select(F.col(key).alias("_key"), F.col("_cut").alias("_of"), F.sum("n").over(before).alias("_earlier"))
+        .filter(F.col("_earlier").isNotNull())
     )
     inside = F.row_number().over(W.partitionBy(key, "_cut").orderBy(*order))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_cut") == F.col("_of"))
     return (
         cut.withColumn("_inside", inside)
-        .join(earlier, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_cut") == F.col("_of")))
-        .select(*rows.columns, (F.col("_inside") + F.col("_earlier")).alias("position"))
+        .join(F.broadcast(continued), same, "left")
+        .select(*rows.columns, (F.col("_inside") + F.coalesce("_earlier", F.lit(0))).alias("position"))
     )
 
 

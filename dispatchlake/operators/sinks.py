@@ -42,8 +42,11 @@ def publish_table(
 
     Parquet tables have no row-level update and cannot be overwritten while they are read, so a merge
     result becomes a new version; readers switch when the view is replaced. Orders and items bucketed
-    on the order id later join without a shuffle.
+    on the order id later join without a shuffle. Rows are shuffled into their buckets first, so a
+    bucket is one sorted file.
     """
+    if bucket_by:
+        df = df.repartition(buckets, *bucket_by)
     writer = df.write.mode("overwrite").format("parquet").option("path", f"{location}/{name}/{version}")
     if bucket_by:
         writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
