@@ -43,12 +43,16 @@ def _corrupt_field(messages: DataFrame) -> list[Column]:
     return [F.when(unreadable(), F.lit("malformed json"))]
 
 
+def split_decoded(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Decoded records as readable ones, and dead letters with the raw value and a reason."""
+    raw = [c for c in decoded.columns if c != "message"]
+    dead = decoded.filter(unreadable()).select(*raw, F.lit("malformed json").alias("reason"))
+    return decoded.filter(~unreadable()), dead
+
+
 def split_dead_letters(records: DataFrame, contract: T.StructType = ANY_MESSAGE) -> tuple[DataFrame, DataFrame]:
-    """Readable records with their parsed message, and dead letters with the raw value and a reason."""
-    parsed = decode(records, contract)
-    good = parsed.filter(~unreadable())
-    dead = parsed.filter(unreadable()).select(*records.columns, F.lit("malformed json").alias("reason"))
-    return good, dead
+    """Raw records decoded and split, see :func:`split_decoded`."""
+    return split_decoded(decode(records, contract))
 
 
 def handler(topic: Column, pattern: str = DEFAULT_TOPIC_PATTERN) -> Column:

@@ -55,6 +55,17 @@ def publish_table(
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {versioned}")
 
 
+def broker_sink_options(bootstrap_servers: str) -> dict[str, str]:
+    """Delivery guarantees of published records: acknowledged by all replicas, three retries."""
+    return {"kafka.bootstrap.servers": bootstrap_servers, "kafka.acks": "all", "kafka.retries": "3"}
+
+
+def publish_records(records: DataFrame, bootstrap_servers: str) -> None:
+    """Records with topic, key and value to a broker (the connector package has to be on the class path)."""
+    sink = records.select("topic", "key", "value").write.format("kafka")
+    sink.options(**broker_sink_options(bootstrap_servers)).save()
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

@@ -66,11 +66,12 @@ def _couriers(spark: SparkSession, sf: str) -> DataFrame:
 
 def _order_history(spark: SparkSession, sf: str) -> DataFrame:
     """Two events per order: placed, then its final status at the promised time."""
-    placed = _orders(spark, sf).select(
-        "order_id", "event_timestamp", "estimated_delivery_time", "order_status", "merchant_id"
-    )
-    return placed.select("order_id", "event_timestamp", F.lit("created").alias("order_status"), "merchant_id").unionByName(
-        placed.select("order_id", F.col("estimated_delivery_time").alias("event_timestamp"), "order_status", "merchant_id")
+    placed = F.struct("event_timestamp", F.lit("created").alias("order_status"))
+    final = F.struct(F.col("estimated_delivery_time").alias("event_timestamp"), "order_status")
+    return (
+        _orders(spark, sf)
+        .select("order_id", "merchant_id", F.explode(F.array(placed, final)).alias("event"))
+        .select("order_id", "event.event_timestamp", "event.order_status", "merchant_id")
     )
 
 

@@ -52,9 +52,13 @@ def land_messages(
     """Readable messages and dead letters to two tables; a bad record never stops the stream."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, dead = messages.split_dead_letters(batch)
-        _write_batch(good, good_path, batch_id)
-        _write_batch(dead, dead_path, batch_id)
+        parsed = messages.decode(batch).persist()
+        try:
+            good, dead = messages.split_decoded(parsed)
+            _write_batch(good, good_path, batch_id)
+            _write_batch(dead, dead_path, batch_id)
+        finally:
+            parsed.unpersist()
 
     return _each_batch(records, write, checkpoint, trigger)
 

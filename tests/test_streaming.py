@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from rows import bronze
 
-from dispatchlake.operators import gold, keyed, messages, silver
+from dispatchlake.operators import gold, keyed, messages, silver, sinks
 from dispatchlake.schemas import BRONZE_ORDERS, COURIER_MESSAGE, FEED_RECORD
 from dispatchlake.sources import driver_tables as given
 from dispatchlake.sources import feeds
@@ -143,3 +143,11 @@ def test_broker_options():
     assert feeds.JobConfig.from_env({"TOPIC_PATTERN": "x.{feed}"}).topics[0] == "x.orders"
     with pytest.raises(ValueError):
         feeds.read_records(None, feeds.JobConfig())
+
+
+def test_publishing_is_acknowledged_by_all():
+    assert sinks.broker_sink_options("b:9092") == {
+        "kafka.bootstrap.servers": "b:9092",
+        "kafka.acks": "all",
+        "kafka.retries": "3",
+    }
