@@ -4,8 +4,9 @@ Each step is a few whole-table jobs; nothing loops over days on the driver. Silv
 day and ingest day: a run replaces only what its own ingest days brought, so late events join their
 event day without touching what earlier runs stored there, and a repeated run changes nothing.
 
-An ingest day counts as done when the whole run succeeded. A run that failed half way is repeated under
-a new version name; every step gives the same result the second time.
+The ledger of done days is the commit point: it names the days and the table version they went into,
+and is written when the whole run has passed its gates. Until then the earlier version stays current. A
+run that failed half way is repeated under a new version name; every step gives the same result again.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from dispatchlake.session import configure
 from dispatchlake.sources import feeds
 
 WAREHOUSE = {"orders": ["order_id"], "order_items": ["order_id", "item_id"]}
+GOLD = ["fulfillment_metrics", "delivery_time_metrics", "order_volume_metrics", "eta_accuracy_metrics"]
 
 
 @dataclass
@@ -52,8 +54,8 @@ class Lake:
         return f"{self.root}/warehouse"
 
     @property
-    def done(self) -> str:
-        return f"{self.root}/done_days"
+    def ledger(self) -> str:
+        return f"{self.root}/ledger"
 
     @property
     def gold(self) -> str:
@@ -88,8 +90,23 @@ def of_days(table: DataFrame, ingest_days: list[date]) -> DataFrame:
     return table.filter(F.col("ingest_date").isin(ingest_days))
 
 
-def done_days(spark: SparkSession, lake: Lake) -> DataFrame:
-    return _stored(spark, lake.done, T.StructType([T.StructField("day", T.DateType())]))
+LEDGER = "day date, version string, finished_at timestamp"
+
+
+def ledger(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Ingest days of finished runs and the table version each went into."""
+    return _stored(spark, lake.ledger, T.StructType.fromDDL(LEDGER))
+
+
+def current_version(spark: SparkSession, lake: Lake) -> str | None:
+    """The version of the last finished run."""
+    return ledger(spark, lake).agg(F.max_by("version", "finished_at")).first()[0]
+
+
+def current_table(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
+    """A warehouse or gold table of the last finished run."""
+    location = lake.warehouse if name in WAREHOUSE else lake.gold
+    return sinks.read_version(spark, name, location, current_version(spark, lake))
 
 
 def pending_ingest_days(spark: SparkSession, lake: Lake, before: date) -> list[date]:
@@ -98,7 +115,7 @@ def pending_ingest_days(spark: SparkSession, lake: Lake, before: date) -> list[d
     landed = spark.read.schema(feeds.LANDED_RECORD).parquet(lake.bronze).filter(
         (F.col("topic") == lake.orders_topic) & (F.col("ingest_date") < F.lit(before))
     )
-    pending = days.pending_days(days.present_days(landed, "ingest_date"), done_days(spark, lake).distinct())
+    pending = days.pending_days(days.present_days(landed, "ingest_date"), ledger(spark, lake).select("day").distinct())
     return [r.day for r in pending.orderBy("day").collect()]
 
 
@@ -128,7 +145,7 @@ def check_silver(spark: SparkSession, lake: Lake, ingest_days: list[date]) -> Da
 
 
 def refresh_warehouse(spark: SparkSession, lake: Lake, version: str, ingest_days: list[date]) -> None:
-    """Merge the silver rows of ``ingest_days`` into the warehouse tables, published as ``version``.
+    """Merge the silver rows of ``ingest_days`` into the current warehouse tables, written as ``version``.
 
     Several events of one order reduce to the newest. Tables are bucketed on the order id, so a later
     orders-items join reads them side by side without a shuffle.
@@ -140,52 +157,58 @@ def refresh_warehouse(spark: SparkSession, lake: Lake, version: str, ingest_days
         "orders": (orders, ["event_timestamp", "event_id"]),
         "order_items": (items, ["event_timestamp", "name", "quantity", "unit_price", "total_price"]),
     }
+    first_run = current_version(spark, lake) is None
     for name, (load, newest_by) in loads.items():
-        target = (
-            feeds.read_table(spark, name) if spark.catalog.tableExists(name) else spark.createDataFrame([], load.schema)
-        )
+        target = spark.createDataFrame([], load.schema) if first_run else current_table(spark, lake, name)
         merged = keyed.merge_upsert(target, load, WAREHOUSE[name], newest_by)
-        sinks.publish_table(spark, merged, name, lake.warehouse, version, ["order_id"], lake.buckets)
+        sinks.write_version(merged, name, lake.warehouse, version, ["order_id"], lake.buckets)
 
 
-def check_warehouse(spark: SparkSession) -> DataFrame:
+def check_warehouse(spark: SparkSession, lake: Lake, version: str) -> DataFrame:
     """No null keys, and every key once."""
 
     def layer(name: str):
         keys = WAREHOUSE[name]
-        rows = spark.table(name).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        table = sinks.read_version(spark, name, lake.warehouse, version)
         no_key = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
-        return rows, {"key repeats": F.col("n") > 1, "key is null": no_key}
+        return (
+            table.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")),
+            {"key repeats": F.col("n") > 1, "key is null": no_key},
+        )
 
     return quality.gate_report({f"warehouse.{name}": layer(name) for name in WAREHOUSE})
 
 
 def refresh_gold(spark: SparkSession, lake: Lake, version: str) -> DataFrame:
-    """All gold tables from one pass over warehouse orders. Returns the daily table they are cut from."""
+    """All gold tables of a version from one pass over its orders. Returns the daily table they are cut from."""
     configure(spark)
-    path = f"{lake.gold}/daily_metrics/{version}"
-    sinks.write_all(gold.daily_metrics(spark.table("orders")), path)
-    daily = spark.read.parquet(path)
+    orders = sinks.read_version(spark, "orders", lake.warehouse, version)
+    sinks.write_version(gold.daily_metrics(orders), "daily_metrics", lake.gold, version)
+    daily = sinks.read_version(spark, "daily_metrics", lake.gold, version)
     for name, table in gold.split_daily(daily).items():
-        sinks.publish_table(spark, table, name, lake.gold, version)
+        sinks.write_version(table, name, lake.gold, version)
     return daily
 
 
 def run(spark: SparkSession, lake: Lake, version: str, before: date | None = None) -> list[date]:
     """One daily run over the landed days before ``before`` (default: today, as that day is still filling).
 
-    A failed gate raises before the next layer is touched. Returns the ingest days done.
+    A failed gate raises before the next layer is written, and leaves the current version in place.
+    Returns the ingest days done.
     """
     configure(spark)
-    todo = pending_ingest_days(spark, lake, before or datetime.now(timezone.utc).date())
+    now = datetime.now(timezone.utc)
+    todo = pending_ingest_days(spark, lake, before or now.date())
     if not todo:
         return todo
     refresh_silver(spark, lake, todo)
     quality.enforce(check_silver(spark, lake, todo))
     refresh_warehouse(spark, lake, version, todo)
-    quality.enforce(check_warehouse(spark))
+    quality.enforce(check_warehouse(spark, lake, version))
     daily = refresh_gold(spark, lake, version)
     dated = daily.filter(F.col("event_date").isNotNull())
     quality.enforce(quality.gate_report({"gold": (dated, quality.gold_checks())}))
-    spark.createDataFrame([(d,) for d in todo], "day date").write.mode("append").parquet(lake.done)
+    spark.createDataFrame([(d, version, now) for d in todo], LEDGER).coalesce(1).write.mode("append").parquet(lake.ledger)
+    for name in (*WAREHOUSE, *GOLD):
+        sinks.switch_view(spark, name, version)
     return todo

@@ -19,16 +19,20 @@ def rows_of(df):
     return sorted(map(str, df.collect()))
 
 
-@pytest.fixture()
-def lake(spark, folder):
-    yield daily.Lake(folder("lake"), buckets=4)
-    for name in ("orders", "order_items", "fulfillment_metrics", "delivery_time_metrics", "order_volume_metrics",
-                 "eta_accuracy_metrics"):
+def forget(spark):
+    """Empty the catalog; files stay."""
+    for name in (*daily.WAREHOUSE, *daily.GOLD, "daily_metrics"):
         spark.sql(f"DROP VIEW IF EXISTS {name}")
         for version in ("v1", "v2", "v3"):
             spark.sql(f"DROP TABLE IF EXISTS {name}_{version}")
 
 
+@pytest.fixture()
+def lake(spark, folder):
+    yield daily.Lake(folder("lake"), buckets=4)
+    forget(spark)
+
+
 def message(order_id, at="2025-02-10 10:00:00.000000", **changes):
     item = {"item_id": "i1", "name": "n", "quantity": 2, "unit_price": "5.0", "total_price": "10.0"}
     return {
@@ -58,6 +62,8 @@ def test_run_repeat_late_and_update(spark, folder, lake):
     assert daily.run(spark, lake, "v2") == []  # nothing pending, nothing changed
     assert rows_of(spark.table("fulfillment_metrics")) == first
 
+    forget(spark)  # a new session with an empty catalog finds the current version by the ledger
+
     # next day: order 2 is delivered, and order 4 arrives late for the day before
     land(spark, folder, lake, datetime(2025, 2, 11, 9),
          message("2", at="2025-02-11 10:00:00.000000", event_id="e9"), message("4"))
@@ -87,7 +93,21 @@ def test_a_failed_gate_leaves_the_day_pending(spark, folder, lake):
     with pytest.raises(quality.QualityGateError, match="quantity <= 0"):
         daily.run(spark, lake, "v1")
     assert daily.pending_ingest_days(spark, lake, date(2025, 3, 1)) == [date(2025, 2, 10)]
-    assert not spark.catalog.tableExists("orders")
+    assert daily.current_version(spark, lake) is None and not spark.catalog.tableExists("orders")
+
+
+def test_a_run_that_dies_late_is_repeated(spark, folder, lake, monkeypatch):
+    land(spark, folder, lake, datetime(2025, 2, 10, 11), message("1"), message("2"))
+    assert daily.run(spark, lake, "v1") == [date(2025, 2, 10)]
+    land(spark, folder, lake, datetime(2025, 2, 11, 11), message("3"))
+    with monkeypatch.context() as broken:
+        broken.setattr(daily, "refresh_gold", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            daily.run(spark, lake, "v2")
+    assert daily.current_version(spark, lake) == "v1" and spark.table("orders").count() == 2
+    assert daily.run(spark, lake, "v3") == [date(2025, 2, 11)]
+    assert daily.current_table(spark, lake, "orders").count() == 3
+    assert spark.table("fulfillment_metrics").first().total_orders == 3
 
 
 def test_run_on_given_tables_equals_direct_reports(spark, folder, lake, sf_dir):
