@@ -29,39 +29,6 @@ def write_all(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_version(
-    df: DataFrame,
-    name: str,
-    location: str,
-    version: str,
-    bucket_by: list[str] | None = None,
-    buckets: int = 200,
-) -> None:
-    """Write ``df`` as a new version of a table: catalog table ``<name>_<version>``, files below ``location``.
-
-    Parquet tables have no row-level update and cannot be overwritten while they are read, so a merge
-    result becomes a new version. Orders and items bucketed on the order id later join without a
-    shuffle. Rows are shuffled into their buckets first, so a bucket is one sorted file.
-    """
-    if bucket_by:
-        df = df.repartition(buckets, *bucket_by)
-    writer = df.write.mode("overwrite").format("parquet").option("path", f"{location}/{name}/{version}")
-    if bucket_by:
-        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
-    writer.saveAsTable(f"{name}_{version}")
-
-
-def read_version(spark: SparkSession, name: str, location: str, version: str) -> DataFrame:
-    """A table version: by the catalog where it knows it (and its buckets), else by its files."""
-    table = f"{name}_{version}"
-    return spark.table(table) if spark.catalog.tableExists(table) else spark.read.parquet(f"{location}/{name}/{version}")
-
-
-def switch_view(spark: SparkSession, name: str, version: str) -> None:
-    """Point the view ``name`` at a version, so that SQL readers move over in one step."""
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {name}_{version}")
-
-
 def broker_sink_options(bootstrap_servers: str) -> dict[str, str]:
     """Delivery guarantees of published records: acknowledged by all replicas, three retries."""
     return {"kafka.bootstrap.servers": bootstrap_servers, "kafka.acks": "all", "kafka.retries": "3"}

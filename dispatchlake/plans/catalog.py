@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from dispatchlake.functions.keys import landing_path
 from dispatchlake.functions.parsing import parse_iso_time, parse_time, to_double, to_float
 from dispatchlake.operators import days, gold, inference, keyed, messages, quality, silver, sinks
+from dispatchlake.operators.daytable import BY_MONTH, DayTable
 from dispatchlake.schemas import (
     BRONZE_ORDERS,
     COURIER_MESSAGE,
@@ -394,9 +395,7 @@ def ops_courier_upsert(spark, sf):
     return keyed.latest_per_key(rows, jobs.KEYS["couriers"], ["offset"])
 
 
-@query
-def merge_orders(spark, sf):
-    """Orders loaded before 1999, merged with a reload of 1997 and later that changes amount and status."""
+def _two_loads(spark, sf):
     orders = _orders(spark, sf).select(
         "order_id", "merchant_id", "customer_id", "order_status", "total_amount", "event_date"
     )
@@ -404,7 +403,24 @@ def merge_orders(spark, sf):
     source = orders.filter(F.col("event_date") >= F.lit("1997-01-01").cast("date")).withColumns(
         {"total_amount": F.col("total_amount") + 100, "order_status": F.lit("delivered")}
     )
-    return keyed.merge_upsert(target, source)
+    return target, source
+
+
+@query
+def merge_orders(spark, sf):
+    """Orders loaded before 1999, merged with a reload of 1997 and later that changes amount and status."""
+    return keyed.merge_upsert(*_two_loads(spark, sf))
+
+
+@query
+def merge_orders_stored(spark, sf):
+    """The same two loads merged one after the other into a stored table (by month), of which the second
+    rewrites the folders it touches."""
+    first, second = _two_loads(spark, sf)
+    table = DayTable(scratch(spark, "orders"), first.schema, ["order_id"], ["event_date", "total_amount"], BY_MONTH)
+    table.merge(spark, first, None, "v1")
+    table.merge(spark, second, "v1", "v2")
+    return table.read(spark, "v2").drop("day")
 
 
 @query

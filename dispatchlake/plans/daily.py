@@ -1,12 +1,13 @@
 """The daily run: bronze to silver, silver into the warehouse, warehouse to gold, with a gate after each.
 
-Each step is a few whole-table jobs; nothing loops over days on the driver. Silver is stored by event
-day and ingest day: a run replaces only what its own ingest days brought, so late events join their
-event day without touching what earlier runs stored there, and a repeated run changes nothing.
-
-The ledger of done days is the commit point: it names the days and the table version they went into,
-and is written when the whole run has passed its gates. Until then the earlier version stays current. A
-run that failed half way is repeated under a new version name; every step gives the same result again.
+Each step is a few whole-table jobs over the days at hand; nothing loops over days on the driver.
+
+* Silver is stored by event day and ingest day. A run replaces only what its own ingest days brought:
+  late events join their event day without touching what earlier runs stored there.
+* The warehouse merge rewrites the event days it touches, and gold is recomputed for those days.
+* The ledger is the commit point: it names the days done and the version they went into, and is written
+  when all gates have passed. Until then the earlier version stays current. A run that failed half way
+  is repeated under a new version name and gives the same result.
 """
 
 from __future__ import annotations
@@ -14,28 +15,32 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dispatchlake.functions.keys import topic_name
-from dispatchlake.operators import days, gold, keyed, quality, silver, sinks
-from dispatchlake.schemas import ITEM, SILVER_ITEMS, SILVER_ORDERS
+from dispatchlake.operators import days, gold, quality, silver, sinks
+from dispatchlake.operators.daytable import DayTable, day_key, read_stored
+from dispatchlake.schemas import ITEM, LANDED_RECORD, SILVER_ITEMS, SILVER_ORDERS
 from dispatchlake.session import configure
 from dispatchlake.sources import feeds
 
-WAREHOUSE = {"orders": ["order_id"], "order_items": ["order_id", "item_id"]}
-GOLD = ["fulfillment_metrics", "delivery_time_metrics", "order_volume_metrics", "eta_accuracy_metrics"]
+GOLD = ["daily_metrics", "fulfillment_metrics", "delivery_time_metrics", "order_volume_metrics", "eta_accuracy_metrics"]
+INGEST_DAY = T.StructField("ingest_date", T.DateType())
+LEDGER = "day date, version string, finished_at timestamp"
+# Items carry the time and day of their order: the one decides which item is newer, the other where it is stored.
+WAREHOUSE_ITEMS = T.StructType(
+    [*SILVER_ITEMS.fields, SILVER_ORDERS["event_timestamp"], SILVER_ORDERS["event_date"]]
+)
 
 
 @dataclass
 class Lake:
-    """Where the layers are stored. Choose ``buckets`` so that a warehouse bucket holds about a gigabyte."""
+    """Where the layers are stored."""
 
     root: str
     orders_topic: str = topic_name("orders")
-    buckets: int = 200
 
     @property
     def bronze(self) -> str:
@@ -49,53 +54,33 @@ class Lake:
     def silver_items(self) -> str:
         return f"{self.root}/silver/order_items"
 
-    @property
-    def warehouse(self) -> str:
-        return f"{self.root}/warehouse"
-
     @property
     def ledger(self) -> str:
         return f"{self.root}/ledger"
 
-    @property
-    def gold(self) -> str:
-        return f"{self.root}/gold"
-
-
-def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A lake table, or an empty frame of its layout before the first run."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
-INGEST_DAY = T.StructField("ingest_date", T.DateType())
-
-
-def silver_orders_table(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Silver orders with their item lists, by event day and ingest day."""
-    items = T.StructField("items", T.ArrayType(ITEM))
-    return _stored(spark, lake.silver_orders, T.StructType([*SILVER_ORDERS.fields, items, INGEST_DAY]))
-
+    def gold(self, name: str, version: str) -> str:
+        return f"{self.root}/gold/{name}/{version}"
 
-def silver_items_table(spark: SparkSession, lake: Lake) -> DataFrame:
-    days_and_time = [SILVER_ORDERS["event_timestamp"], SILVER_ORDERS["event_date"], INGEST_DAY]
-    return _stored(spark, lake.silver_items, T.StructType([*SILVER_ITEMS.fields, *days_and_time]))
-
-
-def of_days(table: DataFrame, ingest_days: list[date]) -> DataFrame:
-    return table.filter(F.col("ingest_date").isin(ingest_days))
-
-
-LEDGER = "day date, version string, finished_at timestamp"
+    @property
+    def warehouse(self) -> dict[str, DayTable]:
+        path = f"{self.root}/warehouse"
+        return {
+            "orders": DayTable(f"{path}/orders", SILVER_ORDERS, ["order_id"], ["event_timestamp", "event_id"]),
+            "order_items": DayTable(
+                f"{path}/order_items",
+                WAREHOUSE_ITEMS,
+                ["order_id", "item_id"],
+                ["event_timestamp", "name", "quantity", "unit_price", "total_price"],
+            ),
+        }
 
 
+# ---------------------------------------------------------------------------
+# what is done and what is current
+# ---------------------------------------------------------------------------
 def ledger(spark: SparkSession, lake: Lake) -> DataFrame:
     """Ingest days of finished runs and the table version each went into."""
-    return _stored(spark, lake.ledger, T.StructType.fromDDL(LEDGER))
+    return read_stored(spark, lake.ledger, T.StructType.fromDDL(LEDGER))
 
 
 def current_version(spark: SparkSession, lake: Lake) -> str | None:
@@ -105,20 +90,38 @@ def current_version(spark: SparkSession, lake: Lake) -> str | None:
 
 def current_table(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     """A warehouse or gold table of the last finished run."""
-    location = lake.warehouse if name in WAREHOUSE else lake.gold
-    return sinks.read_version(spark, name, location, current_version(spark, lake))
+    version = current_version(spark, lake)
+    if name in lake.warehouse:
+        return lake.warehouse[name].read(spark, version).drop("day")
+    return spark.read.parquet(lake.gold(name, version))
 
 
 def pending_ingest_days(spark: SparkSession, lake: Lake, before: date) -> list[date]:
-    """Closed landed days that no run has finished. A list of calendar days: short whatever the data size,
-    and as literals it prunes the bronze partitions."""
-    landed = spark.read.schema(feeds.LANDED_RECORD).parquet(lake.bronze).filter(
+    """Closed landed days that no run has finished: a list of calendar days, short whatever the data size."""
+    landed = spark.read.schema(LANDED_RECORD).parquet(lake.bronze).filter(
         (F.col("topic") == lake.orders_topic) & (F.col("ingest_date") < F.lit(before))
     )
     pending = days.pending_days(days.present_days(landed, "ingest_date"), ledger(spark, lake).select("day").distinct())
     return [r.day for r in pending.orderBy("day").collect()]
 
 
+# ---------------------------------------------------------------------------
+# silver
+# ---------------------------------------------------------------------------
+def silver_orders_table(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Silver orders with their item lists, by event day and ingest day."""
+    items = T.StructField("items", T.ArrayType(ITEM))
+    return read_stored(spark, lake.silver_orders, T.StructType([*SILVER_ORDERS.fields, items, INGEST_DAY]))
+
+
+def silver_items_table(spark: SparkSession, lake: Lake) -> DataFrame:
+    return read_stored(spark, lake.silver_items, T.StructType([*WAREHOUSE_ITEMS.fields, INGEST_DAY]))
+
+
+def of_days(table: DataFrame, ingest_days: list[date]) -> DataFrame:
+    return table.filter(F.col("ingest_date").isin(ingest_days))
+
+
 def refresh_silver(spark: SparkSession, lake: Lake, ingest_days: list[date]) -> None:
     """Clean the given ingest days into silver orders, then cut their items out of what was stored.
 
@@ -144,50 +147,66 @@ def check_silver(spark: SparkSession, lake: Lake, ingest_days: list[date]) -> Da
     )
 
 
-def refresh_warehouse(spark: SparkSession, lake: Lake, version: str, ingest_days: list[date]) -> None:
-    """Merge the silver rows of ``ingest_days`` into the current warehouse tables, written as ``version``.
+# ---------------------------------------------------------------------------
+# warehouse
+# ---------------------------------------------------------------------------
+def refresh_warehouse(spark: SparkSession, lake: Lake, version: str, ingest_days: list[date]) -> dict[str, list[str]]:
+    """Merge the silver rows of ``ingest_days`` into the current tables, stored as ``version``.
 
-    Several events of one order reduce to the newest. Tables are bucketed on the order id, so a later
-    orders-items join reads them side by side without a shuffle.
+    Several events of one order reduce to the newest. Returns the event days touched, per table.
     """
     configure(spark)
-    orders = of_days(silver_orders_table(spark, lake), ingest_days).drop("ingest_date", "items")
-    items = of_days(silver_items_table(spark, lake), ingest_days).drop("ingest_date")
-    loads = {
-        "orders": (orders, ["event_timestamp", "event_id"]),
-        "order_items": (items, ["event_timestamp", "name", "quantity", "unit_price", "total_price"]),
+    current = current_version(spark, lake)
+    loads = {"orders": silver_orders_table(spark, lake), "order_items": silver_items_table(spark, lake)}
+    return {
+        name: lake.warehouse[name].merge(spark, of_days(load, ingest_days), current, version)
+        for name, load in loads.items()
     }
-    first_run = current_version(spark, lake) is None
-    for name, (load, newest_by) in loads.items():
-        target = spark.createDataFrame([], load.schema) if first_run else current_table(spark, lake, name)
-        merged = keyed.merge_upsert(target, load, WAREHOUSE[name], newest_by)
-        sinks.write_version(merged, name, lake.warehouse, version, ["order_id"], lake.buckets)
 
 
-def check_warehouse(spark: SparkSession, lake: Lake, version: str) -> DataFrame:
-    """No null keys, and every key once."""
+def check_warehouse(spark: SparkSession, lake: Lake, version: str, touched: dict[str, list[str]]) -> DataFrame:
+    """No null keys, and every key once, on the days a merge touched."""
 
-    def layer(name: str):
-        keys = WAREHOUSE[name]
-        table = sinks.read_version(spark, name, lake.warehouse, version)
-        no_key = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
+    def layer(table: DayTable, its_days: list[str]):
+        no_key = F.greatest(*[F.col(k).isNull() for k in table.keys], F.lit(False))
         return (
-            table.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")),
+            table.read(spark, version, its_days).groupBy(*table.keys).agg(F.count(F.lit(1)).alias("n")),
             {"key repeats": F.col("n") > 1, "key is null": no_key},
         )
 
-    return quality.gate_report({f"warehouse.{name}": layer(name) for name in WAREHOUSE})
+    return quality.gate_report({f"warehouse.{n}": layer(lake.warehouse[n], d) for n, d in touched.items()})
 
 
-def refresh_gold(spark: SparkSession, lake: Lake, version: str) -> DataFrame:
-    """All gold tables of a version from one pass over its orders. Returns the daily table they are cut from."""
+# ---------------------------------------------------------------------------
+# gold
+# ---------------------------------------------------------------------------
+def refresh_gold(spark: SparkSession, lake: Lake, version: str, touched_days: list[str]) -> DataFrame:
+    """Gold tables of a version: touched days in one pass over their orders, other days from the current
+    version. Returns the daily table the others are cut from."""
     configure(spark)
-    orders = sinks.read_version(spark, "orders", lake.warehouse, version)
-    sinks.write_version(gold.daily_metrics(orders), "daily_metrics", lake.gold, version)
-    daily = sinks.read_version(spark, "daily_metrics", lake.gold, version)
-    for name, table in gold.split_daily(daily).items():
-        sinks.write_version(table, name, lake.gold, version)
-    return daily
+    current = current_version(spark, lake)
+    daily = gold.daily_metrics(lake.warehouse["orders"].read(spark, version, touched_days))
+    if current is not None:
+        earlier = spark.read.parquet(lake.gold("daily_metrics", current))
+        daily = daily.unionByName(earlier.filter(~day_key().isin(touched_days)))
+    sinks.write_all(daily.coalesce(1), lake.gold("daily_metrics", version))
+    stored = spark.read.parquet(lake.gold("daily_metrics", version))
+    for name, table in gold.split_daily(stored).items():
+        sinks.write_all(table, lake.gold(name, version))
+    return stored
+
+
+def check_gold(daily: DataFrame) -> DataFrame:
+    """Gate over all days; orders without a readable time have none and are left to the silver report."""
+    return quality.gate_report({"gold": (daily.filter(F.col("event_date").isNotNull()), quality.gold_checks())})
+
+
+def publish_views(spark: SparkSession, lake: Lake, version: str) -> None:
+    """Move SQL readers to a version."""
+    for name, table in lake.warehouse.items():
+        table.create_view(spark, name, version)
+    for name in GOLD:
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{lake.gold(name, version)}`")
 
 
 def run(spark: SparkSession, lake: Lake, version: str, before: date | None = None) -> list[date]:
@@ -203,12 +222,10 @@ def run(spark: SparkSession, lake: Lake, version: str, before: date | None = Non
         return todo
     refresh_silver(spark, lake, todo)
     quality.enforce(check_silver(spark, lake, todo))
-    refresh_warehouse(spark, lake, version, todo)
-    quality.enforce(check_warehouse(spark, lake, version))
-    daily = refresh_gold(spark, lake, version)
-    dated = daily.filter(F.col("event_date").isNotNull())
-    quality.enforce(quality.gate_report({"gold": (dated, quality.gold_checks())}))
-    spark.createDataFrame([(d, version, now) for d in todo], LEDGER).coalesce(1).write.mode("append").parquet(lake.ledger)
-    for name in (*WAREHOUSE, *GOLD):
-        sinks.switch_view(spark, name, version)
+    touched = refresh_warehouse(spark, lake, version, todo)
+    quality.enforce(check_warehouse(spark, lake, version, touched))
+    quality.enforce(check_gold(refresh_gold(spark, lake, version, touched["orders"])))
+    done = spark.createDataFrame([(d, version, now) for d in todo], LEDGER)
+    done.coalesce(1).write.mode("append").parquet(lake.ledger)
+    publish_views(spark, lake, version)
     return todo

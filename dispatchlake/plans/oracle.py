@@ -452,4 +452,5 @@ def sql() -> dict[str, str]:
             ]
         ),
     }
+    q["merge_orders_stored"] = q["merge_orders"]
     return q

@@ -21,15 +21,13 @@ def rows_of(df):
 
 def forget(spark):
     """Empty the catalog; files stay."""
-    for name in (*daily.WAREHOUSE, *daily.GOLD, "daily_metrics"):
+    for name in ("orders", "order_items", *daily.GOLD):
         spark.sql(f"DROP VIEW IF EXISTS {name}")
-        for version in ("v1", "v2", "v3"):
-            spark.sql(f"DROP TABLE IF EXISTS {name}_{version}")
 
 
 @pytest.fixture()
 def lake(spark, folder):
-    yield daily.Lake(folder("lake"), buckets=4)
+    yield daily.Lake(folder("lake"))
     forget(spark)
 
 
@@ -118,13 +116,31 @@ def test_run_on_given_tables_equals_direct_reports(spark, folder, lake, sf_dir):
     orders = spark.table("orders")
     assert orders.count() == records.filter(F.col("topic") == "orders-raw").count()
     assert rows_of(spark.table("order_volume_metrics")) == rows_of(gold.order_volume(orders))
-    joined = gold.orders_with_items(orders.select("order_id", "total_amount"), spark.table("order_items"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "Exchange" not in plan  # buckets line up
+
+
+def test_a_merge_rewrites_touched_days_only(spark, folder, lake):
+    day = "2025-02-{} 10:00:00.000000"
+    land(spark, folder, lake, datetime(2025, 2, 12, 11), *[message(str(i), at=day.format(10 + i % 2)) for i in range(4)],
+         message("9", at=day.format(13)), message("8", at="soon"))
+    daily.run(spark, lake, "v1")
+    orders = lake.warehouse["orders"]
+    assert orders.live(spark, "v1") == {d: "v1" for d in ("2025-02-10", "2025-02-11", "2025-02-13", "none")}
+    # order 9 moves to the 10th, which leaves the 13th empty; the 11th and the rows without a day are not touched
+    land(spark, folder, lake, datetime(2025, 2, 14, 11), message("9", at=day.format(10), event_id="z"))
+    daily.run(spark, lake, "v2")
+    assert orders.live(spark, "v2") == {"2025-02-10": "v2", "2025-02-11": "v1", "none": "v1"}
+    got = {r.order_id: str(r.event_date) for r in daily.current_table(spark, lake, "orders").collect()}
+    assert got == {"0": "2025-02-10", "1": "2025-02-11", "2": "2025-02-10", "3": "2025-02-11", "9": "2025-02-10",
+                   "8": "None"}
+    assert rows_of(spark.table("orders")) == rows_of(daily.current_table(spark, lake, "orders"))
+    totals = {str(r.event_date): r.total_orders for r in spark.table("fulfillment_metrics").collect()}
+    assert totals == {"2025-02-10": 3, "2025-02-11": 2, "None": 1}
+    assert rows_of(spark.table("daily_metrics")) == rows_of(gold.daily_metrics(spark.table("orders")))
+    assert orders.read(spark, "v1").filter("order_id = '9'").first().day == "2025-02-13"  # v1 can still be read
+    plan = orders.read(spark, "v2", ["2025-02-10"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "version#" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    with pytest.raises(ValueError, match="used before"):
+        orders.merge(spark, daily.silver_orders_table(spark, lake), "v2", "v2")
 
 
 def test_days_are_replaced_not_added(spark, folder):
