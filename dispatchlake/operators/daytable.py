@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dispatchlake.operators.keyed import align, latest_per_key, merge_upsert
+from dispatchlake.operators.keyed import align, latest_per_key, merge_staged
 from dispatchlake.operators.sinks import write_days
 from dispatchlake.session import settle
 
@@ -87,7 +87,7 @@ class DayTable:
         found = held.join(staged.select(*self.keys), self.keys, "left_semi")
         touched = [r[DAY] for r in staged.select(DAY).union(found.select(DAY)).distinct().collect()]
 
-        merged = merge_upsert(self.read(spark, current, touched), staged, self.keys, self.newest_by)
+        merged = merge_staged(self.read(spark, current, touched), staged, self.keys)
         write_days(merged.withColumn(VERSION, F.lit(version)), self.data, DAY, VERSION)
         written = self._folders(spark).filter(F.col(VERSION) == version).select(DAY).distinct()
         kept = {d: v for d, v in self.live(spark, current).items() if d not in touched}

@@ -92,16 +92,23 @@ def merge_upsert(
 ) -> DataFrame:
     """The target after ``source`` was merged into it: matched rows updated, others inserted.
 
-    * Source rows that share a key are reduced to one, so a match is never ambiguous: the newest by
-      ``newest_by``, or the greatest row when no order is given.
+    Source rows that share a key are first reduced to one, so a match is never ambiguous: the newest by
+    ``newest_by``, or the greatest row when no order is given.
+    """
+    keys = keys or primary_key(target.columns)
+    aligned = align(source, target.columns)
+    staged = latest_per_key(aligned, keys, newest_by) if newest_by else keep_one(aligned, keys)
+    return merge_staged(target, staged, keys)
+
+
+def merge_staged(target: DataFrame, staged: DataFrame, keys: list[str]) -> DataFrame:
+    """:func:`merge_upsert` for a source that has the target's columns and every key once.
+
     * Updates: target left join source. A small source is broadcast and the target is not shuffled.
     * Inserts: source keys found in the target come from a semi join that reads only the target's key
       columns; the source minus those keys is what gets inserted.
     * A null key matches nothing: target rows stay, source rows are inserted.
     """
-    keys = keys or primary_key(target.columns)
-    aligned = align(source, target.columns)
-    staged = latest_per_key(aligned, keys, newest_by) if newest_by else keep_one(aligned, keys)
     marked = staged.withColumn("_matched", F.lit(True))
     updated = target.alias("t").join(marked.alias("s"), _same_key("t", "s", keys), "left").select(
         *[
