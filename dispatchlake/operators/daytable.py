@@ -98,13 +98,14 @@ class DayTable:
 
     def create_view(self, spark: SparkSession, name: str, version: str) -> None:
         """Point the view ``name`` at a table version, so that SQL readers move over in one step."""
-        by_version = _by_version(self.live(spark, version))
-        where = " OR ".join(
+        folders = [
             f"(`{VERSION}` = '{v}' AND string(`{DAY}`) IN ({', '.join(repr(d) for d in days)}))"
-            for v, days in by_version.items()
-        )
+            for v, days in _by_version(self.live(spark, version)).items()
+        ]
         columns = ", ".join(f"`{c}`" for c in self.schema.names)
-        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{self.data}` WHERE {where or 'false'}")
+        rows = f"SELECT {columns} FROM parquet.`{self.data}` WHERE {' OR '.join(folders)}"
+        none = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in self.schema)
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS {rows if folders else f'SELECT {none} WHERE false'}")
 
 
 def _by_version(live: dict[str, str]) -> dict[str, list[str]]:

@@ -149,3 +149,8 @@ def append(*loads: DataFrame) -> DataFrame:
 def point_lookup(rows: DataFrame, key: str, value: object) -> DataFrame:
     """Rows of one key; on a stored table the comparison reaches the file scan."""
     return rows.filter(F.col(key) == F.lit(value))
+
+
+def key_timeline(rows: DataFrame, key: str, value: object, newest_first: list[str]) -> DataFrame:
+    """One key's rows, newest first: the read a keyed table serves. Ranks no other key."""
+    return point_lookup(rows, key, value).orderBy(*[F.desc(c) for c in newest_first])

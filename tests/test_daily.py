@@ -78,6 +78,15 @@ def test_a_repeated_silver_refresh_changes_nothing(spark, folder, lake):
     assert daily.silver_orders_table(spark, lake).count() == 2
 
 
+def test_a_first_day_without_valid_orders(spark, folder, lake):
+    land(spark, folder, lake, datetime(2025, 2, 10, 11), message("1", total_amount="0"), "{torn")
+    assert daily.run(spark, lake, "v1") == [date(2025, 2, 10)]
+    assert spark.table("orders").count() == 0 and spark.table("fulfillment_metrics").count() == 0
+    land(spark, folder, lake, datetime(2025, 2, 11, 11), message("1"))
+    assert daily.run(spark, lake, "v2") == [date(2025, 2, 11)]
+    assert spark.table("orders").count() == 1
+
+
 def test_the_filling_day_waits(spark, folder, lake):
     land(spark, folder, lake, datetime(2025, 2, 10, 11), message("1"))
     assert daily.run(spark, lake, "v1", before=date(2025, 2, 10)) == []

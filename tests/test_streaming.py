@@ -72,6 +72,11 @@ def test_state_equals_batch_upsert(spark, records, folder, sf_dir):
     assert rows_of(state.select(*expected.columns)) == rows_of(expected)
     refused = spark.read.parquet(folder("state") + "/couriers_dead_letters")
     assert refused.count() == messages.rejected(shaped).count() > 0
+    one = keyed.key_timeline(state, "courier_id", "3", ["event_timestamp"])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(courier_id,3)" in plan  # a key read prunes increments at the scan
+    times = [r.event_timestamp for r in one.collect()]
+    assert times == sorted(times, reverse=True) and len(times) == expected.filter("courier_id = '3'").count() > 1
     jobs.compact_state(spark, folder("state"), "couriers", folder("compact"))
     assert rows_of(jobs.read_state(spark, folder("compact"), "couriers").select(*expected.columns)) == rows_of(expected)
 
