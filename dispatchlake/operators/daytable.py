@@ -4,14 +4,13 @@ Files are at ``data/day=<day>/version=<version>``; rows without a day are under
 ``live/<version>`` lists for every day which version of it is read. A merge adds new folders and a new
 list, and never changes a folder someone may be reading; the caller makes the new list current.
 
-Day lists come to the driver: one entry per calendar day whatever the data size. As literals they prune
-the folders that are listed and read.
+Day lists come to the driver: one entry per calendar day whatever the data size. Only the folders they
+name are listed and read. Folders that no list in use names can be removed at any time.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,14 +33,16 @@ def day_key(period: str = BY_DAY) -> Column:
     return F.coalesce(F.date_format("event_date", period), F.lit("none"))
 
 
-def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A lake table under its declared schema, or an empty frame before anything was written."""
+def read_stored(spark: SparkSession, schema: T.StructType, *paths: str, base: str | None = None) -> DataFrame:
+    """Stored files under their declared schema, or an empty frame where nothing was written yet."""
+    reader = spark.read.schema(schema)
     try:
-        return spark.read.schema(schema).parquet(path)
+        if paths:
+            return (reader.option("basePath", base) if base else reader).parquet(*paths)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 @dataclass(frozen=True)
@@ -64,14 +65,18 @@ class DayTable:
             return {}
         return {r[DAY]: r[VERSION] for r in spark.read.parquet(f"{self.root}/live/{version}").collect()}
 
-    def _folders(self, spark: SparkSession) -> DataFrame:
-        return read_stored(spark, self.data, T.StructType([*self.schema.fields, *FOLDERS]))
+    def _read_folders(self, spark: SparkSession, *paths: str) -> DataFrame:
+        return read_stored(spark, T.StructType([*self.schema.fields, *FOLDERS]), *paths, base=self.data)
+
+    def _of_version(self, spark: SparkSession, version: str) -> DataFrame:
+        return self._read_folders(spark, f"{self.data}/{DAY}=*/{VERSION}={version}")
 
     def read(self, spark: SparkSession, version: str | None, days: list[str] | None = None) -> DataFrame:
-        """Rows of a table version with their day, of all days or of the given ones."""
+        """Rows of a table version with their day, of all days or of the given ones. Lists only their folders."""
         live = self.live(spark, version)
-        chosen = live if days is None else {d: live[d] for d in days if d in live}
-        return self._folders(spark).filter(_in_folders(chosen)).drop(VERSION)
+        chosen = sorted(live) if days is None else sorted(live.keys() & set(days))
+        folders = [f"{self.data}/{DAY}={d}/{VERSION}={live[d]}" for d in chosen]
+        return self._read_folders(spark, *folders).drop(VERSION)
 
     def merge(self, spark: SparkSession, source: DataFrame, current: str | None, version: str) -> list[str]:
         """Merge ``source`` into the ``current`` version, stored as ``version``. Returns the days touched.
@@ -79,7 +84,7 @@ class DayTable:
         Days are touched by rows that arrive and by stored rows of the same keys, which may lie on other
         days. Finding the latter reads the key columns only.
         """
-        if not self._folders(spark).filter(F.col(VERSION) == version).isEmpty():
+        if not self._of_version(spark, version).isEmpty():
             raise ValueError(f"version {version} of {self.root} was used before")
         newest = latest_per_key(align(source, self.schema.names), self.keys, self.newest_by)
         staged = settle(newest.withColumn(DAY, day_key(self.period)), "staged")
@@ -89,7 +94,7 @@ class DayTable:
 
         merged = merge_staged(self.read(spark, current, touched), staged, self.keys)
         write_days(merged.withColumn(VERSION, F.lit(version)), self.data, DAY, VERSION)
-        written = self._folders(spark).filter(F.col(VERSION) == version).select(DAY).distinct()
+        written = self._of_version(spark, version).select(DAY).distinct()
         kept = {d: v for d, v in self.live(spark, current).items() if d not in touched}
         live = {**kept, **{r[DAY]: version for r in written.collect()}}
         lists = spark.createDataFrame(list(live.items()), T.StructType(FOLDERS)).coalesce(1)
@@ -113,8 +118,3 @@ def _by_version(live: dict[str, str]) -> dict[str, list[str]]:
     for day, version in sorted(live.items()):
         versions.setdefault(version, []).append(day)
     return versions
-
-
-def _in_folders(live: dict[str, str]) -> Column:
-    parts = [(F.col(VERSION) == v) & F.col(DAY).isin(days) for v, days in _by_version(live).items()]
-    return reduce(lambda a, b: a | b, parts, F.lit(False))

@@ -80,7 +80,7 @@ class Lake:
 # ---------------------------------------------------------------------------
 def ledger(spark: SparkSession, lake: Lake) -> DataFrame:
     """Ingest days of finished runs and the table version each went into."""
-    return read_stored(spark, lake.ledger, T.StructType.fromDDL(LEDGER))
+    return read_stored(spark, T.StructType.fromDDL(LEDGER), lake.ledger)
 
 
 def current_version(spark: SparkSession, lake: Lake) -> str | None:
@@ -111,11 +111,11 @@ def pending_ingest_days(spark: SparkSession, lake: Lake, before: date) -> list[d
 def silver_orders_table(spark: SparkSession, lake: Lake) -> DataFrame:
     """Silver orders with their item lists, by event day and ingest day."""
     items = T.StructField("items", T.ArrayType(ITEM))
-    return read_stored(spark, lake.silver_orders, T.StructType([*SILVER_ORDERS.fields, items, INGEST_DAY]))
+    return read_stored(spark, T.StructType([*SILVER_ORDERS.fields, items, INGEST_DAY]), lake.silver_orders)
 
 
 def silver_items_table(spark: SparkSession, lake: Lake) -> DataFrame:
-    return read_stored(spark, lake.silver_items, T.StructType([*WAREHOUSE_ITEMS.fields, INGEST_DAY]))
+    return read_stored(spark, T.StructType([*WAREHOUSE_ITEMS.fields, INGEST_DAY]), lake.silver_items)
 
 
 def of_days(table: DataFrame, ingest_days: list[date]) -> DataFrame:
