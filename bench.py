@@ -36,6 +36,7 @@ HEADLINE = [
     "ops_courier_upsert",
     "merge_orders",
     "merge_order_items",
+    "merge_orders_stored",
     "dedup_events",
     "infer_message_schema",
     "stream_upsert_state",
