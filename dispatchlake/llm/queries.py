@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dispatchlake.llm import secrets
-from dispatchlake.session import configure
+from dispatchlake.llm import secrets, tokenfiles
+from dispatchlake.session import configure, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,3 +28,10 @@ def op9_secret_scan(spark, sf):
     return scanned.select(
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", secrets.span_text().alias("spans"), "n_live", "n_copied"
     )
+
+
+@query
+def op4_token_files(spark, sf):
+    path = scratch(spark, "token-files")
+    tokenfiles.write_tokens(table(spark, sf, "documents"), path)
+    return tokenfiles.read_digests(spark, path)
