@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dispatchlake.llm import secrets, tokenfiles
+from dispatchlake.llm import packing, secrets, tokenfiles
 from dispatchlake.session import configure, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,8 @@ def op4_token_files(spark, sf):
     path = scratch(spark, "token-files")
     tokenfiles.write_tokens(table(spark, sf, "documents"), path)
     return tokenfiles.read_digests(spark, path)
+
+
+@query
+def op3_best_fit_packing(spark, sf):
+    return packing.pack_documents(table(spark, sf, "documents"))
