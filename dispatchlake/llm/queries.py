@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dispatchlake.llm import packing, secrets, tokenfiles
+from dispatchlake.llm import neighbours, packing, secrets, tokenfiles
 from dispatchlake.session import configure, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +41,8 @@ def op4_token_files(spark, sf):
 @query
 def op3_best_fit_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"))
+
+
+@query
+def op1_collision_neighbours(spark, sf):
+    return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
