@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dispatchlake.llm import neighbours, packing, secrets, tokenfiles
+from dispatchlake.llm import cosine, neighbours, packing, secrets, tokenfiles
 from dispatchlake.session import configure, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,8 @@ def op3_best_fit_packing(spark, sf):
 @query
 def op1_collision_neighbours(spark, sf):
     return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op10_cosine_near_duplicates(spark, sf):
+    return cosine.near_duplicates(table(spark, sf, "embeddings"))
