@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dispatchlake.llm import cosine, neighbours, packing, secrets, tokenfiles
+from dispatchlake.llm import cosine, jaccard, neighbours, packing, secrets, tokenfiles
 from dispatchlake.session import configure, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,8 @@ def op1_collision_neighbours(spark, sf):
 @query
 def op10_cosine_near_duplicates(spark, sf):
     return cosine.near_duplicates(table(spark, sf, "embeddings"))
+
+
+@query
+def op2_shingle_jaccard(spark, sf):
+    return jaccard.similar_documents(table(spark, sf, "documents"))
