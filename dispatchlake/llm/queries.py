@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dispatchlake.llm import cosine, jaccard, neighbours, packing, secrets, tokenfiles
+from dispatchlake.llm import cosine, jaccard, neighbours, packing, secrets, tokenfiles, toxicity
 from dispatchlake.session import configure, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,8 @@ def op10_cosine_near_duplicates(spark, sf):
 @query
 def op2_shingle_jaccard(spark, sf):
     return jaccard.similar_documents(table(spark, sf, "documents"))
+
+
+@query
+def op8_toxicity(spark, sf):
+    return toxicity.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
