@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dispatchlake.llm import cosine, jaccard, neighbours, packing, secrets, tokenfiles, toxicity
+from dispatchlake.llm import cosine, jaccard, mixing, neighbours, packing, secrets, tokenfiles, toxicity
 from dispatchlake.session import configure, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,8 @@ def op2_shingle_jaccard(spark, sf):
 @query
 def op8_toxicity(spark, sf):
     return toxicity.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op5_pfair_mix(spark, sf):
+    return mixing.mix(table(spark, sf, "documents")).drop("row_hash")
