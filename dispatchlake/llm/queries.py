@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dispatchlake.llm import cosine, jaccard, mixing, neighbours, packing, secrets, tokenfiles, toxicity
+from dispatchlake.llm import chat, cosine, jaccard, mixing, neighbours, packing, secrets, tokencounts, tokenfiles, toxicity
 from dispatchlake.session import configure, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,13 @@ def op8_toxicity(spark, sf):
 @query
 def op5_pfair_mix(spark, sf):
     return mixing.mix(table(spark, sf, "documents")).drop("row_hash")
+
+
+@query
+def op6_token_counts(spark, sf):
+    return tokencounts.token_counts(table(spark, sf, "documents"))
+
+
+@query
+def op7_chat_format(spark, sf):
+    return chat.format_chat(table(spark, sf, "conversations"))
