@@ -187,3 +187,20 @@ def mix(
     return placed.join(F.broadcast(ids), "source_id").select(
         "doc_id", "row_hash", "source", "block", "within", "phase", "slot", "release", "due"
     )
+
+
+def mixed(docs: DataFrame, **settings) -> DataFrame:
+    """All documents in the order of the mix, their columns as they were.
+
+    Rows are ranged by slot and sorted within their files, so reading the files in order reads the mix.
+    """
+    keys = ["__mix_slot", "__mix_block", "__mix_within"]  # names that documents do not have
+    order = mix(docs, **settings).select(
+        F.col("doc_id").alias("__mix_id"),
+        F.col("row_hash").alias("__mix_hash"),
+        *[F.col(c).alias(k) for c, k in zip(("slot", "block", "within"), keys)],
+    )
+    order = order.dropDuplicates(["__mix_id", "__mix_hash"])
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__mix_id")) & (F.xxhash64("text") == F.col("__mix_hash"))
+    placed = docs.join(order, same).drop("__mix_id", "__mix_hash")
+    return placed.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(*keys)

@@ -183,3 +183,92 @@ def span_text(found: str = "found"):
     return F.array_join(
         F.transform(found, lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1), s["start"], s["end"])), ","
     )
+
+
+MASK = "[SECRET]"
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
+def _masker(length: str | None):
+    """Masks base spans and the random tokens whose hash is among a row's ``__live_values``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, lengths = [], []
+            live = batch.column("__live_values").to_pylist()
+            for text, values in zip(batch.column("text").to_pylist(), live):
+                if text is not None:
+                    base = base_spans(text)
+                    spans = [(s, e) for s, _, e, _ in base]
+                    if values:
+                        known = set(values)
+                        spans += [(s, e) for s, _, e, v in random_tokens(text, base) if _hash(v) in known]
+                    for s, e in reversed(_merged(spans)):
+                        text = text[:s] + MASK + text[e:]
+                texts.append(text)
+                lengths.append(None if text is None else len(text))
+            columns = {n: batch.column(n) for n in batch.schema.names if n != "__live_values"}
+            changed = pa.array(texts, pa.string())
+            if length in columns:
+                same = [a == b for a, b in zip(texts, batch.column("text").to_pylist())]
+                old = columns[length].to_pylist()
+                columns[length] = pa.array([o if s else n for o, n, s in zip(old, lengths, same)], columns[length].type)
+            columns["text"] = changed
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    return run
+
+
+def _has_random(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for doc, text, owner, repository in zip(*(c.to_pylist() for c in batch.columns)):
+            base = base_spans(text or "")
+            values = sorted({_hash(v) for *_, v in base + random_tokens(text or "", base)})
+            new = {_hash(v) for *_, v in random_tokens(text or "", base)}
+            rows += [(doc, v, owner, repository, v in new) for v in values]
+        types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_()]
+        columns = zip(*rows) if rows else [()] * 5
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "value", "owner", "repository", "random"]
+        )
+
+
+def masked(docs: DataFrame, owner: str = "source", repository: str = "doc_id", copied_owners: int = 2) -> DataFrame:
+    """All documents with their secrets masked, other columns as they were (``n_chars`` follows the text).
+
+    Base spans are masked where they stand, without a join. Random tokens are masked where one owner holds
+    them; the ids of documents with such tokens, few, are joined to the documents.
+    """
+    narrow = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+        F.col(owner).cast("string").alias("owner"),
+        F.col(repository).cast("string").alias("repository"),
+    )
+    values = settle(
+        narrow.mapInArrow(_has_random, "doc_id long, value string, owner string, repository string, random boolean"),
+        "secret-values",
+    )
+    live = ownership(values).filter(F.col("n_owners") < copied_owners).select("value")
+    held = settle(
+        values.filter("random and doc_id is not null").select("doc_id", "value").distinct().join(live, "value")
+        .groupBy(F.col("doc_id").alias("__holder"))
+        .agg(F.collect_set("value").alias("__live_values")),
+        "secret-holders",
+    )
+    if held.isEmpty():
+        joined = docs.withColumn("__live_values", F.lit(None).cast("array<string>"))
+    else:
+        joined = docs.join(held, F.col("doc_id") == F.col("__holder"), "left").drop("__holder")
+    length = "n_chars" if "n_chars" in docs.columns else None
+    return joined.mapInArrow(_masker(length), docs.schema)

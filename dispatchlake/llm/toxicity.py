@@ -170,14 +170,15 @@ def _terms_near(terms: list[str]) -> Callable[[Batches], Batches]:
     return run
 
 
-def _featurer(terms: list[str], strict: list[str]) -> Callable[[Batches], Batches]:
+def _featurer(terms: list[str], strict: list[str], keep: list[str] = ()) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         lexicon = Lexicon(terms, frozenset(strict))
         for batch in batches:
             rows = [lexicon.hits(t or "") for t in batch.column("text").to_pylist()]
             columns = zip(*rows) if rows else [()] * len(FEATURES)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns)], names=["doc_id", *FEATURES]
+                [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns), *(batch.column(k) for k in keep)],
+                names=["doc_id", *FEATURES, *keep],
             )
 
     return run
@@ -269,29 +270,37 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 50) -> n
     return w
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted, and the hit counts behind the score."""
+def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[str], list[str], list[float]]:
+    """Terms, strict terms and weights, from the bounded sample alone."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chosen = settle(training_sample(labels, sample), "toxicity-sample")
     seen = narrow.join(F.broadcast(chosen), "doc_id")
     sizes = {r["toxic"]: r["count"] for r in seen.groupBy("toxic").count().toLocalIterator()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     terms, strict = learn_terms(seen.select("text", "toxic"), n_toxic, n_clean)
-    counted = settle(narrow.mapInArrow(_featurer(terms, strict), FEATURE_SQL), "toxicity-features")
     if n_toxic and n_clean:
-        rows = counted.join(F.broadcast(chosen), "doc_id").groupBy(*FEATURES, "toxic").count().collect()
+        counted = seen.mapInArrow(_featurer(terms, strict, ["toxic"]), f"{FEATURE_SQL}, toxic int")
+        rows = counted.groupBy(*FEATURES, "toxic").count().collect()  # of the sample: bounded
         x = np.repeat([[r[f] for f in FEATURES] for r in rows], [r["count"] for r in rows], axis=0)
         y = np.repeat([float(r["toxic"]) for r in rows], [r["count"] for r in rows])
-        weights = fit(x, y).tolist()
-    else:
-        share = (n_toxic + 0.5) / (n_toxic + n_clean + 1)
-        weights = [math.log(share / (1 - share)), *[0.0] * (2 * len(FEATURES))]
+        return terms, strict, fit(x, y).tolist()
+    share = (n_toxic + 0.5) / (n_toxic + n_clean + 1)
+    return terms, strict, [math.log(share / (1 - share)), *[0.0] * (2 * len(FEATURES))]
+
+
+def _score(weights: list[float]) -> Column:
     logit = F.lit(weights[0])
     for i, f in enumerate(FEATURES):
         logit = logit + F.when(F.col(f) > 0, F.lit(weights[1 + i])).otherwise(0.0)
         logit = logit + F.log1p(F.col(f).cast("double")) * F.lit(weights[1 + len(FEATURES) + i])
-    score = F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
-    scored = counted.withColumn("score", score)
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """One row per document: doc_id, held_out, score, predicted, and the hit counts behind the score."""
+    terms, strict, weights = learned(docs, labels, sample)
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    scored = narrow.mapInArrow(_featurer(terms, strict), FEATURE_SQL).withColumn("score", _score(weights))
     return scored.select(
         "doc_id",
         held_out().alias("held_out"),
@@ -299,3 +308,18 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
         (F.col("score") >= CUT_SCORE).cast("int").alias("predicted"),
         *FEATURES,
     )
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """The documents below the cut, all their columns as they were; narrow, so no text is shuffled."""
+    terms, strict, weights = learned(docs, labels, sample)
+    model = np.array(weights)
+
+    def run(batches: Batches) -> Batches:
+        lexicon = Lexicon(terms, frozenset(strict))
+        for batch in batches:
+            hits = [lexicon.hits(str(t) if t is not None else "") for t in batch.column("text").to_pylist()]
+            scores = 1 / (1 + np.exp(-np.clip(design(hits) @ model, -700, 700)))
+            yield batch.filter(pa.array(scores < CUT_SCORE))
+
+    return docs.mapInArrow(run, docs.schema)
