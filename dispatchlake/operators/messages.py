@@ -11,7 +11,6 @@ from dispatchlake.functions.parsing import parse_iso_time, to_double
 from dispatchlake.schemas import (
     ANY_MESSAGE,
     COURIER_MESSAGE,
-    ITEM,
     OPS_COURIERS,
     OPS_ORDERS,
     ORDER_MESSAGE,
@@ -88,19 +87,30 @@ def _reason(messages: DataFrame, required: dict[str, Column]) -> Column:
     return F.coalesce(*_corrupt_field(messages), *absent)
 
 
+def _as_sent(field: str) -> Column:
+    """A nested value of the message's text; JSON null counts as absent."""
+    sent = F.get_json_object("value", f"$.{field}")
+    return F.when(sent != "null", sent)
+
+
+def _carried(messages: DataFrame) -> list[str]:
+    """Columns of a record that its dead letter keeps, so that it can be replayed."""
+    return [c for c in ("topic", "partition", "key", "value", "timestamp") if c in messages.columns]
+
+
 def shape_orders(messages: DataFrame) -> DataFrame:
     """Order messages as rows of the keyed order table, plus ``reason`` where a row cannot be stored.
 
-    Nested values become JSON text and money becomes double. ``message`` fields are read by name;
-    ``offset`` is kept to order writes to the same key.
+    Nested values stay the JSON text that was sent, also the parts that no contract names. Money becomes
+    double. ``message`` fields are read by name; ``offset`` is kept to order writes to the same key.
     """
     m = {f: F.col(f"message.{f}") for f in ORDER_MESSAGE.names}
     shaped = {
         **m,
         "event_timestamp": parse_iso_time(m["event_timestamp"]),
         "estimated_delivery_time": parse_iso_time(m["estimated_delivery_time"]),
-        "items": F.to_json(F.coalesce(m["items"], F.array().cast(T.ArrayType(ITEM)))),
-        "delivery_location": F.to_json(m["delivery_location"]),
+        "items": F.coalesce(_as_sent("items"), F.lit("[]")),
+        "delivery_location": _as_sent("delivery_location"),
         "delivery_fee": to_double(m["delivery_fee"]),
         "total_amount": to_double(m["total_amount"]),
     }
@@ -108,6 +118,7 @@ def shape_orders(messages: DataFrame) -> DataFrame:
     return messages.select(
         *[shaped[c].alias(c) for c in OPS_ORDERS],
         "offset",
+        F.struct(*_carried(messages)).alias("record"),
         _reason(messages, {c: shaped[c] for c in required}).alias("reason"),
     )
 
@@ -118,24 +129,30 @@ def shape_couriers(messages: DataFrame) -> DataFrame:
     shaped = {
         **m,
         "event_timestamp": parse_iso_time(m["event_timestamp"]),
-        "current_location": F.to_json(m["current_location"]),
+        "current_location": _as_sent("current_location"),
     }
     required = ("courier_id", "event_timestamp", "current_location")
     return messages.select(
         *[shaped[c].alias(c) for c in OPS_COURIERS],
         "offset",
+        F.struct(*_carried(messages)).alias("record"),
         _reason(messages, {c: shaped[c] for c in required}).alias("reason"),
     )
 
 
 def storable(shaped: DataFrame) -> DataFrame:
-    return shaped.filter(F.col("reason").isNull()).drop("reason")
+    return shaped.filter(F.col("reason").isNull()).drop("reason", "record")
 
 
 def rejected(shaped: DataFrame) -> DataFrame:
     return shaped.filter(F.col("reason").isNotNull())
 
 
+def dead_letters(shaped: DataFrame) -> DataFrame:
+    """Rejected messages as the records they came in, with the reason."""
+    return rejected(shaped).select("record.*", "offset", "reason")
+
+
 def with_order(events: DataFrame, orders: DataFrame) -> DataFrame:
     """Events with the merchant of the order they name; ``matched`` tells unknown orders apart."""
     named = orders.select("order_id", F.col("merchant_id").alias("order_merchant_id"), F.lit(True).alias("found"))

@@ -67,7 +67,7 @@ def wrong_item_totals(bronze: DataFrame) -> DataFrame:
     return items.filter(stated != expected).select(
         "order_id",
         F.col("i.item_id").alias("item_id"),
-        F.col("i.quantity").alias("quantity"),
+        F.col("i.quantity").cast("bigint").alias("quantity"),
         unit.cast("double").alias("unit_price"),
         stated.cast("double").alias("total_price"),
     )
@@ -112,9 +112,14 @@ def schema_report(df: DataFrame, expected: T.StructType) -> DataFrame:
 
 
 def missing_feeds(records: DataFrame, required: list[str], feed: str, at: str) -> DataFrame:
-    """(hour, feed) pairs with no record, for every hour in which any feed sent something."""
+    """(hour, feed) pairs with no record, for every hour from the first to the last record.
+
+    An hour in which nothing at all came is reported for every feed.
+    """
     present = records.select(F.date_trunc("hour", at).alias("hour"), F.col(feed).alias("feed")).distinct()
-    wanted = present.select("hour").distinct().select("hour", F.explode(F.array(*map(F.lit, required))).alias("feed"))
+    bounds = present.filter(F.col("hour").isNotNull()).agg(F.min("hour").alias("first"), F.max("hour").alias("last"))
+    hours = bounds.select(F.explode(F.sequence("first", "last", F.expr("interval 1 hour"))).alias("hour"))
+    wanted = hours.select("hour", F.explode(F.array(*map(F.lit, required))).alias("feed"))
     return wanted.join(present, ["hour", "feed"], "left_anti")
 
 

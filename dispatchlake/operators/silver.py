@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dispatchlake.functions.parsing import parse_time, to_double, to_float
@@ -18,6 +18,16 @@ def valid_orders(bronze: DataFrame) -> DataFrame:
     )
 
 
+def reject_reason(prefix: str = "") -> Column:
+    """Why :func:`valid_orders` leaves an order out: the first rule it breaks. Null for valid ones."""
+    amount = to_double(F.col(f"{prefix}total_amount"))
+    return (
+        F.when(F.col(f"{prefix}order_id").isNull(), "order_id is null")
+        .when(F.col(f"{prefix}merchant_id").isNull(), "merchant_id is null")
+        .when(~F.coalesce(amount > 0, F.lit(False)), "total_amount is no positive number")
+    )
+
+
 def silver_orders(bronze: DataFrame) -> DataFrame:
     """Typed valid orders with day, flat location, delivery minutes and the delay flag.
 

@@ -51,3 +51,8 @@ def read_merchants(spark: SparkSession, path: str) -> DataFrame:
 def clean_merchants(merchants: DataFrame) -> DataFrame:
     """Merchant rows whose address lost its label."""
     return merchants.withColumn("Address", F.replace("Address", F.lit(ADDRESS_PREFIX), F.lit("")))
+
+
+def append_to(df: DataFrame, path: str) -> None:
+    """Add rows to a stored table; what is there stays as it is. A repeated load is stored twice."""
+    df.write.mode("append").parquet(path)

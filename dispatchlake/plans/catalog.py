@@ -220,6 +220,13 @@ def silver_valid_filter(spark, sf):
     )
 
 
+@query
+def silver_rejects(spark, sf):
+    """Orders that silver leaves out, with the first rule they break."""
+    rejected = given.bronze_orders(spark, sf).withColumn("reason", silver.reject_reason())
+    return rejected.filter(F.col("reason").isNotNull()).select("event_id", "order_id", "merchant_id", "total_amount", "reason")
+
+
 @query
 def silver_orders(spark, sf):
     return _orders(spark, sf)
@@ -243,9 +250,9 @@ def line_total(spark, sf):
 
 @query
 def order_total_from_items(spark, sf):
-    return silver.order_totals(given.item_messages(spark, sf)).withColumn(
-        "items_total", F.col("items_total").cast("double")
-    )
+    """The lists of an order's messages folded, then added up per order."""
+    totals = silver.order_totals(given.item_messages(spark, sf)).groupBy("order_id").agg(F.sum("items_total").alias("t"))
+    return totals.select("order_id", F.col("t").cast("double").alias("items_total"))
 
 
 @query
@@ -365,15 +372,7 @@ def order_timeline(spark, sf):
 
 
 def _order_messages(spark, sf):
-    """The order feed delivered twice: the second time with its payment completed and later offsets."""
-    bronze = given.bronze_orders_with_items(spark, sf).withColumn("courier_id", F.lit(None).cast("string"))
-    twice = bronze.withColumn("delivery", F.explode(F.array(F.lit(0), F.lit(1)))).withColumns(
-        {
-            "payment_status": F.when(F.col("delivery") == 1, F.lit("completed")).otherwise(F.col("payment_status")),
-            "offset": F.col("event_id").cast("bigint") * 2 + F.col("delivery"),
-        }
-    )
-    return twice.select(F.struct(*ORDER_MESSAGE.names).alias("message"), "offset")
+    return messages.decode(given.order_records(spark, sf), ORDER_MESSAGE)
 
 
 @query
@@ -399,8 +398,9 @@ def _two_loads(spark, sf):
     orders = _orders(spark, sf).select(
         "order_id", "merchant_id", "customer_id", "order_status", "total_amount", "event_date"
     )
-    target = orders.filter(F.col("event_date") < F.lit("1999-01-01").cast("date"))
-    source = orders.filter(F.col("event_date") >= F.lit("1997-01-01").cast("date")).withColumns(
+    undated = F.col("event_date").isNull()
+    target = orders.filter(undated | (F.col("event_date") < F.lit("1999-01-01").cast("date")))
+    source = orders.filter(undated | (F.col("event_date") >= F.lit("1997-01-01").cast("date"))).withColumns(
         {"total_amount": F.col("total_amount") + 100, "order_status": F.lit("delivered")}
     )
     return target, source
@@ -408,7 +408,8 @@ def _two_loads(spark, sf):
 
 @query
 def merge_orders(spark, sf):
-    """Orders loaded before 1999, merged with a reload of 1997 and later that changes amount and status."""
+    """Orders loaded before 1999, merged with a reload of 1997 and later that changes amount and status;
+    orders without a day are in both."""
     return keyed.merge_upsert(*_two_loads(spark, sf))
 
 
@@ -436,7 +437,7 @@ def merge_order_items(spark, sf):
 def append_union(spark, sf):
     """Two overlapping loads appended; the second has its columns in another order."""
     orders = _orders(spark, sf).select("order_id", "order_status", "total_amount", "event_date")
-    old = orders.filter(F.col("event_date") < F.lit("1998-01-01").cast("date"))
+    old = orders.filter(F.col("event_date").isNull() | (F.col("event_date") < F.lit("1998-01-01").cast("date")))
     new = orders.filter(F.col("event_date") >= F.lit("1997-01-01").cast("date")).select(
         "event_date", "total_amount", "order_status", "order_id"
     )
@@ -521,6 +522,16 @@ def items_write_roundtrip(spark, sf):
     return spark.read.parquet(path).select(*items.columns)
 
 
+@query
+def append_write_roundtrip(spark, sf):
+    """Two loads appended to one stored table, neither of them changing what is there."""
+    path = scratch(spark, "appended")
+    orders = _orders(spark, sf).select("order_id", "order_status", "total_amount", "event_date")
+    sinks.append_to(orders.filter(F.col("order_status") == "delivered"), path)
+    sinks.append_to(orders.filter(F.col("order_status") != "delivered"), path)
+    return spark.read.parquet(path)
+
+
 @query
 def gold_write_roundtrip(spark, sf):
     """Fulfillment written in full, then refreshed for the days from 1998 on: the same rows as once."""
@@ -561,7 +572,7 @@ def stream_source_json(spark, sf):
 def stream_to_bronze(spark, sf):
     landing = _stage(given.feed_records(_events(spark, sf)))
     lake, mark = scratch(spark, "bronze"), scratch(spark, "checkpoint")
-    jobs.land_bronze(feeds.read_landing(spark, landing), lake, mark).awaitTermination()
+    jobs.land_bronze(feeds.read_landing(spark, landing), lake, mark, clock=F.col("timestamp")).awaitTermination()
     return spark.read.parquet(lake).select("topic", "ingest_date", "ingest_hour", "key", "offset")
 
 

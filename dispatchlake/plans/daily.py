@@ -54,6 +54,10 @@ class Lake:
     def silver_items(self) -> str:
         return f"{self.root}/silver/order_items"
 
+    @property
+    def rejects(self) -> str:
+        return f"{self.root}/silver/rejects"
+
     @property
     def ledger(self) -> str:
         return f"{self.root}/ledger"
@@ -125,11 +129,13 @@ def of_days(table: DataFrame, ingest_days: list[date]) -> DataFrame:
 def refresh_silver(spark: SparkSession, lake: Lake, ingest_days: list[date]) -> None:
     """Clean the given ingest days into silver orders, then cut their items out of what was stored.
 
-    Reading the item lists back costs one nested column; the message text is parsed only once.
+    Records that cannot be read or break a rule go to the table of rejects, whole and with the reason. Reading
+    the item lists back costs one nested column.
     """
     configure(spark)
-    bronze = feeds.read_lake_orders(spark, lake.bronze, lake.orders_topic, ingest_days)
-    sinks.write_days(silver.silver_orders(bronze), lake.silver_orders, "event_date", "ingest_date")
+    landed = feeds.read_lake_messages(spark, lake.bronze, lake.orders_topic, ingest_days)
+    sinks.write_days(silver.silver_orders(feeds.lake_orders(landed)), lake.silver_orders, "event_date", "ingest_date")
+    sinks.write_days(feeds.lake_rejects(landed), lake.rejects, "ingest_date")
     orders = of_days(silver_orders_table(spark, lake), ingest_days)
     items = silver.order_items(orders, carry=("event_timestamp", "event_date", "ingest_date"))
     sinks.write_days(items, lake.silver_items, "event_date", "ingest_date")
@@ -189,7 +195,7 @@ def refresh_gold(spark: SparkSession, lake: Lake, version: str, touched_days: li
     if current is not None:
         earlier = spark.read.parquet(lake.gold("daily_metrics", current))
         daily = daily.unionByName(earlier.filter(~day_key().isin(touched_days)))
-    sinks.write_all(daily.coalesce(1), lake.gold("daily_metrics", version))
+    sinks.write_all(daily.hint("rebalance"), lake.gold("daily_metrics", version))
     stored = spark.read.parquet(lake.gold("daily_metrics", version))
     for name, table in gold.split_daily(stored).items():
         sinks.write_all(table, lake.gold(name, version))
@@ -212,13 +218,16 @@ def publish_views(spark: SparkSession, lake: Lake, version: str) -> None:
 def run(spark: SparkSession, lake: Lake, version: str, before: date | None = None) -> list[date]:
     """One daily run over the landed days before ``before`` (default: today, as that day is still filling).
 
-    A failed gate raises before the next layer is written, and leaves the current version in place.
+    Readers are moved to the current version on every run. A failed gate raises before the next layer is written, and leaves the current version in place.
     Returns the ingest days done.
     """
     configure(spark)
     now = datetime.now(timezone.utc)
     todo = pending_ingest_days(spark, lake, before or now.date())
     if not todo:
+        current = current_version(spark, lake)
+        if current is not None:
+            publish_views(spark, lake, current)  # in case the run that made it failed to
         return todo
     refresh_silver(spark, lake, todo)
     quality.enforce(check_silver(spark, lake, todo))

@@ -42,14 +42,14 @@ flagged AS (SELECT *, COALESCE(minutes > 45, false) AS late FROM silver)"""
 
 ITEMS = """
 lines AS (
-  SELECT l_orderkey AS k, (l_linenumber - 1) % 64 AS slot, SUM(CAST(l_quantity AS BIGINT)) AS q,
-    SUM(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT)) AS cents
-  FROM lineitem GROUP BY 1, 2),
+  SELECT l_orderkey AS k, l_linenumber AS line, l_partkey AS part, CAST(l_quantity AS BIGINT) AS q,
+    CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS cents
+  FROM lineitem),
 items AS (
-  SELECT k, slot, CAST(k AS VARCHAR) AS order_id, 'item_' || (1 + (slot + 1) % 5) AS item_id,
-    'Menu Item ' || (1 + (slot + 1) % 5) AS name, CAST(q AS INTEGER) AS quantity,
-    CAST((2 * cents + q) // (2 * q) AS BIGINT) AS unit_cents, CAST(cents AS BIGINT) AS total_cents,
-    CAST((2 * cents + q) // (2 * q) AS BIGINT) / 100.0 AS unit_price, CAST(cents AS BIGINT) / 100.0 AS total_price
+  SELECT k, CAST(k AS VARCHAR) AS order_id, 'line-' || line AS item_id, 'Dish ' || (part % 200) AS name,
+    CAST(q AS INTEGER) AS quantity,
+    CAST((2 * cents + q) // (2 * q) AS BIGINT) AS unit_cents, cents AS total_cents,
+    CAST((2 * cents + q) // (2 * q) AS BIGINT) / 100.0 AS unit_price, cents / 100.0 AS total_price
   FROM lines)"""
 
 COURIERS = """
@@ -161,13 +161,6 @@ SILVER_COLUMNS = """event_id, ts AS event_timestamp, order_id, merchant_id, cust
 
 ITEM_COLUMNS = "order_id, item_id, name, quantity, unit_price, total_price"
 
-ITEM_JSON = """
-lists AS (
-  SELECT k, '[' || string_agg('{"item_id":"' || item_id || '","name":"' || name || '","quantity":' || quantity
-      || ',"unit_price":"' || CAST(unit_cents * 0.01::DECIMAL(3,2) AS VARCHAR)
-      || '","total_price":"' || CAST(total_cents * 0.01::DECIMAL(3,2) AS VARCHAR) || '"}', ','
-      ORDER BY item_id, name, quantity, CAST(unit_cents * 0.01::DECIMAL(3,2) AS VARCHAR)) || ']' AS js
-  FROM items GROUP BY k)"""
 
 ORDER_REASON = """CASE WHEN order_id IS NULL THEN 'bad or missing order_id'
     WHEN ts IS NULL THEN 'bad or missing event_timestamp'
@@ -277,6 +270,12 @@ def sql() -> dict[str, str]:
             latitude FROM couriers WHERE NOT torn""",
         "silver_valid_filter": f"""{s} SELECT event_id, order_id, merchant_id, CAST(amount AS DOUBLE) AS total_amount
             FROM silver""",
+        "silver_rejects": f"""WITH {FEED} SELECT event_id, order_id, merchant_id, amount_text AS total_amount,
+            CASE WHEN order_id IS NULL THEN 'order_id is null' WHEN merchant_id IS NULL THEN 'merchant_id is null'
+              ELSE 'total_amount is no positive number' END AS reason
+            FROM timed WHERE order_id IS NULL OR merchant_id IS NULL OR NOT COALESCE(amount > 0, false)""",
+        "append_write_roundtrip": f"""{s} SELECT order_id, order_status, CAST(amount AS DOUBLE) AS total_amount, event_date
+            FROM silver""",
         "silver_orders": f"{s} SELECT {SILVER_COLUMNS} FROM flagged",
         "order_items": f"""{both} SELECT {', '.join('i.' + c for c in ITEM_COLUMNS.split(', '))}
             FROM items i JOIN silver USING (k)""",
@@ -334,15 +333,14 @@ def sql() -> dict[str, str]:
         "order_timeline": f"""{s}, {HISTORY} SELECT *, ROW_NUMBER() OVER
             (PARTITION BY order_id ORDER BY event_timestamp DESC, order_status DESC) AS position
             FROM history WHERE event_timestamp IS NOT NULL""",
-        "ops_orders_upsert": f"""WITH {FEED}, {ITEMS}, {ITEM_JSON} SELECT event_id, ts AS event_timestamp, order_id,
+        "ops_orders_upsert": f"""WITH {FEED} SELECT event_id, ts AS event_timestamp, order_id,
             merchant_id, CAST(NULL AS VARCHAR) AS courier_id, customer_id, service_type, order_status,
-            COALESCE(js, '[]') AS items,
-            '{{"latitude":' || CAST((c % 180) - 90 + 0.5::DOUBLE AS VARCHAR) || ',"longitude":'
-              || CAST((c % 360) - 180 + 0.25::DOUBLE AS VARCHAR) || ',"address":"No. ' || (c % 500)
-              || ' Market Street"}}' AS delivery_location,
+            CASE WHEN t.k % 3 = 2 THEN '[{{"item_id":"line-1","quantity":' || (t.k % 5 + 1) || ',"options":{{"cold":true}}}}]'
+              ELSE '[]' END AS items,
+            '{{"lat":' || (c % 180) || ',"floor":' || (c % 40) || '}}' AS delivery_location,
             CAST(1000 AS DOUBLE) AS delivery_fee, CAST(amount AS DOUBLE) AS total_amount,
             eta AS estimated_delivery_time, payment_method, 'completed' AS payment_status, t.k * 2 + 1 AS "offset"
-            FROM timed t LEFT JOIN lists USING (k) WHERE {ORDER_REASON} IS NULL""",
+            FROM timed t WHERE {ORDER_REASON} IS NULL""",
         "ops_orders_rejects": f"""WITH {FEED} SELECT event_id, k * 2 + d AS "offset", {ORDER_REASON} AS reason
             FROM timed, (VALUES (0), (1)) v(d) WHERE {ORDER_REASON} IS NOT NULL""",
         "ops_courier_upsert": f"""WITH {COURIERS} SELECT event_id, event_timestamp, merchant_id, courier_id, order_id,
@@ -351,9 +349,9 @@ def sql() -> dict[str, str]:
             FROM couriers WHERE NOT torn
             QUALIFY ROW_NUMBER() OVER (PARTITION BY courier_id, event_timestamp ORDER BY n DESC) = 1""",
         "merge_orders": f"""{s} SELECT order_id, merchant_id, customer_id,
-            CASE WHEN event_date >= DATE '1997-01-01' THEN 'delivered' ELSE order_status END AS order_status,
-            CAST(amount AS DOUBLE) + CASE WHEN event_date >= DATE '1997-01-01' THEN 100 ELSE 0 END AS total_amount,
-            event_date FROM silver WHERE event_date IS NOT NULL""",
+            CASE WHEN event_date < DATE '1997-01-01' THEN order_status ELSE 'delivered' END AS order_status,
+            CAST(amount AS DOUBLE) + CASE WHEN event_date < DATE '1997-01-01' THEN 0 ELSE 100 END AS total_amount,
+            event_date FROM silver""",
         "merge_order_items": f"""{it}, target AS (SELECT * FROM items QUALIFY ROW_NUMBER() OVER (PARTITION BY order_id, item_id
               ORDER BY name DESC, quantity DESC, unit_price DESC, total_price DESC) = 1),
             kept AS (SELECT * FROM target WHERE quantity >= 20),
@@ -365,7 +363,7 @@ def sql() -> dict[str, str]:
               COALESCE(s.unit_price, t.unit_price) AS unit_price, COALESCE(s.total_price, t.total_price) AS total_price
             FROM kept t FULL OUTER JOIN source s ON t.order_id = s.order_id AND t.item_id = s.item_id""",
         "append_union": f"""{s}, o AS (SELECT order_id, order_status, CAST(amount AS DOUBLE) AS total_amount, event_date
-            FROM silver) SELECT * FROM o WHERE event_date < DATE '1998-01-01'
+            FROM silver) SELECT * FROM o WHERE event_date IS NULL OR event_date < DATE '1998-01-01'
             UNION ALL SELECT * FROM o WHERE event_date >= DATE '1997-01-01'""",
         "dedup_events": "SELECT DISTINCT * FROM (SELECT * FROM events UNION ALL SELECT * FROM events)",
         "publish_envelope": f"""WITH {ROUTED} SELECT topic, key, '{{"event_id":"' || event_id || '","order_id":"' || event_id * 2
@@ -438,7 +436,8 @@ def sql() -> dict[str, str]:
         "dq_item_totals": f"""{it} SELECT order_id, item_id, CAST(quantity AS BIGINT) AS quantity, unit_price, total_price
             FROM items WHERE unit_cents * quantity <> total_cents""",
         "dq_missing_feeds": f"""WITH {ROUTED}, present AS (SELECT DISTINCT date_trunc('hour', ts) AS hour, topic FROM records
-            WHERE NOT torn), wanted AS (SELECT DISTINCT hour, feed FROM present,
+            WHERE NOT torn), wanted AS (SELECT hour, feed FROM
+            (SELECT unnest(generate_series(MIN(hour), MAX(hour), INTERVAL 1 HOUR)) AS hour FROM present),
             (VALUES ('orders-raw'), ('couriers-raw'), ('merchants-raw'), ('reviews-raw')) v(feed))
             SELECT hour, feed FROM wanted EXCEPT SELECT hour, topic FROM present""",
         "dq_freshness_volume": f"""{s} SELECT event_date, COUNT(*) AS orders, MAX(ts) AS newest_event, COUNT(*) >= 5 AS enough

@@ -62,7 +62,8 @@ def _strings(*names: str) -> list[T.StructField]:
 ITEM = T.StructType(
     [
         *_strings("item_id", "name"),
-        T.StructField("quantity", T.LongType()),
+        # Producers send 2 as well as 2.0; the parse takes both, silver casts.
+        T.StructField("quantity", T.DoubleType()),
         *_strings("unit_price", "total_price"),
     ]
 )

@@ -1,7 +1,7 @@
 """The given star-schema tables seen as order and courier feeds.
 
 Every column comes from the row it is derived from, so the order feed is a narrow projection of
-``orders``. Only the item list needs a shuffle. The arithmetic spreads the values over both sides of
+``orders`` and item messages one of ``lineitem``: a line is one message with a list of one item. The arithmetic spreads the values over both sides of
 every rule (late and on time, null, zero, negative and unreadable) and is repeated, independently and
 on typed values, by the SQL twins.
 """
@@ -23,9 +23,6 @@ from dispatchlake.schemas import (
     VEHICLE_TYPES,
 )
 
-# Lines of one order that share a slot are one item, which bounds every item list by construction.
-ITEM_SLOTS = 64
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -92,28 +89,16 @@ def order_columns() -> dict[str, Column]:
     }
 
 
-def item_lines(lineitem: DataFrame) -> DataFrame:
-    """One row per order and slot. Sums combine map-side, so a hot order shuffles at most 64 rows per task."""
-    return (
-        lineitem.withColumn("slot", F.expr(f"cast(pmod(l_linenumber - 1, {ITEM_SLOTS}) as int)"))
-        .groupBy("l_orderkey", "slot")
-        .agg(
-            F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
-            F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("total"),
-        )
-    )
-
-
-def item_lists(lineitem: DataFrame) -> DataFrame:
-    """One row per order with its sorted item list (at most ``ITEM_SLOTS`` entries)."""
-    item = F.struct(
-        F.expr("concat('item_', 1 + (slot + 1) % 5)").alias("item_id"),
-        F.expr("concat('Menu Item ', 1 + (slot + 1) % 5)").alias("name"),
-        "quantity",
-        F.expr("cast(round(try_divide(total, cast(quantity as decimal(18,0))), 2) as string)").alias("unit_price"),
-        F.col("total").cast("string").alias("total_price"),
+def line_item() -> Column:
+    """A line as an item of the wire contract."""
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    return F.struct(
+        F.expr("concat('line-', l_linenumber)").alias("item_id"),
+        F.expr("concat('Dish ', l_partkey % 200)").alias("name"),
+        F.col("l_quantity").cast("double").alias("quantity"),
+        F.round(F.try_divide(price, F.col("l_quantity").cast("decimal(18,0)")), 2).cast("string").alias("unit_price"),
+        price.cast("string").alias("total_price"),
     )
-    return item_lines(lineitem).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("items"))
 
 
 def bronze_orders(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
@@ -123,24 +108,48 @@ def bronze_orders(spark: SparkSession, sf_dir: str, orders: DataFrame | None = N
 
 
 def item_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order id and item list only, for work that needs nothing else of the order."""
-    lists = item_lists(table(spark, sf_dir, "lineitem"))
-    return lists.select(F.col("l_orderkey").cast("string").alias("order_id"), "items")
+    """Order id and item list only, one message per line, for work that needs nothing else of the order."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("order_id"), F.array(line_item()).alias("items")
+    )
 
 
 def bronze_orders_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full order feed. Orders without lines have a null list (even keys) or an empty one (odd keys)."""
+    """The full order feed: an order comes once with each of its lines, however many it has.
+
+    Orders without lines come once, with a null list (even keys) or an empty one (odd keys).
+    """
     feed = order_columns()
-    joined = _timed(table(spark, sf_dir, "orders")).join(
-        item_lists(table(spark, sf_dir, "lineitem")),
-        F.col("o_orderkey") == F.col("l_orderkey"),
-        "left",
-    )
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", line_item().alias("line"))
+    joined = _timed(table(spark, sf_dir, "orders")).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     empty = F.array().cast(T.ArrayType(ITEM))
-    feed["items"] = F.coalesce("items", F.when(F.expr("o_orderkey % 2 = 1"), empty))
+    feed["items"] = F.when(F.col("line").isNotNull(), F.array("line")).otherwise(F.when(F.expr("o_orderkey % 2 = 1"), empty))
     return joined.select(*[feed[n].alias(n) for n in BRONZE_ORDERS.names])
 
 
+def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as a JSON message delivered twice, the second time with its payment completed.
+
+    Items and location carry fields that the contract does not name.
+    """
+    feed = order_columns()
+    item = F.struct(
+        F.lit("line-1").alias("item_id"),
+        F.expr("o_orderkey % 5 + 1").alias("quantity"),
+        F.struct(F.expr("o_orderkey % 3 = 2").alias("cold")).alias("options"),
+    )
+    feed["items"] = F.when(F.expr("o_orderkey % 3 > 0"), F.filter(F.array(item), lambda i: i["options"]["cold"]))
+    feed["delivery_location"] = F.struct(
+        F.expr("cast(o_custkey % 180 as int)").alias("lat"), F.expr("cast(o_custkey % 40 as int)").alias("floor")
+    )
+    twice = _timed(table(spark, sf_dir, "orders")).withColumn("delivery", F.explode(F.array(F.lit(0), F.lit(1))))
+    feed["payment_status"] = F.when(F.col("delivery") == 1, F.lit("completed")).otherwise(feed["payment_status"])
+    return twice.select(
+        F.to_json(F.struct(*[c.alias(n) for n, c in feed.items()])).alias("value"),
+        (F.col("o_orderkey") * 2 + F.col("delivery")).alias("offset"),
+    )
+
+
 # ---------------------------------------------------------------------------
 # events as wire records
 # ---------------------------------------------------------------------------
@@ -232,8 +241,8 @@ def feed_records(events: DataFrame) -> DataFrame:
             F.lit("created").alias("order_status"),
             F.array(
                 F.struct(
-                    F.lit("item_1").alias("item_id"),
-                    F.lit("Menu Item 1").alias("name"),
+                    F.lit("line-1").alias("item_id"),
+                    F.lit("Dish 7").alias("name"),
                     F.lit(2).cast("bigint").alias("quantity"),
                     F.col("amount").cast("string").alias("unit_price"),
                     (F.col("amount") * 2).cast("string").alias("total_price"),

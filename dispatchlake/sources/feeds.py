@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from dispatchlake.functions.keys import DEFAULT_TOPIC_PATTERN, topic_name
 from dispatchlake.operators import messages
+from dispatchlake.operators.silver import reject_reason
 from dispatchlake.schemas import BRONZE_ORDERS, FEED_RECORD, FEEDS, LANDED_RECORD
 
 
@@ -89,18 +90,29 @@ def read_bronze_orders(spark: SparkSession, path: str) -> DataFrame:
     return scan(spark, path, BRONZE_ORDERS)
 
 
-def read_lake_orders(spark: SparkSession, path: str, topic: str, ingest_days: list[date] | None = None) -> DataFrame:
-    """Orders out of the raw landing lake, with their ingest day.
+def read_lake_messages(spark: SparkSession, path: str, topic: str, ingest_days: list[date] | None = None) -> DataFrame:
+    """Records of a topic out of the raw landing lake, their values decoded as orders into ``message``.
 
     Topic and days are partition columns, so only the folders asked for are listed and read.
     """
     raw = spark.read.schema(LANDED_RECORD).parquet(path).filter(F.col("topic") == topic)
     if ingest_days is not None:
         raw = raw.filter(F.col("ingest_date").isin(ingest_days))
-    parsed = messages.decode(raw, BRONZE_ORDERS).filter(~messages.unreadable())
+    return messages.decode(raw, BRONZE_ORDERS)
+
+
+def lake_orders(decoded: DataFrame) -> DataFrame:
+    """Readable orders with their ingest day."""
+    parsed = decoded.filter(~messages.unreadable())
     return parsed.select(*[F.col(f"message.{c}").alias(c) for c in BRONZE_ORDERS.names], "ingest_date")
 
 
+def lake_rejects(decoded: DataFrame) -> DataFrame:
+    """What silver leaves out: the records as they landed, with the reason."""
+    reason = F.when(messages.unreadable(), "malformed json").otherwise(reject_reason("message."))
+    return decoded.withColumn("reason", reason).filter(F.col("reason").isNotNull()).drop("message")
+
+
 def read_table(
     spark: SparkSession, name: str, source: str | None = None, options: dict[str, str] | None = None
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,19 +22,22 @@ KEYS = {"orders": ["order_id", "event_timestamp"], "couriers": ["courier_id", "e
 
 
 def land_bronze(
-    records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, max_records_per_file: int = 1_000_000
+    records: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    max_records_per_file: int = 1_000_000,
+    clock: Column | None = None,
 ) -> StreamingQuery:
     """Raw records to Parquet by topic, day and hour of landing.
 
     The file sink names its files itself and commits them with the batch: no overwritten file, no
-    repeated record after a restart. Late events simply land today; nothing is dropped.
+    repeated record after a restart. The folder follows the time of the batch, not the record's own: a
+    record that is late never lands in a day that a daily run has finished. ``clock`` replaces that time
+    when a backlog is replayed into the days it came in.
     """
-    landed = records.withColumns(
-        {
-            "ingest_date": F.to_date("timestamp"),
-            "ingest_hour": F.hour("timestamp"),
-        }
-    )
+    landed_at = F.current_timestamp() if clock is None else clock
+    landed = records.withColumns({"ingest_date": F.to_date(landed_at), "ingest_hour": F.hour(landed_at)})
     return (
         landed.writeStream.format("parquet")
         .partitionBy("topic", "ingest_date", "ingest_hour")
@@ -86,8 +89,7 @@ def upsert_state(
             try:
                 last = keyed.latest_per_key(messages.storable(shaped), KEYS[feed], ["offset"])
                 _write_batch(last, f"{root}/{feed}", batch_id)
-                dead = messages.rejected(shaped).select("offset", "reason")
-                _write_batch(dead, f"{root}/{feed}_dead_letters", batch_id)
+                _write_batch(messages.dead_letters(shaped), f"{root}/{feed}_dead_letters", batch_id)
             finally:
                 shaped.unpersist()
 

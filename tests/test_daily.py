@@ -32,7 +32,7 @@ def lake(spark, folder):
 
 
 def message(order_id, at="2025-02-10 10:00:00.000000", **changes):
-    item = {"item_id": "i1", "name": "n", "quantity": 2, "unit_price": "5.0", "total_price": "10.0"}
+    item = {"item_id": "i1", "name": "n", "quantity": 2.0, "unit_price": "5.0", "total_price": "10.0"}
     return {
         "event_id": f"e{order_id}", "event_timestamp": at, "order_id": order_id, "merchant_id": "m", "customer_id": "c",
         "service_type": "groceries", "order_status": "delivered", "items": [item, item],
@@ -45,7 +45,9 @@ def message(order_id, at="2025-02-10 10:00:00.000000", **changes):
 def land(spark, folder, lake, landed, *values):
     rows = [("orders-raw", "k", v if isinstance(v, str) else json.dumps(v), i, landed) for i, v in enumerate(values)]
     spark.createDataFrame(rows, FEED_RECORD).write.mode("append").parquet(folder("in"))
-    jobs.land_bronze(feeds.read_landing(spark, folder("in")), lake.bronze, folder("mark")).awaitTermination()
+    jobs.land_bronze(
+        feeds.read_landing(spark, folder("in")), lake.bronze, folder("mark"), clock=F.col("timestamp")
+    ).awaitTermination()
 
 
 def test_run_repeat_late_and_update(spark, folder, lake):
@@ -95,7 +97,7 @@ def test_the_filling_day_waits(spark, folder, lake):
 
 def test_a_failed_gate_leaves_the_day_pending(spark, folder, lake):
     bad = message("1")
-    bad["items"] = [{**bad["items"][0], "quantity": 0}]
+    bad["items"] = [{**bad["items"][0], "quantity": 0.0}]
     land(spark, folder, lake, datetime(2025, 2, 10, 11), bad)
     with pytest.raises(quality.QualityGateError, match="quantity <= 0"):
         daily.run(spark, lake, "v1")
@@ -120,7 +122,9 @@ def test_a_run_that_dies_late_is_repeated(spark, folder, lake, monkeypatch):
 def test_run_on_given_tables_equals_direct_reports(spark, folder, lake, sf_dir):
     records = given.feed_records(given.table(spark, sf_dir, "events"))
     records.write.parquet(folder("in"))
-    jobs.land_bronze(feeds.read_landing(spark, folder("in")), lake.bronze, folder("mark")).awaitTermination()
+    jobs.land_bronze(
+        feeds.read_landing(spark, folder("in")), lake.bronze, folder("mark"), clock=F.col("timestamp")
+    ).awaitTermination()
     assert daily.run(spark, lake, "v1") == [date(2024, 2, 1)]
     orders = spark.table("orders")
     assert orders.count() == records.filter(F.col("topic") == "orders-raw").count()
@@ -177,3 +181,28 @@ def test_shared_folder(spark):
     assert root == spark.conf.get("spark.checkpoint.dir")
     assert scratch(spark, "x").startswith(root) and scratch(spark, "x") != scratch(spark, "x")
     assert settle(spark.range(3).toDF("id"), "x").count() == 3
+
+
+def test_a_record_of_a_finished_day_is_in_the_next_run(spark, folder, lake):
+    """Landing follows the clock of the batch, so a late record lands in a day that is still open."""
+    stamped = datetime(2025, 2, 10, 23, 59)
+    for order in ("1", "2"):
+        rows = [("orders-raw", "k", json.dumps(message(order)), int(order), stamped)]
+        spark.createDataFrame(rows, FEED_RECORD).write.mode("append").parquet(folder("in"))
+        jobs.land_bronze(feeds.read_landing(spark, folder("in")), lake.bronze, folder("mark")).awaitTermination()
+        landed = spark.read.parquet(lake.bronze).agg(F.max("ingest_date"), F.min("ingest_date")).first()
+        assert landed[0] == landed[1] != stamped.date()
+    assert len(daily.run(spark, lake, "v1", before=date(2999, 1, 1))) == 1
+    assert spark.table("orders").count() == 2
+
+
+def test_rejects_are_kept_with_their_reason(spark, folder, lake):
+    land(spark, folder, lake, datetime(2025, 2, 10, 11), message("1"), "{torn", message("3", total_amount="0"),
+         message(None), message("5", merchant_id=None))
+    daily.run(spark, lake, "v1")
+    rejects = {r.offset: r for r in spark.read.parquet(lake.rejects).collect()}
+    assert {o: r.reason for o, r in rejects.items()} == {
+        1: "malformed json", 2: "total_amount is no positive number", 3: "order_id is null", 4: "merchant_id is null"
+    }
+    assert rejects[1].value == "{torn" and rejects[1].key == "k"
+    assert spark.table("orders").count() + len(rejects) == 5

@@ -2,7 +2,7 @@ from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
-from rows import BURGER, bronze
+from rows import SOUP, bronze
 
 from dispatchlake.operators import gold, silver
 
@@ -76,7 +76,7 @@ def test_volume(spark):
 def test_fanout_weighs_orders_by_items(spark):
     feed = bronze(
         spark,
-        {**at(1), "order_id": "a", "total_amount": "10", "items": [BURGER] * 3},
+        {**at(1), "order_id": "a", "total_amount": "10", "items": [SOUP] * 3},
         {**at(1), "order_id": "b", "total_amount": "20", "items": []},
     )
     df, items = silver.silver_orders(feed), silver.order_items(feed)

@@ -2,7 +2,7 @@ from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
-from rows import BURGER, bronze
+from rows import SOUP, bronze
 
 from dispatchlake.operators import quality, silver
 from dispatchlake.schemas import BRONZE_ORDERS, SILVER_ITEMS, SILVER_ORDERS
@@ -26,7 +26,7 @@ def test_plain_order(spark):
     row = one(silver.silver_orders(bronze(spark, {})))
     assert row.delivery_time_minutes == 30 and row.is_delayed is False
     assert row.event_date == date(2025, 2, 10)
-    assert (row.delivery_latitude, row.delivery_longitude) == (10.0, 20.0)
+    assert (row.delivery_latitude, row.delivery_longitude) == (-3.25, 41.5)
     assert row.order_status == "delivered" and row.delivery_fee == 5.0
 
 
@@ -81,9 +81,9 @@ def test_validity_filter_drops_without_failing(spark):
 
 
 def test_items(spark):
-    rows = silver.order_items(bronze(spark, {"items": [BURGER, BURGER]}, {"items": []}, {"items": None})).collect()
+    rows = silver.order_items(bronze(spark, {"items": [SOUP, SOUP]}, {"items": []}, {"items": None})).collect()
     assert len(rows) == 2
-    assert (rows[0].quantity, rows[0].unit_price, rows[0].total_price) == (1, 5.99, 5.99)
+    assert (rows[0].quantity, rows[0].unit_price, rows[0].total_price) == (1, 4.2, 4.2)
     assert silver.order_items(bronze(spark, {"items": []}, {"items": None}), keep_empty=True).count() == 2
 
 
@@ -97,9 +97,9 @@ def test_items_given_as_maps(spark):
 
 
 def test_order_totals_skip_unreadable_prices(spark):
-    broken = {**BURGER, "total_price": "?"}
-    totals = silver.order_totals(bronze(spark, {"items": [BURGER, BURGER, broken]}, {"order_id": "2", "items": None}))
-    assert {r.order_id: float(r.items_total) for r in totals.collect()} == {"1001": 11.98, "2": 0.0}
+    broken = {**SOUP, "total_price": "?"}
+    totals = silver.order_totals(bronze(spark, {"items": [SOUP, SOUP, broken]}, {"order_id": "2", "items": None}))
+    assert {r.order_id: float(r.items_total) for r in totals.collect()} == {"o-1": 8.4, "2": 0.0}
 
 
 def test_bronze_read_fills_absent_columns(spark, folder):
@@ -107,7 +107,7 @@ def test_bronze_read_fills_absent_columns(spark, folder):
 
     bronze(spark, {}).drop("items").write.parquet(folder("b") + "/2025/02/10")
     row = one(read_bronze_orders(spark, folder("b") + "/2025/02/*"))
-    assert row["items"] is None and row.order_id == "1001"
+    assert row["items"] is None and row.order_id == "o-1"
 
 
 def test_quality_counts(spark):
@@ -157,3 +157,21 @@ def test_domains_and_ranges(spark):
         ("rating", "6"): False,
         ("rating", None): True,
     }
+
+
+def test_whole_and_fractional_quantities_are_read(spark):
+    from dispatchlake.operators import messages
+    from dispatchlake.schemas import BRONZE_ORDERS
+
+    rows = [('{"order_id":"1","items":[{"quantity":2.0},{"quantity":3}]}',)]
+    decoded = messages.decode(spark.createDataFrame(rows, "value string"), BRONZE_ORDERS)
+    assert decoded.filter(messages.unreadable()).count() == 0
+    items = silver.order_items(decoded.select("message.*"))
+    assert sorted(r.quantity for r in items.collect()) == [2, 3]
+
+
+def test_every_line_is_an_item(spark, sf_dir):
+    from dispatchlake.sources import driver_tables as given
+
+    lines = given.table(spark, sf_dir, "lineitem").count()
+    assert silver.order_items(given.item_messages(spark, sf_dir)).count() == lines
