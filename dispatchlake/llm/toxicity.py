@@ -67,8 +67,18 @@ class Lexicon:
                 for c in term:
                     node = node.setdefault(c, {})
                 node[""] = term
+        fuzzy = [t for t in self.words if len(t) >= FUZZY_FROM and t not in strict]
+        self.heads = {t[: len(t) // 2] for t in fuzzy}
+        self.tails = {t[len(t) // 2 :] for t in fuzzy}
+        self.head_sizes, self.tail_sizes = sorted({*map(len, self.heads)}), sorted({*map(len, self.tails)})
         self.memo: dict[str, int] = {}
 
+    def may_be_near(self, word: str) -> bool:
+        """False if no term can be within one edit: that edit leaves the first or the last half of a term whole."""
+        return any(word[:n] in self.heads for n in self.head_sizes) or any(
+            word[-n:] in self.tails for n in self.tail_sizes
+        )
+
     def near(self, word: str, edits: int = EDITS) -> set[str]:
         """The terms of the trie within ``edits`` edits.
 
@@ -106,7 +116,7 @@ class Lexicon:
             if word in self.words or any(word[:n] in self.stems for n in STEMS if len(word) > n):
                 kind = 1
             else:
-                kind = 2 * (len(word) >= FUZZY_FROM - EDITS and bool(self.near(word)))
+                kind = 2 * (len(word) >= FUZZY_FROM - EDITS and self.may_be_near(word) and bool(self.near(word)))
             if len(self.memo) >= MEMO:
                 self.memo.clear()
             self.memo[word] = kind

@@ -360,6 +360,7 @@ def test_automaton_agrees_with_the_edit_distance():
         word = "".join(rnd.choice("abc") for _ in range(rnd.randint(1, 8)))
         for k in (1, 2):
             assert lexicon.near(word, k) == {t for t in terms if edits(word, t) <= k}
+        assert lexicon.may_be_near(word) or not lexicon.near(word)
 
 
 def test_context_tells_quotation_from_abuse():
