@@ -8,10 +8,11 @@ filter), so a second pass sends only these prefixes, cut by shingle, to tasks th
 
 Lists of up to ``FULL_LIST`` sets give all their pairs of fitting sizes. A longer list first meets its
 ``HUBS`` smallest members only; when those links are known, what is left are pairs of its members that are
-not yet connected, and these are all compared. So a group of n near copies costs about n pairs.
+not yet connected. They are bounded in tiles, and only pairs that the bound leaves open become rows.
 
 Pairs are thinned by the counts of both sets in ``SHAPE`` fragments of the order, whose differences cannot
-exceed the symmetric difference. The sets of the others are cut into ``FRAGMENTS`` fragments, partial
+exceed the symmetric difference. Of the others only as many are compared as connectedness needs: first every
+set with its least partner, then the pairs that are still apart. Their sets are cut into ``FRAGMENTS`` fragments, partial
 overlaps are counted fragment by fragment and added up per pair.
 
 Defined results: a null or empty text, or one without words, has no shingles and is its own component; a row
@@ -27,17 +28,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.taskcontext import TaskContext
 
 from dispatchlake.llm.components import components
 from dispatchlake.llm.shingles import mix, shingle_sets
 from dispatchlake.session import settle
 
 WIDTH, PERCENT = 5, 80
-BUCKETS = 1 << 20  # of the count table: 4 MB, whatever the corpus is
+BUCKETS = 1 << 21  # of the count table: 16 MB on the driver, 2 MB in a task, whatever the corpus is
 COUNT_CHUNKS = 64
 SHAPE, FRAGMENTS = 128, 4
 FULL_LIST, HUBS = 64, 32
-SALT_ROWS = 20_000  # a shingle that may be in more sets is spread over several lists
+HOT = 96  # ranks below are explained by chance
+SALT_FROM = 9  # doublings over chance from which a shingle is spread over several lists
+TILE_SETS = 1024
+BROADCAST_IDS = 1_000_000  # 8 MB of ids; more are joined by a shuffle
 TEXTS = 512  # documents whose sets are in memory together
 
 NAMED_SQL = "doc_id long, n long, key long, shape binary, chunk int, counts binary"
@@ -130,10 +135,11 @@ def _add_counts(batches: Batches) -> Batches:
         )
 
 
-def levels(named: DataFrame) -> tuple[np.ndarray, float]:
-    """For each bucket 0, or how many doublings it lies over what an even spread explains; and that bound.
+def levels(named: DataFrame) -> np.ndarray:
+    """The rank of each bucket in the global order, 0 to 255 by its count.
 
-    The table has a fixed size, which bounds what comes to the driver and goes to the tasks.
+    Up to ``HOT`` steps are quarters of the spread that chance gives a bucket, further ones eighths of a
+    doubling. The table has a fixed size, which bounds what comes to the driver and goes to the tasks.
     """
     parts = named.filter("chunk is not null").select("chunk", "counts")
     added = parts.repartition("chunk").mapInArrow(_add_counts, "chunk int, counts binary")
@@ -143,14 +149,20 @@ def levels(named: DataFrame) -> tuple[np.ndarray, float]:
         at = row["chunk"] * size
         counts[at : at + size] += np.frombuffer(bytes(row["counts"]), "<u8")
     middle = float(np.median(counts))
-    bound = middle + 6 * middle**0.5 + 8
-    over = np.ceil(np.log2(np.maximum(counts / bound, 1.0)))
-    return over.astype(np.uint8), bound
+    chance = max(middle, 1.0) ** 0.5
+    steps = np.clip(np.round(4 * (counts - middle) / chance) + HOT // 3, 0, HOT - 1)
+    bound = middle + HOT / 6 * chance
+    over = HOT + np.floor(8 * np.log2(np.maximum(counts / bound, 1.0)))
+    return np.minimum(np.where(counts > bound, over, steps), 255).astype(np.uint8)
 
 
-def _prefixer(level: np.ndarray, bound: float, width: int, percent: int) -> Callable[[Batches], Batches]:
-    spread = np.maximum(1, np.ceil(bound * 2.0 ** np.arange(64) / SALT_ROWS)).astype(np.int64)
-    spread[0] = 1
+def _lists(level: np.ndarray) -> np.ndarray:
+    """Over how many lists a shingle of each rank is spread: more for each doubling of a hot one."""
+    return np.maximum(1, (2.0 ** ((level.astype(float) - HOT) / 8 - SALT_FROM))).astype(np.int64)
+
+
+def _prefixer(level: np.ndarray, width: int, percent: int) -> Callable[[Batches], Batches]:
+    spread = _lists(np.arange(256))
 
     def run(batches: Batches) -> Batches:
         done: set[int] = set()
@@ -190,10 +202,10 @@ def _fits(n: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarr
     return 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
 
 
-def _lister(level: np.ndarray, bound: float, percent: int) -> Callable[[Batches], Batches]:
+def _lister(level: np.ndarray, percent: int) -> Callable[[Batches], Batches]:
     """Pairs of the sets in each list; rows come sorted by token, salt and key, and a list may span batches."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("token", pa.int64()), ("n", pa.int32())])
-    salted = bound * 2.0 ** level.astype(float) > SALT_ROWS
+    salted = _lists(np.arange(256))[level] > 1
 
     def pairs(keys: np.ndarray, n: np.ndarray, i: list[np.ndarray], j: list[np.ndarray]) -> Batches:
         if not i:
@@ -335,21 +347,27 @@ def _count_overlaps(batches: Batches) -> Batches:
         )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) that reach the similarity."""
+def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) whose shapes allow the similarity, with both sizes."""
     side = sets.select("key", F.col("n").alias("size"), "shape")
-    shaped = pairs
     for c in ("a", "b"):
-        shaped = shaped.join(
+        pairs = pairs.join(
             side.select(F.col("key").alias(c), F.col("size").alias(f"n_{c}"), F.col("shape").alias(f"shape_{c}")), c
         )
-    near = settle(
-        shaped.mapInArrow(_thinner(percent), "a long, b long, n_a long, n_b long"),
-        "jaccard-near",
-    )
+    return settle(pairs.mapInArrow(_thinner(percent), "a long, b long, n_a long, n_b long"), "jaccard-near")
+
+
+def _few(ids: DataFrame) -> DataFrame:
+    """Ids to join with whole texts: sent to all tasks while they are few, so that no text is shuffled."""
+    ids = settle(ids, "jaccard-ids")
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _overlapping(near: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Those of the pairs that reach the similarity: overlaps are counted by fragment and added up."""
     wanted = near.select(F.col("a").alias("key")).union(near.select(F.col("b").alias("key"))).distinct()
     ids = sets.join(wanted, "key").select(F.col("doc").alias("doc_id")).distinct()
-    texts = docs.join(ids, "doc_id", "left_semi").select("doc_id", "text")
+    texts = docs.join(_few(ids), "doc_id", "left_semi").select("doc_id", "text")
     segments = settle(
         texts.mapInArrow(_segmenter(width), SEGMENT_SQL)
         .join(wanted, "key", "left_semi")
@@ -365,17 +383,130 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, pe
     total = partial.groupBy("a", "b").agg(
         F.sum("shared").alias("shared"), F.first(F.col("n_a") + F.col("n_b")).alias("members")
     )
-    return settle(
-        total.filter(F.lit(100) * F.col("shared") >= F.lit(percent) * (F.col("members") - F.col("shared"))).select("a", "b"),
-        "jaccard-links",
+    reached = F.lit(100) * F.col("shared") >= F.lit(percent) * (F.col("members") - F.col("shared"))
+    return settle(total.filter(reached).select("a", "b"), "jaccard-links")
+
+
+def _connected(
+    near: DataFrame, links: DataFrame | None, sets: DataFrame, docs: DataFrame, width: int, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """Links among the pairs that suffice to connect what all of them connect, and the components.
+
+    Each set is first compared with its least partner only. Pairs that those links have connected need no
+    comparison; all others are compared.
+    """
+    columns = F.struct("a", "n_a", "n_b")
+    first = settle(
+        near.groupBy("b").agg(F.min_by(columns, "a").alias("p")).select("p.a", "b", "p.n_a", "p.n_b"), "jaccard-first"
     )
+    found = _overlapping(first, sets, docs, width, percent)
+    links = found if links is None else links.union(found)
+    roots = components(links)
+    rest = near.join(first.select("a", "b"), ["a", "b"], "left_anti")
+    for c in ("a", "b"):
+        rest = rest.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left")
+    rest = settle(
+        rest.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b", "n_a", "n_b"), "jaccard-open"
+    )
+    if not rest.isEmpty():
+        links = links.union(_overlapping(rest, sets, docs, width, percent))
+        roots = components(links)
+    return links, roots
+
+
+def _tile_sets(batches: Batches) -> Batches:
+    """Sets sorted by cluster and size, packed in tiles of one cluster."""
+    schema = pa.schema(
+        [("cluster", pa.int64()), ("tile", pa.int64()), ("least", pa.int64()), ("most", pa.int64())]
+        + [(c, pa.binary()) for c in ("keys", "roots", "sizes", "shapes")]
+    )
+    tile, rows = TaskContext.get().partitionId() << 32, []
+
+    def cut() -> pa.RecordBatch:
+        sizes = [r[3] for r in rows]
+        packed = [np.array([r[i] for r in rows], dtype=np.int64).tobytes() for i in (1, 2, 3)]
+        values = (rows[0][0], tile, min(sizes), max(sizes), *packed, b"".join(r[4] for r in rows))
+        return pa.RecordBatch.from_pylist([dict(zip(schema.names, values))], schema=schema)
+
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("cluster", "key", "root", "n", "shape"))):
+            if rows and (row[0] != rows[0][0] or len(rows) == TILE_SETS):
+                yield cut()
+                tile, rows = tile + 1, []
+            rows.append(row)
+    if rows:
+        yield cut()
+
+
+def _tile_pairs(percent: int) -> Callable[[Batches], Batches]:
+    """Pairs of two tiles that are apart so far and whose sizes and shapes allow the similarity."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
+                a, b = ([np.frombuffer(row[f"{c}_{s}"], np.int64) for c in ("keys", "roots", "sizes")] for s in "ab")
+                shapes = [np.frombuffer(row[f"shapes_{s}"], np.uint8).reshape(-1, SHAPE).astype(np.int16) for s in "ab"]
+                same, found = row["tile_a"] == row["tile_b"], []
+                for i in range(len(a[0])):
+                    small, large = np.minimum(a[2][i], b[2]), np.maximum(a[2][i], b[2])
+                    open_ = (a[1][i] != b[1]) & (100 * small >= percent * large)
+                    if same:
+                        open_[: i + 1] = False
+                    j = np.flatnonzero(open_)
+                    if len(j):
+                        total = a[2][i] + b[2][j]
+                        apart = np.abs(shapes[0][i] - shapes[1][j]).sum(axis=1)
+                        j = j[apart <= total - 2 * least_overlap(total, percent)]
+                        found.append((np.full(len(j), i), j))
+                if found:
+                    i, j = (np.concatenate(c) for c in zip(*found))
+                    turn = a[0][i] > b[0][j]
+                    columns = [np.where(turn, b[k][j], a[k][i]) for k in (0, 2)] + [np.where(turn, a[k][i], b[k][j]) for k in (0, 2)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(columns[k]) for k in (0, 2, 1, 3)], names=["a", "b", "n_a", "n_b"]
+                    )
+
+    return run
+
+
+def _still_apart(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets in long lists that no links connect yet, if sizes and shapes allow the similarity.
+
+    Lists that share members are one cluster. Its sets are compared in tiles, by shape alone, so neither a
+    pair nor a list becomes a row unless it has to be verified.
+    """
+    ranges = placed.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.min("key").alias("first"))
+    open_ = placed.join(ranges.filter("x < y").select("token", "first"), "token").select("key", "root", "first").distinct()
+    open_ = settle(open_, "jaccard-open-members")
+    clusters = components(open_.select(F.col("key").alias("a"), F.col("first").alias("b")))
+    members = (
+        open_.select("key", "root").distinct()
+        .join(clusters.select(F.col("node").alias("key"), F.col("root").alias("cluster")), "key")
+        .join(sets.select("key", "n", "shape"), "key")
+    )
+    order = ["cluster", "n", "key"]
+    tiles_sql = "cluster long, tile long, least long, most long, keys binary, roots binary, sizes binary, shapes binary"
+    tiles = settle(
+        members.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_tile_sets, tiles_sql), "jaccard-tiles"
+    )
+    head = ["cluster", "tile", "least", "most"]
+    left, right = (tiles.select(*[F.col(c).alias(f"{c}_{s}") for c in head]) for s in "ab")
+    fits = (F.lit(100) * F.col("most_a") >= F.lit(percent) * F.col("least_b")) & (
+        F.lit(100) * F.col("most_b") >= F.lit(percent) * F.col("least_a")
+    )
+    met = left.join(right, (F.col("cluster_a") == F.col("cluster_b")) & (F.col("tile_a") <= F.col("tile_b")) & fits)
+    met = met.select("tile_a", "tile_b")
+    body = ("keys", "roots", "sizes", "shapes")
+    for s in "ab":
+        met = met.join(tiles.select(F.col("tile").alias(f"tile_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in body]), f"tile_{s}")
+    return met.mapInArrow(_tile_pairs(percent), "a long, b long, n_a long, n_b long")
 
 
 def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the least id reachable by links)."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     named = settle(narrow.mapInArrow(_namer(width), NAMED_SQL), "jaccard-named")
-    level, bound = levels(named)
+    level = levels(named)
     rows = named.filter("chunk is null").drop("chunk", "counts")
     sets = settle(
         rows.filter("n > 0 and doc_id is not null")
@@ -384,16 +515,15 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
         .select("key", "doc", "s.n", "s.shape"),
         "jaccard-sets",
     )
-    prefixes = narrow.mapInArrow(_prefixer(level, bound, width, percent), PREFIX_SQL)
+    prefixes = narrow.mapInArrow(_prefixer(level, width, percent), PREFIX_SQL)
     listed = settle(
         prefixes.repartition("token", "salt")
         .sortWithinPartitions("token", "salt", "key")
-        .mapInArrow(_lister(level, bound, percent), LISTED_SQL),
+        .mapInArrow(_lister(level, percent), LISTED_SQL),
         "jaccard-lists",
     )
     pairs = settle(listed.filter("b is not null").select("a", "b").distinct(), "jaccard-pairs")
-    links = _verified(pairs, sets, narrow, width, percent)
-    roots = components(links)
+    links, roots = _connected(_near(pairs, sets, percent), None, sets, narrow, width, percent)
     members = listed.filter("b is null").select("token", F.col("a").alias("key"), "n").distinct()
     if not members.isEmpty():
         placed = settle(
@@ -402,16 +532,10 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
             ),
             "jaccard-members",
         )
-        split = placed.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y")
-        open_ = placed.join(split.select("token"), "token", "left_semi")
-        left = open_.select("token", F.col("key").alias("a"), F.col("n").alias("m_a"), F.col("root").alias("r_a"))
-        right = open_.select("token", F.col("key").alias("b"), F.col("n").alias("m_b"), F.col("root").alias("r_b"))
-        fits = F.lit(100) * F.least("m_a", "m_b") >= F.lit(percent) * F.greatest("m_a", "m_b")
-        crossing = left.join(right, "token").filter((F.col("a") < F.col("b")) & (F.col("r_a") != F.col("r_b")) & fits)
-        rest = settle(crossing.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "jaccard-rest")
+        rest = _still_apart(placed, sets, percent)
+        rest = settle(rest.join(pairs, ["a", "b"], "left_anti"), "jaccard-rest")
         if not rest.isEmpty():
-            links = links.union(_verified(rest, sets, narrow, width, percent))
-            roots = components(links)
+            links, roots = _connected(rest, links, sets, narrow, width, percent)
     rooted = sets.select("key", "doc").join(roots.withColumnRenamed("node", "key"), "key", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "key"))
     least = rooted.groupBy("root").agg(F.min("doc").alias("component_id"))
@@ -421,3 +545,15 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def without_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """Documents that have the least id of their component, all columns as they were.
+
+    Documents without shingles or id are kept; of rows that repeat an id, all stay. Only the ids that go are
+    joined back, so Spark can broadcast them while they are few.
+    """
+    found = similar_documents(docs, width, percent)
+    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    gone = _few(gone.withColumnRenamed("doc_id", "__gone_id"))
+    return docs.join(gone, F.col("doc_id") == F.col("__gone_id"), "left_anti")
