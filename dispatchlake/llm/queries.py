@@ -76,3 +76,35 @@ def op6_token_counts(spark, sf):
 @query
 def op7_chat_format(spark, sf):
     return chat.format_chat(table(spark, sf, "conversations"))
+
+
+# Smallest id reachable by links (x, y): labels travel along links until none gets smaller.
+_COMPONENTS = """both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(d, r) AS (SELECT {id}, {id} FROM {table} UNION
+  SELECT b.y, reach.r FROM reach JOIN both_ways b ON b.x = reach.d WHERE reach.r < b.y),
+least AS (SELECT d, MIN(r) AS component_id FROM reach GROUP BY d)"""
+
+SQL["op2_shingle_jaccard"] = f"""
+WITH RECURSIVE words AS (SELECT doc_id, list_filter(string_split_regex(translate(COALESCE(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+tokens AS (SELECT doc_id, unnest(s) AS t FROM sets),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, COUNT(*) AS o FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id < b.doc_id
+    GROUP BY 1, 2),
+links AS (SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+    WHERE 100 * o >= 80 * (p.n + q.n - o)),
+{_COMPONENTS.format(id="doc_id", table="documents")}
+SELECT doc_id, n AS n_shingles, component_id FROM sizes JOIN least ON d = doc_id"""
+
+SQL["op10_cosine_near_duplicates"] = f"""
+WITH RECURSIVE usable AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id < b.vec_id
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+{_COMPONENTS.format(id="vec_id", table="embeddings")},
+counts AS (SELECT x, COUNT(*) AS n FROM both_ways GROUP BY x)
+SELECT vec_id, COALESCE(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least ON d = vec_id LEFT JOIN counts ON x = vec_id"""
