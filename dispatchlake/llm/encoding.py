@@ -12,35 +12,35 @@ import os
 import re
 from array import array
 
+import numpy as np
+
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-GENERATION = 350_000  # parts in a generation of the memo; two generations take about 150 MB
+GENERATION = 450_000  # parts in a generation of the memo; two generations take about 190 MB
 LONG_PART = 48
-GROUP = 64
+GROUP = 256  # texts whose new parts are encoded together
 
 DOUBLE = re.compile(r"\s\s")
+SPACE = re.compile(r"\s")
 CUT = re.compile(r"(?<=\S)(?= )")
 
 
-class _Memo(dict):
+class _Memo:
     """New parts on top of an older generation, from which parts in use are taken over."""
 
     def __init__(self) -> None:
+        self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.long: dict[str, bytes] = {}
 
-    def __missing__(self, part: str) -> bytes:
+    def take_over(self, part: str) -> bytes | None:
         found = self.old.get(part)
-        if found is None:
-            return self.long[part]
-        self[part] = found
+        if found is not None:
+            self.young[part] = found
         return found
 
     def age(self) -> None:
-        self.long.clear()
-        if len(self) > GENERATION:
-            self.old = dict(self)
-            self.clear()
+        if len(self.young) > GENERATION:
+            self.old, self.young = self.young, {}
 
 
 class Encoder:
@@ -53,6 +53,7 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path or public_tokenizers.path(TOKENIZER))
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.line_feed = self.library.encode("\n", add_special_tokens=False).ids[0]
         self.vocabulary = self.library.get_vocab_size()
         self.memo = _Memo()
 
@@ -60,29 +61,84 @@ class Encoder:
         encoded = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in encoded]
 
+    def _joined(self, parts: list[str], before: str) -> list[bytes]:
+        """Ids of parts without white space, each with ``before`` in front.
+
+        They go in one text, a line feed between them: it is a token of its own there, so it shows where a part
+        ends. One long text costs the library half of many short ones.
+        """
+        if not parts:
+            return []
+        text = "\n".join([before + p for p in parts])
+        ids = np.frombuffer(self._whole([text])[0], dtype="<u4")
+        ends = np.flatnonzero(ids == self.line_feed)
+        if len(ends) != len(parts) - 1:
+            return self._whole([before + p for p in parts])
+        raw, bounds = ids.tobytes(), [-1, *ends.tolist(), len(ids)]
+        return [raw[4 * a + 4 : 4 * b] for a, b in zip(bounds, bounds[1:])]
+
     def _parts(self, text: str) -> list[str] | None:
-        """The text's head and its other parts without the space that each begins with."""
+        """The text's head and its other parts.
+
+        A part without white space stands for itself behind a space, one that begins with a space or a line
+        feed for just itself.
+        """
         if any(s in text for s in self.special):
             return None
         if not DOUBLE.search(text):
-            return text.split(" ")
+            return text.replace("\n", " \n").split(" ")
         head, *rest = CUT.split(text)
-        return [head, *(r[1:] for r in rest)]
+        return [head, *(r if SPACE.search(r, 1) or len(r) == 1 else r[1:] for r in rest)]
+
+    def _ids(self, new: list[str], heads: list[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """Ids of heads, and of new parts."""
+        plain, lines, others = [], [], []
+        for part in new:
+            if part and not SPACE.search(part):
+                plain.append(part)
+            elif part[:1] == "\n" and len(part) > 1 and not SPACE.search(part, 1):
+                lines.append(part)
+            else:
+                others.append(part)
+        bare = dict.fromkeys([*(h for h in heads if h and not SPACE.search(h)), *(p[1:] for p in lines)])
+        bare = dict(zip(bare, self._joined(list(bare), "")))
+        odd = [h for h in heads if h and h not in bare]
+        found = self._whole([*odd, *(p if p[:1] in (" ", "\n") else " " + p for p in others)])
+        feed = np.array([self.line_feed], dtype="<u4").tobytes()
+        heads = {"": b"", **bare, **dict(zip(odd, found))}
+        fresh = dict(zip(plain, self._joined(plain, " ")))
+        fresh.update((p, feed + bare[p[1:]]) for p in lines)
+        fresh.update(zip(others, found[len(odd) :]))
+        return heads, fresh
 
     def group(self, texts: list[str]) -> list[bytes]:
         parts = [self._parts(t) for t in texts]
         memo = self.memo
-        heads = dict.fromkeys(p[0] for p in parts if p)
-        seen = set().union(*(p[1:] for p in parts if p))
-        new = [x for x in seen if x not in memo and x not in memo.old]
-        odd = [t for t, p in zip(texts, parts) if p is None]
-        ids = self._whole([*heads, *odd, *(" " + x for x in new)])
-        heads = dict(zip(heads, ids))
-        whole = iter(ids[len(heads) : len(heads) + len(odd)])
-        for part, found in zip(new, ids[len(heads) + len(odd) :]):
-            (memo if len(part) <= LONG_PART else memo.long)[part] = found
-        get = memo.__getitem__
-        out = [next(whole) if p is None else b"".join([heads[p[0]], *map(get, p[1:])]) for p in parts]
+        get, found, missing = memo.young.get, [], {}
+        for p in parts:
+            ids = list(map(get, p)) if p else []
+            found.append(ids)
+            if p:
+                ids[0] = b""  # the head is no part behind a space
+            gaps = [i for i, x in enumerate(ids) if x is None]
+            for i in gaps:
+                ids[i] = memo.take_over(p[i])
+                if ids[i] is None:
+                    missing.setdefault(p[i], []).append((ids, i))
+        heads, fresh = self._ids(list(missing), [p[0] for p in parts if p])
+        for part, ids in fresh.items():
+            if len(part) <= LONG_PART:
+                memo.young[part] = ids
+            for into, i in missing[part]:
+                into[i] = ids
+        whole = iter(self._whole([t for t, p in zip(texts, parts) if p is None]))
+        out = []
+        for p, ids in zip(parts, found):
+            if p is None:
+                out.append(next(whole))
+            else:
+                ids[0] = heads[p[0]]
+                out.append(b"".join(ids))
         memo.age()
         return out
 
