@@ -1,4 +0,0 @@
-from dispatchlake.functions.parsing import money, parse_time, to_double, to_float
-from dispatchlake.functions.rates import mean_2dp, percent_2dp, round_2dp
-
-__all__ = ["mean_2dp", "money", "parse_time", "percent_2dp", "round_2dp", "to_double", "to_float"]

@@ -73,6 +73,20 @@ def wrong_item_totals(bronze: DataFrame) -> DataFrame:
     )
 
 
+def wrong_order_totals(orders: DataFrame, totals: DataFrame) -> DataFrame:
+    """Orders whose amount is not the sum of their items, in exact money; orders without items are left out.
+
+    ``totals`` has (order_id, items_total) per message of an order; they are added up here.
+    """
+    summed = totals.groupBy("order_id").agg(F.sum("items_total").alias("items_total"))
+    stated = orders.select("order_id", money("total_amount").alias("stated")).filter(F.col("stated").isNotNull())
+    return stated.join(summed, "order_id").filter(F.col("stated") != F.col("items_total")).select(
+        "order_id",
+        F.col("stated").cast("double").alias("total_amount"),
+        F.col("items_total").cast("double").alias("items_total"),
+    )
+
+
 def domain_counts(
     df: DataFrame, enums: dict[str, list[str]], ranges: dict[str, tuple[int, int]] | None = None
 ) -> DataFrame:

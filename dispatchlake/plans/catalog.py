@@ -15,6 +15,7 @@ from dispatchlake.operators.daytable import BY_MONTH, DayTable
 from dispatchlake.schemas import (
     BRONZE_ORDERS,
     COURIER_MESSAGE,
+    DELIVERY_STATUSES,
     FEEDS,
     ORDER_MESSAGE,
     ORDER_STATUSES,
@@ -24,6 +25,7 @@ from dispatchlake.schemas import (
     REVIEW_MESSAGE,
     SERVICE_TYPES,
     SILVER_ORDERS,
+    VEHICLE_TYPES,
 )
 from dispatchlake.session import configure, scratch
 from dispatchlake.sources import driver_tables as given
@@ -661,6 +663,20 @@ def dq_domains(spark, sf):
     )
 
 
+@query
+def dq_courier_domains(spark, sf):
+    """Closed domains of courier events; every eleventh one names a vehicle that none may have."""
+    vehicle = F.when(F.col("event_id").cast("bigint") % 11 == 0, F.lit("Sled")).otherwise(F.col("vehicle_type"))
+    events = _couriers(spark, sf).withColumn("vehicle_type", vehicle)
+    return quality.domain_counts(events, {"delivery_status": DELIVERY_STATUSES, "vehicle_type": VEHICLE_TYPES})
+
+
+@query
+def dq_order_totals(spark, sf):
+    """Orders whose amount differs from the sum of their lines."""
+    return quality.wrong_order_totals(_orders(spark, sf), silver.order_totals(given.item_messages(spark, sf)))
+
+
 @query
 def dq_ratings(spark, sf):
     reviews = messages.decode(

@@ -430,6 +430,14 @@ def sql() -> dict[str, str]:
                 _domain("timed", "payment_status", "true"),
             ]
         ),
+        "dq_courier_domains": f"""WITH {COURIERS}, checked AS (SELECT delivery_status,
+            CASE WHEN n % 11 = 0 THEN 'Sled' ELSE vehicle_type END AS vehicle_type FROM couriers) """
+        + _domain("checked", "delivery_status", "delivery_status IN ('assigned', 'accepted', 'picked_up', 'delivered', 'cancelled')")
+        + " UNION ALL "
+        + _domain("checked", "vehicle_type", "vehicle_type <> 'Sled'"),
+        "dq_order_totals": f"""{both}, sums AS (SELECT order_id, SUM(total_cents) AS cents FROM items GROUP BY 1)
+            SELECT s.order_id, CAST(amount AS DOUBLE) AS total_amount, CAST(cents AS BIGINT) / 100.0 AS items_total
+            FROM silver s JOIN sums u ON s.order_id = u.order_id WHERE CAST(amount * 100 AS BIGINT) <> cents""",
         "dq_ratings": f"""WITH {ROUTED}, rated AS (SELECT event_id % 5 + 1 AS courier_rating, event_id % 7 AS merchant_rating,
             event_id % 4 + 1 AS delivery_rating FROM records WHERE topic = 'reviews-raw') """
         + " UNION ALL ".join(_domain("rated", f"{w}_rating", f"{w}_rating BETWEEN 1 AND 5") for w in ("courier", "merchant", "delivery")),
