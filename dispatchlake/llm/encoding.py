@@ -16,7 +16,7 @@ import numpy as np
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-GENERATION = 450_000  # parts in a generation of the memo; two generations take about 190 MB
+GENERATION = 300_000  # parts in a generation of the memo; two generations take about 130 MB
 LONG_PART = 48
 GROUP = 256  # texts whose new parts are encoded together
 

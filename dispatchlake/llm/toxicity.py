@@ -37,7 +37,8 @@ EVIDENCE = 3.0  # nats beyond what the number of candidates asks for
 FUZZY_FROM = 5  # letters from which a misspelling counts
 EDITS = 1
 WINDOW = 4  # words on either side of a hit
-MEMO = 300_000
+MEMO = 200_000
+HELD_TERMS = 200_000  # of a counting task
 
 WORD = re.compile(r"[^\W_]+")
 QUOTES = re.compile("[\"“”„«»‘’]")
@@ -149,7 +150,13 @@ class Lexicon:
 
 
 def _count_terms(batches: Batches) -> Batches:
+    """Partial counts of terms; they go out whenever many terms are held, so a task's memory is bounded."""
     toxic, docs = Counter(), Counter()
+
+    def out() -> pa.RecordBatch:
+        columns = (list(docs), pa.string()), ([toxic[t] for t in docs], pa.int64()), (list(docs.values()), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(*c) for c in columns], names=["term", "toxic", "docs"])
+
     for batch in batches:
         for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
             words = set(WORD.findall((text or "").lower()))
@@ -157,15 +164,12 @@ def _count_terms(batches: Batches) -> Batches:
             docs.update(terms)
             if label:
                 toxic.update(terms)
+            if len(docs) > HELD_TERMS:
+                yield out()
+                toxic.clear()
+                docs.clear()
     if docs:
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(list(docs), pa.string()),
-                pa.array([toxic[t] for t in docs], pa.int64()),
-                pa.array(list(docs.values()), pa.int64()),
-            ],
-            names=["term", "toxic", "docs"],
-        )
+        yield out()
 
 
 def _terms_near(terms: list[str]) -> Callable[[Batches], Batches]:
