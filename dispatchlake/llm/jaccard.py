@@ -232,7 +232,8 @@ def _lister(level: np.ndarray, percent: int) -> Callable[[Batches], Batches]:
             edge = np.flatnonzero((token[1:] != token[:-1]) | (salt[1:] != salt[:-1])) + 1
             starts = np.concatenate([[0], edge])
             sizes = np.diff(np.concatenate([starts, [len(token)]]))
-            long = (sizes > FULL_LIST) | ((sizes > 1) & salted[_bucket(token[starts].view(np.uint64))])
+            # A salted list is long whatever its size: its sets meet those of other salts only as members.
+            long = (sizes > FULL_LIST) | salted[_bucket(token[starts].view(np.uint64))]
             long[0] |= was_long
             kept, kept_long = None, False
             row_run = np.repeat(np.arange(len(starts)), sizes)

@@ -127,6 +127,23 @@ def test_jaccard_finds_every_component(spark):
     assert kept == {i for i, (_, c) in want.items() if c == i} | {None}
 
 
+def test_jaccard_links_single_variants_of_spread_shingles(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SALT_FROM", 1)
+    rnd = random.Random(11)
+    texts = []
+    for g in range(6):
+        base = words(rnd, 80, 4000)
+        texts += [base] * 200 + [f"v{g} " + base.split(" ", 1)[1]]
+    sets = [word_set(t) for t in texts]
+    rows = list(enumerate(texts))
+    same = {t: i for i, t in reversed(rows)}  # of exact copies only the first is compared
+    firsts = sorted(same.values())
+    linked = lambda i, j: 100 * len(sets[firsts[i]] & sets[firsts[j]]) >= 80 * len(sets[firsts[i]] | sets[firsts[j]])
+    roots = dict(zip(firsts, (firsts[r] for r in brute_components(firsts, linked))))
+    got = {r.doc_id: r.component_id for r in jaccard.similar_documents(documents(spark, rows).repartition(5)).collect()}
+    assert got == {i: roots[same[t]] for i, t in rows} and len(set(got.values())) == 6
+
+
 def test_jaccard_of_nothing(spark):
     assert jaccard.similar_documents(documents(spark, []).limit(0)).count() == 0
 
