@@ -1,7 +1,7 @@
 """Toxicity from a learned lexicon: misspelled terms by a Levenshtein automaton, abuse apart from quotation.
 
 The lexicon is learned from labelled documents: words and word beginnings (stems, written ``abcd*``) that
-stand in toxic documents far more often than chance explains, whatever the language. It goes into a trie; for
+stand, outside of quotation, in toxic documents far more often than chance explains, whatever the language. It goes into a trie; for
 a word that is no term itself, a bit-parallel Levenshtein automaton of the word runs along the trie and cuts
 branches that are too far. Each hit is judged by a window of words around it: quotation marks or words of
 reporting beside it make it a quotation, a second person makes it an address. A logistic model over these
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -32,7 +33,8 @@ from dispatchlake.session import settle
 SAMPLE = 20_000  # labelled documents of each class that the fit sees at most
 CUT_SCORE = 0.7
 STEMS = (3, 4, 5, 6, 7, 8)
-MIN_PURE = 0.97  # share of toxic documents among those with a term
+MIN_PURE = 0.97  # share of toxic documents among those with a term outside of quotation
+MIN_CLEAN = 2  # clean documents from which a word beside a term is a plain word
 EVIDENCE = 3.0  # nats beyond what the number of candidates asks for
 FUZZY_FROM = 5  # letters from which a misspelling counts
 EDITS = 1
@@ -55,20 +57,21 @@ Batches = Iterator[pa.RecordBatch]
 class Lexicon:
     """Terms in a trie, looked up exactly, by stem, or within ``EDITS`` edits.
 
-    ``strict`` terms have plain words of clean documents near them, so only they themselves count.
+    ``spared`` words are plain words near a term: they are no misspellings, others near that term are.
     """
 
-    def __init__(self, terms: list[str], strict: frozenset[str] = frozenset()) -> None:
+    def __init__(self, terms: list[str], spared: frozenset[str] = frozenset()) -> None:
+        self.spared = spared
         self.words = {t for t in terms if not t.endswith("*")}
         self.stems = {t[:-1] for t in terms if t.endswith("*")}
         self.trie: dict = {}
         for term in self.words:
-            if len(term) >= FUZZY_FROM and term not in strict:
+            if len(term) >= FUZZY_FROM:
                 node = self.trie
                 for c in term:
                     node = node.setdefault(c, {})
                 node[""] = term
-        fuzzy = [t for t in self.words if len(t) >= FUZZY_FROM and t not in strict]
+        fuzzy = [t for t in self.words if len(t) >= FUZZY_FROM]
         self.heads = {t[: len(t) // 2] for t in fuzzy}
         self.tails = {t[len(t) // 2 :] for t in fuzzy}
         self.head_sizes, self.tail_sizes = sorted({*map(len, self.heads)}), sorted({*map(len, self.tails)})
@@ -116,6 +119,8 @@ class Lexicon:
         if kind is None:
             if word in self.words or any(word[:n] in self.stems for n in STEMS if len(word) > n):
                 kind = 1
+            elif word in self.spared:
+                kind = 0
             else:
                 kind = 2 * (len(word) >= FUZZY_FROM - EDITS and self.may_be_near(word) and bool(self.near(word)))
             if len(self.memo) >= MEMO:
@@ -149,8 +154,26 @@ class Lexicon:
         return exact, fuzzy, quoted, addressed
 
 
+def unquoted(low: str) -> set[str]:
+    """The words of a text in lower case that stand outside of quotation at least once, as ``Lexicon.hits`` sees it."""
+    words = WORD.findall(low)
+    reporting = [i for i, w in enumerate(words) if w in REPORTING]
+    quotes = QUOTES.search(low) is not None
+    if not reporting and not quotes:
+        return set(words)
+    quoted = {j for i in reporting for j in range(i - WINDOW, i + WINDOW + 1) if j != i}
+    if quotes:
+        spans = [m.span() for m in WORD.finditer(low)]
+        starts = [s for s, _ in spans]
+        gaps = sorted({bisect_left(starts, m.start()) for m in QUOTES.finditer(low)})  # before which word
+        for a in gaps:  # a word i has a quote before it at a and one behind it at b
+            for b in gaps[bisect_left(gaps, a + 1) : bisect_left(gaps, a + 2 * WINDOW + 1)]:
+                quoted.update(i for i in range(a, b) if 0 < a and b < len(words) and i - a < WINDOW and b - i <= WINDOW)
+    return {w for i, w in enumerate(words) if i not in quoted}
+
+
 def _count_terms(batches: Batches) -> Batches:
-    """Partial counts of terms; they go out whenever many terms are held, so a task's memory is bounded."""
+    """Partial counts of terms outside of quotation; they go out whenever many terms are held, so a task's memory is bounded."""
     toxic, docs = Counter(), Counter()
 
     def out() -> pa.RecordBatch:
@@ -159,7 +182,7 @@ def _count_terms(batches: Batches) -> Batches:
 
     for batch in batches:
         for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            words = set(WORD.findall((text or "").lower()))
+            words = unquoted((text or "").lower())
             terms = words.union(*({w[:n] + "*" for w in words if len(w) > n} for n in STEMS))
             docs.update(terms)
             if label:
@@ -172,21 +195,19 @@ def _count_terms(batches: Batches) -> Batches:
         yield out()
 
 
-def _terms_near(terms: list[str]) -> Callable[[Batches], Batches]:
+def _words_near(terms: list[str]) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        lexicon, found = Lexicon(terms), set()
+        lexicon = Lexicon(terms)
         for batch in batches:
-            for word in batch.column(0).to_pylist():
-                if lexicon.look(word) == 2:
-                    found |= lexicon.near(word)
-        yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], names=["term"])
+            near = [word for word in batch.column(0).to_pylist() if lexicon.look(word) == 2]
+            yield pa.RecordBatch.from_arrays([pa.array(near, pa.string())], names=["term"])
 
     return run
 
 
-def _featurer(terms: list[str], strict: list[str], keep: list[str] = ()) -> Callable[[Batches], Batches]:
+def _featurer(terms: list[str], spared: list[str], keep: list[str] = ()) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        lexicon = Lexicon(terms, frozenset(strict))
+        lexicon = Lexicon(terms, frozenset(spared))
         for batch in batches:
             rows = [lexicon.hits(t or "") for t in batch.column("text").to_pylist()]
             columns = zip(*rows) if rows else [()] * len(FEATURES)
@@ -230,9 +251,11 @@ def specific(docs: dict[str, int], most: float = 0.9) -> list[str]:
 
 
 def learn_terms(texts: DataFrame, n_toxic: int, n_clean: int) -> tuple[list[str], list[str]]:
-    """Terms with enough evidence, without those that a shorter stem covers; and which of them are strict.
+    """Terms with enough evidence, without those that a shorter stem covers; and the spared words near them.
 
-    Both come from the bounded sample, and so are bounded themselves.
+    A spared word stands in ``MIN_CLEAN`` clean documents or more, and in toxic ones no more often than chance
+    has it. Only occurrences outside of quotation count, for terms and for spared words. Both come
+    from the bounded sample, and so are bounded themselves.
     """
     if not n_toxic or not n_clean:
         return [], []
@@ -256,9 +279,9 @@ def learn_terms(texts: DataFrame, n_toxic: int, n_clean: int) -> tuple[list[str]
     stems = {t[:-1] for t in terms if t.endswith("*")}
     covered = lambda t: any(t.rstrip("*")[:n] in stems for n in STEMS if len(t.rstrip("*")) > n)
     terms = [t for t in terms if not (t.endswith("*") and covered(t))]
-    clean_words = counted.filter("docs > toxic and length(term) >= 4 and not endswith(term, '*')").select("term")
-    strict = clean_words.mapInArrow(_terms_near(terms), "term string").distinct()
-    return terms, sorted(r["term"] for r in strict.toLocalIterator())
+    plain = (clean >= MIN_CLEAN) & (share <= base) & F.expr("length(term) >= 4 and not endswith(term, '*')")
+    spared = counted.filter(plain).select("term").mapInArrow(_words_near(terms), "term string")
+    return terms, sorted(r["term"] for r in spared.toLocalIterator())
 
 
 def design(x: np.ndarray) -> np.ndarray:
@@ -285,21 +308,21 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 50) -> n
 
 
 def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[str], list[str], list[float]]:
-    """Terms, strict terms and weights, from the bounded sample alone."""
+    """Terms, spared terms and weights, from the bounded sample alone."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chosen = settle(training_sample(labels, sample), "toxicity-sample")
     seen = narrow.join(F.broadcast(chosen), "doc_id")
     sizes = {r["toxic"]: r["count"] for r in seen.groupBy("toxic").count().toLocalIterator()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
-    terms, strict = learn_terms(seen.select("text", "toxic"), n_toxic, n_clean)
+    terms, spared = learn_terms(seen.select("text", "toxic"), n_toxic, n_clean)
     if n_toxic and n_clean:
-        counted = seen.mapInArrow(_featurer(terms, strict, ["toxic"]), f"{FEATURE_SQL}, toxic int")
+        counted = seen.mapInArrow(_featurer(terms, spared, ["toxic"]), f"{FEATURE_SQL}, toxic int")
         rows = counted.groupBy(*FEATURES, "toxic").count().collect()  # of the sample: bounded
         x = np.repeat([[r[f] for f in FEATURES] for r in rows], [r["count"] for r in rows], axis=0)
         y = np.repeat([float(r["toxic"]) for r in rows], [r["count"] for r in rows])
-        return terms, strict, fit(x, y).tolist()
+        return terms, spared, fit(x, y).tolist()
     share = (n_toxic + 0.5) / (n_toxic + n_clean + 1)
-    return terms, strict, [math.log(share / (1 - share)), *[0.0] * (2 * len(FEATURES))]
+    return terms, spared, [math.log(share / (1 - share)), *[0.0] * (2 * len(FEATURES))]
 
 
 def _score(weights: list[float]) -> Column:
@@ -312,9 +335,9 @@ def _score(weights: list[float]) -> Column:
 
 def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, and the hit counts behind the score."""
-    terms, strict, weights = learned(docs, labels, sample)
+    terms, spared, weights = learned(docs, labels, sample)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = narrow.mapInArrow(_featurer(terms, strict), FEATURE_SQL).withColumn("score", _score(weights))
+    scored = narrow.mapInArrow(_featurer(terms, spared), FEATURE_SQL).withColumn("score", _score(weights))
     return scored.select(
         "doc_id",
         held_out().alias("held_out"),
@@ -326,11 +349,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
 
 def without_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The documents below the cut, all their columns as they were; narrow, so no text is shuffled."""
-    terms, strict, weights = learned(docs, labels, sample)
+    terms, spared, weights = learned(docs, labels, sample)
     model = np.array(weights)
 
     def run(batches: Batches) -> Batches:
-        lexicon = Lexicon(terms, frozenset(strict))
+        lexicon = Lexicon(terms, frozenset(spared))
         for batch in batches:
             hits = [lexicon.hits(str(t) if t is not None else "") for t in batch.column("text").to_pylist()]
             scores = 1 / (1 + np.exp(-np.clip(design(hits) @ model, -700, 700)))

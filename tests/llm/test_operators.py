@@ -388,6 +388,39 @@ def test_context_tells_quotation_from_abuse():
     assert lexicon.hits("") == (0, 0, 0, 0)
 
 
+def test_unquoted_words_are_those_that_the_hits_count():
+    rnd = random.Random(4)
+    for _ in range(300):
+        parts = [rnd.choice(["vile", "vile", "plain", "said", '"', "”", "x", "y", "z", "you", "."]) for _ in range(rnd.randrange(30))]
+        text = " ".join(parts)
+        exact, _, quoted, _ = toxicity.Lexicon(["vile"]).hits(text)
+        assert ("vile" in toxicity.unquoted(text)) == (exact > 0) and exact + quoted == parts.count("vile")
+
+
+def test_toxicity_spares_words_and_not_terms(spark):
+    rnd = random.Random(14)
+    rows, labels = [], []
+    for i in range(1200):
+        toxic, text = i % 6 == 0, words(rnd, 40).split()
+        if toxic:
+            misspelt = chr(97 + rnd.randrange(26)) + "ilestuff"
+            text[rnd.randrange(40)] = rnd.choice(["grumbol", "grumbol", "vilestuff", "vilestuff", misspelt])
+        elif i % 6 == 1:
+            text[rnd.randrange(40)] = "grumbel"  # a plain word one edit from a term
+        elif i % 6 == 2:
+            at = rnd.randrange(5, 35)
+            text[at : at + 1] = ['"', "vilestuff", '"']  # a term that clean documents quote
+        rows.append((i, " ".join(text)))
+        labels.append((i, 1, int(toxic)))
+    around = words(rnd, 9)
+    probes = ["grumbol", "grumbool", "grombol", "vilestuff", "vilestuf", "grumbel", '" vilestuff "', "plain"]
+    rows += [(5000 + i, f"{around} {p} {around}") for i, p in enumerate(probes)]
+    label = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    by = {r.doc_id: r for r in toxicity.score_documents(documents(spark, rows), label).collect()}
+    assert [by[5000 + i].predicted for i in range(len(probes))] == [1, 1, 1, 1, 1, 0, 0, 0]
+    assert all(by[i].predicted == t for i, _, t in labels)
+
+
 def test_toxicity_is_learned_and_held_out(spark):
     rnd = random.Random(9)
     rows, labels = [], []
