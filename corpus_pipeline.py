@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from dispatchlake.llm import jaccard, mixing, packing, secrets, toxicity
 from dispatchlake.session import configure, settle
 
+TARGETS: dict[str, float] = {}  # weight of a source in the mix; no target is given for the corpus
+TEMPER = mixing.TEMPER  # sources without target weigh their bytes to this power
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -39,12 +41,12 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the mix: files and rows follow the schedule."""
-    return mixing.mixed(docs)
+    return mixing.mixed(docs, targets=TARGETS, temper=TEMPER)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences."""
-    return packing.pack_documents(docs)
+    """The pieces of all documents and their places in sequences, which follow the order of the mix."""
+    return packing.pack_in_order(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

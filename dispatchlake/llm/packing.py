@@ -9,6 +9,10 @@ after ``max_nodes`` branches (the incumbent is then the answer). The plan has at
 length. Documents find their place in it by their rank within their length, which is counted in two levels
 (within a task, then over tasks), so no length, however common, meets in one task.
 
+``pack_in_order`` keeps the order of the documents: windows of ``window`` documents that follow one another are
+packed each on its own, in tasks, and the sequences are numbered window by window. A sequence never holds
+documents of two windows; the price is at most the last, partly filled sequences of each window.
+
 Defined results: a null or empty text is one piece, its end id; a document longer than the capacity is cut
 into full pieces behind a first piece with the rest; repeated rows are packed each; a null id is carried
 through; an empty table gives no rows; other columns are ignored.
@@ -16,12 +20,14 @@ through; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
@@ -32,6 +38,7 @@ from dispatchlake.session import settle
 CAPACITY = 1024
 MAX_NODES = 20_000  # branches of the search
 WIDTH = 8  # fillings tried at a branch
+WINDOW_DOCS = 4_096  # documents that follow one another and are packed together, when order counts
 COMPLETION_STEPS = 4_000  # partial fillings looked at for one sequence
 
 Filling = tuple[tuple[int, int], ...]  # (length, pieces of it), longest first
@@ -170,7 +177,7 @@ def bin_completion(counts: list[int], capacity: int = CAPACITY, max_nodes: int =
 PIECES_SQL = "chunk long, nth long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def _cutter(tokenizer: str | None, capacity: int, end_id: int):
+def _cutter(tokenizer: str | None, capacity: int, end_id: int, keep: tuple[str, ...] = ()):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,16 +185,18 @@ def _cutter(tokenizer: str | None, capacity: int, end_id: int):
         ranks = [0] * (capacity + 1)
         for batch in batches:
             rows = []
-            for doc, ids in zip(batch.column(0).to_pylist(), encode.encode(batch.column(1).to_pylist())):
+            kept = zip(*(batch.column(k).to_pylist() for k in keep)) if keep else repeat(())
+            for doc, ids, more in zip(batch.column(0).to_pylist(), encode.encode(batch.column(1).to_pylist()), kept):
                 ids += end
                 total = len(ids) // 4
                 first = total % capacity or capacity
                 bounds = [0, *range(first, total + 1, capacity)]
                 for piece, (a, b) in enumerate(zip(bounds, bounds[1:])):
-                    rows.append((chunk, ranks[b - a], doc, piece, a, b - a, zlib.crc32(ids[4 * a : 4 * b])))
+                    rows.append((chunk, ranks[b - a], doc, piece, a, b - a, zlib.crc32(ids[4 * a : 4 * b]), *more))
                     ranks[b - a] += 1
             types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            names = [c.split()[0] for c in PIECES_SQL.split(", ")]
+            types += [batch.column(k).type for k in keep]
+            names = [*(c.split()[0] for c in PIECES_SQL.split(", ")), *keep]
             columns = zip(*rows) if rows else [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
@@ -256,3 +265,88 @@ def pack_documents(
     slots = _slots(bin_completion(histogram, capacity, max_nodes))
     ranked = pieces.join(bases, ["length", "chunk"]).withColumn("rank", F.col("base") + F.col("nth"))
     return ranked.mapInArrow(_placer(slots), PLACED_SQL)
+
+
+PLANNED_SQL = "window long, length long, rank long, sequence long, offset long"
+
+
+def _planner(capacity: int, max_nodes: int):
+    """The place of each piece of a window, by length and rank; rows (window, length, n) come sorted by window."""
+
+    def places(window: int, histogram: list[int]) -> Iterator[pa.RecordBatch]:
+        for s, (first, pieces, sequence, offset) in _slots(bin_completion(histogram, capacity, max_nodes)).items():
+            rank = np.arange(histogram[s])
+            slot = np.searchsorted(first, rank, side="right") - 1
+            nth, within = np.divmod(rank - first[slot], pieces[slot])
+            columns = np.full(len(rank), window), np.full(len(rank), s), rank, sequence[slot] + nth, offset[slot] + within * s
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns], names=["window", "length", "rank", "sequence", "offset"]
+            )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, histogram = None, []
+        for batch in batches:
+            for window, length, n in zip(*(batch.column(c).to_pylist() for c in ("window", "length", "n"))):
+                if window != at:
+                    if at is not None:
+                        yield from places(at, histogram)
+                    at, histogram = window, [0] * (capacity + 1)
+                histogram[length] = n
+        if at is not None:
+            yield from places(at, histogram)
+
+    return run
+
+
+def _with_spots(docs: DataFrame) -> DataFrame:
+    """Id and text of each document with its file and its row there; without files, with its partition and row."""
+    narrow = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+    try:
+        return docs.select(*narrow, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    except AnalysisException:
+        at = docs.select(*narrow, F.monotonically_increasing_id().alias("at"))
+        file = F.concat(F.lit("part-"), F.shiftright("at", 33).cast("string"))
+        return at.select("doc_id", "text", file.alias("file"), F.expr("at & 8589934591L").alias("row"))
+
+
+def _file_order(path: str) -> tuple[int, str]:
+    """Files in the order of the tasks that wrote them; the number outgrows its zeros, so names do not sort."""
+    part = re.search(r"part-(\d+)[^/]*$", path)
+    return (int(part[1]) if part else -1, path)
+
+
+def pack_in_order(
+    docs: DataFrame,
+    capacity: int = CAPACITY,
+    tokenizer: str | None = None,
+    end_id: int = END_ID,
+    max_nodes: int = MAX_NODES,
+    window: int = WINDOW_DOCS,
+) -> DataFrame:
+    """``pack_documents`` by windows of the documents' order: sequence ids follow the files and their rows.
+
+    The driver holds a number for each file and for each window.
+    """
+    spark = docs.sparkSession
+    cutter = _cutter(tokenizer, capacity, end_id, ("file", "row"))
+    pieces = settle(_with_spots(docs).mapInArrow(cutter, PIECES_SQL + ", file string, row long"), "ordered-pieces")
+    rows = {r["file"]: r["n"] for r in pieces.groupBy("file").agg((F.max("row") + 1).alias("n")).toLocalIterator()}
+    files = sorted(rows, key=_file_order)
+    bases = list(zip(files, accumulate([rows[f] for f in files], initial=0)))
+    bases = F.broadcast(spark.createDataFrame(bases, "file string, base long"))
+    spotted = pieces.join(bases, "file").withColumn("spot", F.col("base") + F.col("row"))
+    spotted = spotted.withColumn("window", F.expr(f"spot div {window}"))
+    histograms = spotted.groupBy("window", "length").agg(F.count(F.lit(1)).alias("n"))
+    planned = settle(
+        histograms.repartition("window").sortWithinPartitions("window").mapInArrow(_planner(capacity, max_nodes), PLANNED_SQL),
+        "ordered-plan",
+    )
+    used = planned.groupBy("window").agg((F.max("sequence") + 1).alias("n"))
+    sizes = sorted((r["window"], r["n"]) for r in used.toLocalIterator())
+    starts = list(zip((w for w, _ in sizes), accumulate((n for _, n in sizes), initial=0)))
+    starts = F.broadcast(spark.createDataFrame(starts, "window long, start_id long"))
+    rank = F.row_number().over(Window.partitionBy("window", "length").orderBy("spot", "piece")) - 1
+    ranked = spotted.withColumn("rank", rank.cast("long"))
+    return ranked.join(planned, ["window", "length", "rank"]).join(starts, "window").select(
+        "doc_id", "piece", "start", F.col("length"), "ids_crc32", (F.col("start_id") + F.col("sequence")).alias("sequence_id"), "offset"
+    )

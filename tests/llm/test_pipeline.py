@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_operators import crc, ids_of, word_set
 
-from dispatchlake.llm import mixing, toxicity
+from dispatchlake.llm import mixing, packing, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -84,6 +84,46 @@ def test_mix_keeps_all_documents_in_schedule_order(spark, stages):
     assert sorted(placed.values()) == sorted(placed[r.doc_id] for r in after) and len(placed) == len(after)
 
 
+def test_sequences_follow_the_mix(spark, tmp_path):
+    rows = [(i, f"w{i} " * (1 + i * 7 % 90), "en", "abc"[i % 3 if i % 2 else 0], 0) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    placed = mixing.mix(docs, targets={"a": 0.6, "b": 0.3, "c": 0.1}, block_bytes=256).collect()
+    order = [r.doc_id for r in sorted(placed, key=lambda r: (r.slot, r.block, r.within))]
+    path = str(tmp_path / "mixed")
+    mixed = mixing.mixed(docs, targets={"a": 0.6, "b": 0.3, "c": 0.1}, block_bytes=256)
+    mixed.write.option("maxRecordsPerFile", 23).parquet(path)
+    got = packing.pack_in_order(spark.read.parquet(path), capacity=128, window=50).collect()
+    held, filled = {}, {}
+    for r in got:
+        held.setdefault(r.sequence_id, set()).add(order.index(r.doc_id) // 50)
+        filled.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert sorted(held) == list(range(len(held))) and all(len(w) == 1 for w in held.values())
+    windows = [min(held[s]) for s in sorted(held)]
+    assert windows == sorted(windows) and set(windows) == set(range(8))
+    for places in filled.values():
+        places.sort()
+        assert [o for o, _ in places] == [sum(n for _, n in places[:k]) for k in range(len(places))]
+        assert sum(n for _, n in places) <= 128
+    assert {r.doc_id for r in got} == set(order)
+    plain = packing.pack_in_order(docs, capacity=128, window=50)  # without files: the order of the partitions
+    first = {r.doc_id for r in plain.filter("sequence_id = 0").collect()}
+    assert first and first <= set(range(50))
+    assert packing.pack_in_order(spark.read.parquet(path).limit(0)).count() == 0
+
+
+def test_the_mix_governs_the_pipelines_sequences(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(packing, "pack_in_order", lambda docs, f=packing.pack_in_order: f(docs, window=100))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    steps = dict(pipeline.STAGES)
+    path = str(tmp_path / "mixed")
+    steps["mixing"](spark, docs, sf_dir).write.parquet(path)
+    got = steps["packing"](spark, spark.read.parquet(path), sf_dir).select("doc_id", "sequence_id").collect()
+    slots = sorted((r.slot, r.block, r.within, r.doc_id) for r in mixing.mix(docs).collect())
+    window = {r[3]: i // 100 for i, r in enumerate(slots)}
+    seen = [window[r.doc_id] for r in sorted(got, key=lambda r: r.sequence_id)]
+    assert seen == sorted(seen) and len(set(seen)) > 1
+
+
 def test_packing_covers_every_document(stages):
     import public_tokenizers
     from tokenizers import Tokenizer
