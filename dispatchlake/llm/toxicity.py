@@ -72,15 +72,15 @@ class Lexicon:
                     node = node.setdefault(c, {})
                 node[""] = term
         fuzzy = [t for t in self.words if len(t) >= FUZZY_FROM]
-        self.heads = {t[: len(t) // 2] for t in fuzzy}
-        self.tails = {t[len(t) // 2 :] for t in fuzzy}
-        self.head_sizes, self.tail_sizes = sorted({*map(len, self.heads)}), sorted({*map(len, self.tails)})
+        self.heads = {(len(t), t[: len(t) // 2]) for t in fuzzy}
+        self.tails = {(len(t), t[len(t) // 2 :]) for t in fuzzy}
         self.memo: dict[str, int] = {}
 
     def may_be_near(self, word: str) -> bool:
         """False if no term can be within one edit: that edit leaves the first or the last half of a term whole."""
-        return any(word[:n] in self.heads for n in self.head_sizes) or any(
-            word[-n:] in self.tails for n in self.tail_sizes
+        return any(
+            (n, word[: n // 2]) in self.heads or (n, word[-(n - n // 2) :]) in self.tails
+            for n in range(len(word) - EDITS, len(word) + EDITS + 1)
         )
 
     def near(self, word: str, edits: int = EDITS) -> set[str]:
