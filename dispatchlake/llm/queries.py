@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dispatchlake.llm import chat, cosine, jaccard, mixing, neighbours, packing, secrets, tokencounts, tokenfiles, toxicity
+from dispatchlake.llm import (
+    chat,
+    cosine,
+    jaccard,
+    mixing,
+    neighbours,
+    packing,
+    secrets,
+    tokencounts,
+    tokenfiles,
+    toxicity,
+    whitening,
+)
 from dispatchlake.session import configure, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +90,11 @@ def op7_chat_format(spark, sf):
     return chat.format_chat(table(spark, sf, "conversations"))
 
 
+@query
+def op11_embedding_whitening(spark, sf):
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
 # Smallest id reachable by links (x, y): labels travel along links until none gets smaller.
 _COMPONENTS = """both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reach(d, r) AS (SELECT {id}, {id} FROM {table} UNION
