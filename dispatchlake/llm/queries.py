@@ -14,6 +14,7 @@ from dispatchlake.llm import (
     mixing,
     neighbours,
     packing,
+    ranking,
     secrets,
     tokencounts,
     tokenfiles,
@@ -95,6 +96,11 @@ def op11_embedding_whitening(spark, sf):
     return whitening.whiten(table(spark, sf, "embeddings"))
 
 
+@query
+def op12_ranked_search(spark, sf):
+    return ranking.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 # Smallest id reachable by links (x, y): labels travel along links until none gets smaller.
 _COMPONENTS = """both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reach(d, r) AS (SELECT {id}, {id} FROM {table} UNION
@@ -125,3 +131,22 @@ links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b ON a.l
 counts AS (SELECT x, COUNT(*) AS n FROM both_ways GROUP BY x)
 SELECT vec_id, COALESCE(n, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings JOIN least ON d = vec_id LEFT JOIN counts ON x = vec_id"""
+
+SQL["op12_ranked_search"] = r"""
+WITH parts AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(COALESCE(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+asked AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(COALESCE(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM benchmark),
+totals AS (SELECT CAST(COUNT(*) AS BIGINT) AS n_docs, CAST(SUM(len(t)) AS BIGINT) AS n_terms FROM parts WHERE len(t) > 0),
+postings AS (SELECT r, doc_id, n, term, CAST(COUNT(*) AS BIGINT) AS tf FROM
+    (SELECT r, doc_id, CAST(len(t) AS BIGINT) AS n, unnest(t) AS term FROM parts) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS w
+    FROM postings, totals GROUP BY term, n_docs),
+wanted AS (SELECT q, item_id, term, CAST(COUNT(*) AS BIGINT) AS times FROM
+    (SELECT q, item_id, unnest(t) AS term FROM asked) GROUP BY ALL),
+scores AS (SELECT q, item_id, r, doc_id, CAST(SUM(times * w *
+    ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+    FROM wanted JOIN postings USING (term) JOIN weights USING (term), totals WHERE doc_id IS NOT NULL GROUP BY ALL),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+    FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20"""
