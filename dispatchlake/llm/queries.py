@@ -16,6 +16,7 @@ from dispatchlake.llm import (
     packing,
     ranking,
     secrets,
+    sitetree,
     tokencounts,
     tokenfiles,
     toxicity,
@@ -101,6 +102,11 @@ def op12_ranked_search(spark, sf):
     return ranking.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+@query
+def op13_main_text(spark, sf):
+    return sitetree.main_text(table(spark, sf, "pages"))
+
+
 # Smallest id reachable by links (x, y): labels travel along links until none gets smaller.
 _COMPONENTS = """both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reach(d, r) AS (SELECT {id}, {id} FROM {table} UNION
