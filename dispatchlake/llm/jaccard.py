@@ -26,6 +26,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
@@ -35,7 +36,7 @@ from dispatchlake.llm.shingles import mix, shingle_sets
 from dispatchlake.session import settle
 
 WIDTH, PERCENT = 5, 80
-BUCKETS = 1 << 21  # of the count table: 16 MB on the driver, 2 MB in a task, whatever the corpus is
+BUCKETS = 1 << 21  # of the count table: 16 MB in a task, 2 MB on the driver, whatever the corpus is
 COUNT_CHUNKS = 64
 SHAPE, FRAGMENTS = 128, 4
 FULL_LIST, HUBS = 64, 32
@@ -79,6 +80,7 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
 
 
 def _namer(width: int) -> Callable[[Batches], Batches]:
+    """A row for each document, and for each chunk of the count table the buckets that this task has met."""
     shift = np.uint64(64 - SHAPE.bit_length() + 1)
     schema = pa.schema(
         [
@@ -105,55 +107,95 @@ def _namer(width: int) -> Callable[[Batches], Batches]:
                     counts += np.bincount(_bucket(np.concatenate(waiting)), minlength=BUCKETS)
                     waiting, size = [], 0
             if size:
-                counts += np.bincount(_bucket(np.concatenate(waiting)), minlength=BUCKETS)
+                np.add.at(counts, _bucket(np.concatenate(waiting)), 1)
             if rows:
                 blank = pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())
                 types = pa.int64(), pa.int64(), pa.int64(), pa.binary()
                 named = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
                 yield pa.RecordBatch.from_arrays([*named, *blank], schema=schema)
-        if counts.any():
-            parts = [p.astype("<u8").tobytes() for p in np.split(counts, COUNT_CHUNKS)]
-            blank = [pa.nulls(COUNT_CHUNKS, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+        met = [(chunk, _sparse(part)) for chunk, part in enumerate(np.split(counts, COUNT_CHUNKS)) if part.any()]
+        if met:
+            blank = [pa.nulls(len(met), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+            chunks, parts = zip(*met)
             yield pa.RecordBatch.from_arrays(
-                [*blank, pa.array(range(COUNT_CHUNKS), pa.int32()), pa.array(parts, pa.binary())], schema=schema
+                [*blank, pa.array(chunks, pa.int32()), pa.array(parts, pa.binary())], schema=schema
             )
 
     return run
 
 
+def _sparse(counts: np.ndarray) -> bytes:
+    """Pairs (bucket, count) of the buckets that are not empty."""
+    held = np.flatnonzero(counts)
+    return np.stack([held, counts[held]]).astype("<i8").tobytes()
+
+
 def _add_counts(batches: Batches) -> Batches:
     """Count tables of a task's rows, added up by chunk."""
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for chunk, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            counts = np.frombuffer(raw, "<u8")
-            total[chunk] = total[chunk] + counts if chunk in total else counts
+            held, counts = np.frombuffer(raw, "<i8").reshape(2, -1)
+            if chunk not in total:
+                total[chunk] = np.zeros(BUCKETS // COUNT_CHUNKS, dtype=np.int64)
+            total[chunk][held] += counts
     if total:
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.int32()), pa.array([c.tobytes() for c in total.values()], pa.binary())],
+            [pa.array(list(total), pa.int32()), pa.array([_sparse(c) for c in total.values()], pa.binary())],
             names=["chunk", "counts"],
         )
 
 
+def _count_sizes(batches: Batches) -> Batches:
+    """How many buckets have which count."""
+    for batch in batches:
+        for raw in batch.column(1).to_pylist():
+            counts, buckets = np.unique(np.frombuffer(raw, "<i8").reshape(2, -1)[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(counts), pa.array(buckets)], names=["count", "buckets"])
+
+
+def _ranker(middle: float) -> Callable[[Batches], Batches]:
+    """The rank of each bucket of a chunk, one byte each."""
+    chance = max(middle, 1.0) ** 0.5
+    bound = middle + HOT / 6 * chance
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for chunk, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                held, found = np.frombuffer(raw, "<i8").reshape(2, -1)
+                counts = np.zeros(BUCKETS // COUNT_CHUNKS)
+                counts[held] = found
+                steps = np.clip(np.round(4 * (counts - middle) / chance) + HOT // 3, 0, HOT - 1)
+                over = HOT + np.floor(8 * np.log2(np.maximum(counts / bound, 1.0)))
+                rank = np.minimum(np.where(counts > bound, over, steps), 255).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk], pa.int32()), pa.array([rank.tobytes()], pa.binary())], names=["chunk", "ranks"]
+                )
+
+    return run
+
+
 def levels(named: DataFrame) -> np.ndarray:
     """The rank of each bucket in the global order, 0 to 255 by its count.
 
     Up to ``HOT`` steps are quarters of the spread that chance gives a bucket, further ones eighths of a
-    doubling. The table has a fixed size, which bounds what comes to the driver and goes to the tasks.
+    doubling. Counts are added up and ranked by chunk in tasks; a byte for each bucket comes to the driver.
     """
     parts = named.filter("chunk is not null").select("chunk", "counts")
-    added = parts.repartition("chunk").mapInArrow(_add_counts, "chunk int, counts binary")
-    counts = np.zeros(BUCKETS)
-    size = BUCKETS // COUNT_CHUNKS
-    for row in added.toLocalIterator():
-        at = row["chunk"] * size
-        counts[at : at + size] += np.frombuffer(bytes(row["counts"]), "<u8")
-    middle = float(np.median(counts))
+    counts = settle(parts.repartition("chunk").mapInArrow(_add_counts, "chunk int, counts binary"), "jaccard-counts")
+    sizes = counts.mapInArrow(_count_sizes, "count long, buckets long").groupBy("count").agg(F.sum("buckets").alias("buckets"))
+    held = sizes.agg(F.sum("buckets")).first()[0] or 0
+    middle = 0.0  # the median over all buckets, the empty ones included
+    if 2 * held > BUCKETS:
+        empty = sizes.sparkSession.createDataFrame([(0, BUCKETS - held)], sizes.schema)
+        middle = float(sizes.union(empty).filter("buckets > 0").agg(F.percentile("count", 0.5, "buckets")).first()[0])
     chance = max(middle, 1.0) ** 0.5
-    steps = np.clip(np.round(4 * (counts - middle) / chance) + HOT // 3, 0, HOT - 1)
-    bound = middle + HOT / 6 * chance
-    over = HOT + np.floor(8 * np.log2(np.maximum(counts / bound, 1.0)))
-    return np.minimum(np.where(counts > bound, over, steps), 255).astype(np.uint8)
+    blank = int(np.clip(np.round(-4 * middle / chance) + HOT // 3, 0, HOT - 1))
+    level = np.full(BUCKETS, blank, dtype=np.uint8)
+    size = BUCKETS // COUNT_CHUNKS
+    for row in counts.mapInArrow(_ranker(middle), "chunk int, ranks binary").collect():
+        level[row["chunk"] * size : (row["chunk"] + 1) * size] = np.frombuffer(bytes(row["ranks"]), np.uint8)
+    return level
 
 
 def _lists(level: np.ndarray) -> np.ndarray:
@@ -161,10 +203,11 @@ def _lists(level: np.ndarray) -> np.ndarray:
     return np.maximum(1, (2.0 ** ((level.astype(float) - HOT) / 8 - SALT_FROM))).astype(np.int64)
 
 
-def _prefixer(level: np.ndarray, width: int, percent: int) -> Callable[[Batches], Batches]:
+def _prefixer(ranks: Broadcast[np.ndarray], width: int, percent: int) -> Callable[[Batches], Batches]:
     spread = _lists(np.arange(256))
 
     def run(batches: Batches) -> Batches:
+        level = ranks.value
         done: set[int] = set()
         for batch in batches:
             tokens, salts, keys, sizes = [], [], [], []
@@ -202,10 +245,10 @@ def _fits(n: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarr
     return 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
 
 
-def _lister(level: np.ndarray, percent: int) -> Callable[[Batches], Batches]:
+def _lister(ranks: Broadcast[np.ndarray], percent: int) -> Callable[[Batches], Batches]:
     """Pairs of the sets in each list; rows come sorted by token, salt and key, and a list may span batches."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("token", pa.int64()), ("n", pa.int32())])
-    salted = _lists(np.arange(256))[level] > 1
+    spread = _lists(np.arange(256)) > 1
 
     def pairs(keys: np.ndarray, n: np.ndarray, i: list[np.ndarray], j: list[np.ndarray]) -> Batches:
         if not i:
@@ -224,6 +267,7 @@ def _lister(level: np.ndarray, percent: int) -> Callable[[Batches], Batches]:
             )
 
     def run(batches: Batches) -> Batches:
+        level = ranks.value
         hold = None  # token, salt, key, n of the last list: all of it, or its hubs when it is long
         hold_long = False
 
@@ -233,7 +277,7 @@ def _lister(level: np.ndarray, percent: int) -> Callable[[Batches], Batches]:
             starts = np.concatenate([[0], edge])
             sizes = np.diff(np.concatenate([starts, [len(token)]]))
             # A salted list is long whatever its size: its sets meet those of other salts only as members.
-            long = (sizes > FULL_LIST) | salted[_bucket(token[starts].view(np.uint64))]
+            long = (sizes > FULL_LIST) | spread[level[_bucket(token[starts].view(np.uint64))]]
             long[0] |= was_long
             kept, kept_long = None, False
             row_run = np.repeat(np.arange(len(starts)), sizes)
@@ -507,7 +551,7 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     """One row per document: doc_id, n_shingles, component_id (the least id reachable by links)."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     named = settle(narrow.mapInArrow(_namer(width), NAMED_SQL), "jaccard-named")
-    level = levels(named)
+    ranks = docs.sparkSession.sparkContext.broadcast(levels(named))  # 2 MB, whatever the corpus is
     rows = named.filter("chunk is null").drop("chunk", "counts")
     sets = settle(
         rows.filter("n > 0 and doc_id is not null")
@@ -516,13 +560,14 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
         .select("key", "doc", "s.n", "s.shape"),
         "jaccard-sets",
     )
-    prefixes = narrow.mapInArrow(_prefixer(level, width, percent), PREFIX_SQL)
+    prefixes = narrow.mapInArrow(_prefixer(ranks, width, percent), PREFIX_SQL)
     listed = settle(
         prefixes.repartition("token", "salt")
         .sortWithinPartitions("token", "salt", "key")
-        .mapInArrow(_lister(level, percent), LISTED_SQL),
+        .mapInArrow(_lister(ranks, percent), LISTED_SQL),
         "jaccard-lists",
     )
+    ranks.destroy()
     pairs = settle(listed.filter("b is not null").select("a", "b").distinct(), "jaccard-pairs")
     links, roots = _connected(_near(pairs, sets, percent), None, sets, narrow, width, percent)
     members = listed.filter("b is null").select("token", F.col("a").alias("key"), "n").distinct()
