@@ -188,7 +188,7 @@ def levels(named: DataFrame) -> np.ndarray:
     middle = 0.0  # the median over all buckets, the empty ones included
     if 2 * held > BUCKETS:
         empty = sizes.sparkSession.createDataFrame([(0, BUCKETS - held)], sizes.schema)
-        middle = float(sizes.union(empty).filter("buckets > 0").agg(F.percentile("count", 0.5, "buckets")).first()[0])
+        middle = float(sizes.union(empty).filter("buckets > 0").agg(F.percentile("count", 0.5, F.col("buckets"))).first()[0])
     chance = max(middle, 1.0) ** 0.5
     blank = int(np.clip(np.round(-4 * middle / chance) + HOT // 3, 0, HOT - 1))
     level = np.full(BUCKETS, blank, dtype=np.uint8)

@@ -113,6 +113,23 @@ def corpus(seed=3):
     return texts + ["", None, "  \n\t", "one", "one", words(rnd, 20_000)]
 
 
+def test_bucket_ranks_equal_those_of_the_whole_table(spark):
+    rnd = random.Random(8)
+    for rows in ([], [(1, words(rnd, 300))], [(i, words(rnd, 20_000, 10_000)) for i in range(120)]):
+        named = documents(spark, rows).repartition(5).select("doc_id", "text").mapInArrow(jaccard._namer(5), jaccard.NAMED_SQL)
+        counts = np.zeros(jaccard.BUCKETS)
+        for _, text in rows:
+            (found,) = shingles.shingle_sets([text])
+            np.add.at(counts, jaccard._bucket(found), 1)
+        middle = np.median(counts)
+        assert (middle > 0) == (len(rows) > 100)
+        chance = max(middle, 1.0) ** 0.5
+        steps = np.clip(np.round(4 * (counts - middle) / chance) + jaccard.HOT // 3, 0, jaccard.HOT - 1)
+        bound = middle + jaccard.HOT / 6 * chance
+        over = jaccard.HOT + np.floor(8 * np.log2(np.maximum(counts / bound, 1.0)))
+        assert (jaccard.levels(named) == np.minimum(np.where(counts > bound, over, steps), 255)).all()
+
+
 def test_jaccard_finds_every_component(spark):
     texts = corpus()
     rows = list(enumerate(texts))

@@ -49,10 +49,8 @@ def found(df):
     return sorted(((r.item_id, r.rank, r.doc_id, r.score) for r in df.collect()), key=str)
 
 
-@pytest.mark.parametrize("step", [1, 256])
-def test_search_equals_scoring_all(spark, monkeypatch, step):
+def test_search_equals_scoring_all(spark, monkeypatch):
     monkeypatch.setattr(ranking, "SLICE_DOCS", 100)
-    monkeypatch.setattr(ranking, "FIRST_STEP", step)
     monkeypatch.setattr(ranking, "LONG_TEXT", 5000)
     rnd = random.Random(2)
     word = lambda: f"w{int(rnd.paretovariate(0.7)) % 300}"
@@ -91,3 +89,23 @@ def test_search_stops_before_the_end_of_its_lists():
         whole[part.of(t)[0]] += part.of(t)[1]
     assert sorted(scores.tolist())[-20:] == sorted(whole.tolist())[-20:]
     assert len(kept) < 1000
+
+
+@pytest.mark.parametrize("step", [1, 3, 256])
+def test_best_positions_equal_full_scores(monkeypatch, step):
+    monkeypatch.setattr(ranking, "FIRST_STEP", step)
+    rnd = np.random.default_rng(step)
+    for _ in range(60):
+        docs, terms = int(rnd.integers(1, 60)), int(rnd.integers(1, 6))
+        held = rnd.random((docs, terms)) < rnd.random(terms)
+        doc, term = np.nonzero(held)
+        impact = rnd.integers(0, 30, len(doc))
+        part = ranking.Slice(np.arange(docs), doc, term, impact)
+        factor = rnd.integers(0, 4, terms).tolist()
+        whole = np.zeros(docs, dtype=np.int64)
+        np.add.at(whole, doc, impact * np.array(factor)[term])
+        floor = int(rnd.integers(1, 40))
+        kept, scores = ranking.best_positions(part, list(enumerate(factor)), 5, floor)
+        assert (whole[kept] == scores).all() and len(set(kept.tolist())) == len(kept)
+        best = [i for i in np.lexsort((np.arange(docs), -whole))[:5] if whole[i] >= floor]
+        assert set(best) <= set(kept.tolist())
