@@ -11,36 +11,34 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-GENERATION = 300_000  # parts in a generation of the memo; two generations take about 130 MB
+GENERATION = 500_000  # parts in a generation of the memo; two generations take about 170 MB
 LONG_PART = 48
-GROUP = 256  # texts whose new parts are encoded together
+SIGNS = 20_000
+GROUP = 64  # texts whose new parts are encoded together
 
 DOUBLE = re.compile(r"\s\s")
 SPACE = re.compile(r"\s")
 CUT = re.compile(r"(?<=\S)(?= )")
+# Letters and the signs behind them are encoded apart from each other; an apostrophe can begin a piece with letters.
+SIGNED = re.compile(r"(\n?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-^{-~]+)")
+LETTERS = re.compile(r"\n?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
-class _Memo:
-    """New parts on top of an older generation, from which parts in use are taken over."""
+def _byte_alphabet() -> dict[int, str]:
+    """The character that stands for each byte in the tokenizer's vocabulary.
 
-    def __init__(self) -> None:
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def take_over(self, part: str) -> bytes | None:
-        found = self.old.get(part)
-        if found is not None:
-            self.young[part] = found
-        return found
-
-    def age(self) -> None:
-        if len(self.young) > GENERATION:
-            self.old, self.young = self.young, {}
+    Fixed values: printable bytes stand for themselves, the others get the characters from 256 on.
+    """
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) if b in printable else chr(256 + others.index(b)) for b in range(256)}
 
 
 class Encoder:
@@ -52,10 +50,16 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path or public_tokenizers.path(TOKENIZER))
+        self.model = self.library.model
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.line_feed = self.library.encode("\n", add_special_tokens=False).ids[0]
         self.vocabulary = self.library.get_vocab_size()
-        self.memo = _Memo()
+        alphabet = _byte_alphabet()
+        self.space = alphabet[0x20]
+        self.spelled = {c: "".join(alphabet[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         encoded = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -90,56 +94,81 @@ class Encoder:
         head, *rest = CUT.split(text)
         return [head, *(r if SPACE.search(r, 1) or len(r) == 1 else r[1:] for r in rest)]
 
-    def _ids(self, new: list[str], heads: list[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
-        """Ids of heads, and of new parts."""
+    def _bare(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Ids of words with nothing in front."""
+        words = dict.fromkeys(words)
+        odd = [w for w in words if SPACE.search(w) or not w]
+        plain = [w for w in words if w not in odd] if odd else list(words)
+        return {**dict(zip(plain, self._joined(plain, ""))), **dict(zip(odd, self._whole(odd) if odd else []))}
+
+    def _word(self, part: str) -> bytes:
+        """Ids of letters behind a space or a line feed: one piece, which the library's model takes as it is."""
+        line = part[0] == "\n"
+        word = part[1:] if line else part
+        if not word.isascii():
+            word = word.translate(self.spelled)
+        ids = [t.id for t in self.model.tokenize(word if line else self.space + word)]
+        return array("I", [self.line_feed, *ids] if line else ids).tobytes()
+
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of parts that the memo does not hold."""
+        ids: dict[str, bytes] = {}
         plain, lines, others = [], [], []
-        for part in new:
-            if part and not SPACE.search(part):
+        for part, letters in zip(new, map(LETTERS.fullmatch, new)):
+            if letters:
+                ids[part] = self._word(part)
+            elif part and not SPACE.search(part):
                 plain.append(part)
             elif part[:1] == "\n" and len(part) > 1 and not SPACE.search(part, 1):
                 lines.append(part)
             else:
                 others.append(part)
-        bare = dict.fromkeys([*(h for h in heads if h and not SPACE.search(h)), *(p[1:] for p in lines)])
-        bare = dict(zip(bare, self._joined(list(bare), "")))
-        odd = [h for h in heads if h and h not in bare]
-        found = self._whole([*odd, *(p if p[:1] in (" ", "\n") else " " + p for p in others)])
-        feed = np.array([self.line_feed], dtype="<u4").tobytes()
-        heads = {"": b"", **bare, **dict(zip(odd, found))}
-        fresh = dict(zip(plain, self._joined(plain, " ")))
-        fresh.update((p, feed + bare[p[1:]]) for p in lines)
-        fresh.update(zip(others, found[len(odd) :]))
-        return heads, fresh
+        ids.update(zip(plain, self._joined(plain, " ")))
+        if lines:
+            feed, bare = np.array([self.line_feed], dtype="<u4").tobytes(), self._bare([p[1:] for p in lines])
+            ids.update((p, feed + bare[p[1:]]) for p in lines)
+        if others:
+            ids.update(zip(others, self._whole([p if p[:1] in (" ", "\n") else " " + p for p in others])))
+        return ids
+
+    def _held(self, parts: Iterable[str]) -> tuple[dict[str, bytes | None], list[str]]:
+        """Ids of parts as far as the memo has them, and the other parts. What the older generation has goes to the younger."""
+        ids = dict(zip(parts, map(self.young.get, parts)))
+        missing = [p for p, found in ids.items() if found is None]
+        again = dict(zip(missing, map(self.old.get, missing)))
+        unknown = [p for p, found in again.items() if found is None]
+        for part in unknown:
+            del again[part]
+        self.young.update(again)
+        ids.update(again)
+        return ids, unknown
+
+    def _ids(self, parts: set[str]) -> dict[str, bytes]:
+        """Ids of the parts; all but long ones are in the younger generation afterwards."""
+        ids, unknown = self._held(parts)
+        cuts = list(map(SIGNED.fullmatch, unknown))
+        new = [p for p, cut in zip(unknown, cuts) if cut is None]
+        signed = [(p, cut[1], cut[2]) for p, cut in zip(unknown, cuts) if cut is not None]
+        stems, unknown_stems = self._held({stem for _, stem, _ in signed})
+        learnt = self._learn(list({*new, *unknown_stems}))
+        stems.update((stem, learnt[stem]) for stem in unknown_stems)
+        self.signs.update(self._bare({tail for _, _, tail in signed}.difference(self.signs)))
+        learnt.update((part, stems[stem] + self.signs[tail]) for part, stem, tail in signed)
+        ids.update(learnt)
+        self.young.update((p, found) for p, found in learnt.items() if len(p) <= LONG_PART)
+        return ids
 
     def group(self, texts: list[str]) -> list[bytes]:
-        parts = [self._parts(t) for t in texts]
-        memo = self.memo
-        get, found, missing = memo.young.get, [], {}
-        for p in parts:
-            ids = list(map(get, p)) if p else []
-            found.append(ids)
-            if p:
-                ids[0] = b""  # the head is no part behind a space
-            gaps = [i for i, x in enumerate(ids) if x is None]
-            for i in gaps:
-                ids[i] = memo.take_over(p[i])
-                if ids[i] is None:
-                    missing.setdefault(p[i], []).append((ids, i))
-        heads, fresh = self._ids(list(missing), [p[0] for p in parts if p])
-        for part, ids in fresh.items():
-            if len(part) <= LONG_PART:
-                memo.young[part] = ids
-            for into, i in missing[part]:
-                into[i] = ids
-        whole = iter(self._whole([t for t, p in zip(texts, parts) if p is None]))
-        out = []
-        for p, ids in zip(parts, found):
-            if p is None:
-                out.append(next(whole))
-            else:
-                ids[0] = heads[p[0]]
-                out.append(b"".join(ids))
-        memo.age()
+        split = [self._parts(t) for t in texts]
+        heads = self._bare([p[0] for p in split if p])
+        tails = [p[1:] if p else [] for p in split]
+        get = self._ids(set(chain.from_iterable(tails))).__getitem__
+        whole = iter(self._whole([t for t, p in zip(texts, split) if p is None]))
+        out = [heads[p[0]] + b"".join(map(get, tail)) if p else next(whole) for p, tail in zip(split, tails)]
+        if len(self.young) > GENERATION:  # parts in use come back from the older generation
+            self.old, self.young = self.young, {}
+        if len(self.signs) > SIGNS:
+            self.signs = {}
         return out
 
     def encode(self, texts: list[str | None]):
