@@ -46,7 +46,7 @@ TILE_SETS = 1024
 BROADCAST_IDS = 1_000_000  # 8 MB of ids; more are joined by a shuffle
 TEXTS = 512  # documents whose sets are in memory together
 
-NAMED_SQL = "doc_id long, n long, key long, shape binary, chunk int, counts binary"
+NAMED_SQL = "doc_id long, n long, key long, shape binary, mark long, chunk int, counts binary"
 PREFIX_SQL = "token long, salt int, key long, n int"
 LISTED_SQL = "a long, b long, token long, n int"
 SEGMENT_SQL = "key long, fragment int, hashes binary"
@@ -88,6 +88,7 @@ def _namer(width: int) -> Callable[[Batches], Batches]:
             ("n", pa.int64()),
             ("key", pa.int64()),
             ("shape", pa.binary()),
+            ("mark", pa.int64()),
             ("chunk", pa.int32()),
             ("counts", pa.binary()),
         ]
@@ -112,10 +113,10 @@ def _namer(width: int) -> Callable[[Batches], Batches]:
                 blank = pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())
                 types = pa.int64(), pa.int64(), pa.int64(), pa.binary()
                 named = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
-                yield pa.RecordBatch.from_arrays([*named, *blank], schema=schema)
+                yield pa.RecordBatch.from_arrays([*named, batch.column(2), *blank], schema=schema)
         met = [(chunk, _sparse(part)) for chunk, part in enumerate(np.split(counts, COUNT_CHUNKS)) if part.any()]
         if met:
-            blank = [pa.nulls(len(met), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+            blank = [pa.nulls(len(met), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64())]
             chunks, parts = zip(*met)
             yield pa.RecordBatch.from_arrays(
                 [*blank, pa.array(chunks, pa.int32()), pa.array(parts, pa.binary())], schema=schema
@@ -547,10 +548,12 @@ def _still_apart(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.mapInArrow(_tile_pairs(percent), "a long, b long, n_a long, n_b long")
 
 
-def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (the least id reachable by links)."""
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    named = settle(narrow.mapInArrow(_namer(width), NAMED_SQL), "jaccard-named")
+def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """A row for each document: doc_id, mark (a hash of its text), n, key, component_id, and the key of its first set."""
+    text = F.col("text").cast("string")
+    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("mark"))
+    narrow = marked.drop("mark")
+    named = settle(marked.mapInArrow(_namer(width), NAMED_SQL), "jaccard-named")
     ranks = docs.sparkSession.sparkContext.broadcast(levels(named))  # 2 MB, whatever the corpus is
     rows = named.filter("chunk is null").drop("chunk", "counts")
     sets = settle(
@@ -584,22 +587,35 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
             links, roots = _connected(rest, links, sets, narrow, width, percent)
     rooted = sets.select("key", "doc").join(roots.withColumnRenamed("node", "key"), "key", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "key"))
-    least = rooted.groupBy("root").agg(F.min("doc").alias("component_id"))
-    by_key = rooted.join(least, "root").select("key", "component_id")
+    least = rooted.groupBy("root").agg(F.min(F.struct("doc", "key")).alias("first"))
+    by_key = rooted.join(least, "root").select(
+        "key", F.col("first.doc").alias("component_id"), F.col("first.key").alias("first_key")
+    )
+    linked = F.col("doc_id").isNotNull() & (F.col("n") > 0)
     return rows.join(by_key, "key", "left").select(
         "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "mark",
+        "n",
+        "key",
+        F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(linked, F.col("first_key")).otherwise(F.col("key")).alias("first_key"),
     )
 
 
+def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (the least id reachable by links)."""
+    return _grouped(docs, width, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
 def without_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Documents that have the least id of their component, all columns as they were.
+    """Of each component the document with the least id, all columns as they were.
 
-    Documents without shingles or id are kept; of rows that repeat an id, all stay. Only the ids that go are
-    joined back, so Spark can broadcast them while they are few.
+    Documents without shingles or id are kept. An id on rows of different texts is judged row by row; rows that
+    repeat both id and text all stay. Only the rows that go are joined back, so Spark can broadcast
+    them while they are few.
     """
-    found = similar_documents(docs, width, percent)
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    gone = _few(gone.withColumnRenamed("doc_id", "__gone_id"))
-    return docs.join(gone, F.col("doc_id") == F.col("__gone_id"), "left_anti")
+    found = _grouped(docs, width, percent)
+    gone = found.filter((F.col("doc_id") != F.col("component_id")) | (F.col("key") != F.col("first_key")))
+    gone = _few(gone.select(F.col("doc_id").alias("__gone_id"), F.col("mark").alias("__gone_mark")).distinct())
+    here = (F.col("doc_id").cast("long") == F.col("__gone_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__gone_mark"))
+    return docs.join(gone, here, "left_anti")

@@ -2,7 +2,7 @@
 
 One pass finds, in whole texts, the base spans (assignments, access keys, hexadecimal runs) and candidate
 tokens that look random. Candidate values are hashed and counted over the corpus by distinct owner and
-distinct repository: a value that several owners hold is a widely copied example, a value of one owner is
+distinct repository: a value that several owners or very many repositories hold is a widely copied example, any other is
 live-looking and becomes a span of kind ``owned``. Base spans stay whatever their count is; how many spans
 of a document are live-looking or copied is reported beside them.
 
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
@@ -35,6 +35,8 @@ KEYWORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # a run is maximal, so this drops exactly the runs that are too short
 RANDOM = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}")
+COPIED_OWNERS = 2  # owners that make a value a copied example
+COPIED_REPOSITORIES = 25  # repositories that do, whoever owns them
 MIN_BITS = 3.0  # Shannon entropy per character from which a token looks random
 
 ROWS = pa.schema(
@@ -124,6 +126,11 @@ SCANNED = (
 )
 
 
+def is_live(copied_owners: int, copied_repositories: int) -> Column:
+    """Held by few owners and in few repositories: nobody copies a credential widely that works."""
+    return (F.col("n_owners") < copied_owners) & (F.col("n_repositories") < copied_repositories)
+
+
 def ownership(found: DataFrame) -> DataFrame:
     """Distinct owners and repositories of every value. Each step combines map-side, so a hot value stays small."""
     pairs = found.groupBy("value", F.coalesce("owner", F.lit("")).alias("owner"), "repository").agg(
@@ -139,9 +146,10 @@ def scan_secrets(
     docs: DataFrame,
     owner: str = "source",
     repository: str = "doc_id",
-    copied_owners: int = 2,
+    copied_owners: int = COPIED_OWNERS,
+    copied_repositories: int = COPIED_REPOSITORIES,
 ) -> DataFrame:
-    """One row per document with its spans; ``copied_owners`` owners make a value a copied example.
+    """One row per document with its spans; so many owners, or repositories of one, make a value a copied example.
 
     Returns doc_id, n_assign, n_access, n_hex, base_sha256, ``found`` (all kept spans in order, as structs
     of start, kind, end and live), n_live and n_copied. Only documents with spans take part in the count.
@@ -156,7 +164,7 @@ def scan_secrets(
     found = rows.filter(F.size("found") > 0).select(
         "row_id", "owner", "repository", F.explode("found").alias("f")
     ).select("row_id", "owner", "repository", "f.*")
-    judged = found.join(ownership(found), "value").withColumn("live", F.col("n_owners") < copied_owners)
+    judged = found.join(ownership(found), "value").withColumn("live", is_live(copied_owners, copied_repositories))
     spans = (
         judged.filter((F.col("kind") < 3) | F.col("live"))
         .groupBy("row_id")
@@ -203,72 +211,80 @@ def _masker(length: str | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, lengths = [], []
-            live = batch.column("__live_values").to_pylist()
-            for text, values in zip(batch.column("text").to_pylist(), live):
-                if text is not None:
-                    base = base_spans(text)
-                    spans = [(s, e) for s, _, e, _ in base]
-                    if values:
-                        known = set(values)
-                        spans += [(s, e) for s, _, e, v in random_tokens(text, base) if _hash(v) in known]
+            texts, lengths = [], batch.column(length).to_pylist() if length else []
+            for row, (text, values) in enumerate(zip(batch.column("text"), batch.column("__live_values").to_pylist())):
+                text = text.as_py()
+                base = base_spans(text or "")
+                spans = [(s, e) for s, _, e, _ in base]
+                if values:
+                    known = set(values)
+                    spans += [(s, e) for s, _, e, v in random_tokens(text, base) if _hash(v) in known]
+                if spans:
                     for s, e in reversed(_merged(spans)):
                         text = text[:s] + MASK + text[e:]
+                    if length:
+                        lengths[row] = len(text)
                 texts.append(text)
-                lengths.append(None if text is None else len(text))
             columns = {n: batch.column(n) for n in batch.schema.names if n != "__live_values"}
-            changed = pa.array(texts, pa.string())
-            if length in columns:
-                same = [a == b for a, b in zip(texts, batch.column("text").to_pylist())]
-                old = columns[length].to_pylist()
-                columns[length] = pa.array([o if s else n for o, n, s in zip(old, lengths, same)], columns[length].type)
-            columns["text"] = changed
+            if length:
+                columns[length] = pa.array(lengths, columns[length].type)
+            columns["text"] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return run
 
 
-def _has_random(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every value that a document holds, and whether a random token of it has the value."""
     for batch in batches:
         rows = []
-        for doc, text, owner, repository in zip(*(c.to_pylist() for c in batch.columns)):
-            base = base_spans(text or "")
-            values = sorted({_hash(v) for *_, v in base + random_tokens(text or "", base)})
-            new = {_hash(v) for *_, v in random_tokens(text or "", base)}
-            rows += [(doc, v, owner, repository, v in new) for v in values]
+        others = zip(*(batch.column(c).to_pylist() for c in ("holder", "owner", "repository")))
+        for text, (holder, owner, repository) in zip(batch.column("text"), others):
+            text = text.as_py() or ""
+            base = base_spans(text)
+            new = {_hash(v) for *_, v in random_tokens(text, base)}
+            held = new.union(_hash(v) for *_, v in base)
+            rows += [(holder, v, owner, repository, v in new) for v in sorted(held)]
         types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_()]
         columns = zip(*rows) if rows else [()] * 5
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "value", "owner", "repository", "random"]
+            [pa.array(c, t) for c, t in zip(columns, types)], names=["holder", "value", "owner", "repository", "random"]
         )
 
 
-def masked(docs: DataFrame, owner: str = "source", repository: str = "doc_id", copied_owners: int = 2) -> DataFrame:
-    """All documents with their secrets masked, other columns as they were (``n_chars`` follows the text).
+def masked(
+    docs: DataFrame,
+    owner: str = "source",
+    repository: str = "doc_id",
+    copied_owners: int = COPIED_OWNERS,
+    copied_repositories: int = COPIED_REPOSITORIES,
+) -> DataFrame:
+    """All documents with their secrets masked, other columns as they were (``n_chars`` follows a changed text).
 
-    Base spans are masked where they stand, without a join. Random tokens are masked where one owner holds
-    them; the ids of documents with such tokens, few, are joined to the documents.
+    Base spans are masked where they stand, without a join. Random tokens are masked where they are live;
+    documents with such tokens, few, are known by a hash of id and text, so rows without an id are masked too.
     """
+    holder = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     narrow = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        holder.alias("holder"),
         F.col("text").cast("string").alias("text"),
         F.col(owner).cast("string").alias("owner"),
         F.col(repository).cast("string").alias("repository"),
     )
     values = settle(
-        narrow.mapInArrow(_has_random, "doc_id long, value string, owner string, repository string, random boolean"),
+        narrow.mapInArrow(_values, "holder long, value string, owner string, repository string, random boolean"),
         "secret-values",
     )
-    live = ownership(values).filter(F.col("n_owners") < copied_owners).select("value")
+    live = ownership(values).filter(is_live(copied_owners, copied_repositories)).select("value")
     held = settle(
-        values.filter("random and doc_id is not null").select("doc_id", "value").distinct().join(live, "value")
-        .groupBy(F.col("doc_id").alias("__holder"))
+        values.filter("random").select("holder", "value").distinct().join(live, "value")
+        .groupBy(F.col("holder").alias("__holder"))
         .agg(F.collect_set("value").alias("__live_values")),
         "secret-holders",
     )
     if held.isEmpty():
         joined = docs.withColumn("__live_values", F.lit(None).cast("array<string>"))
     else:
-        joined = docs.join(held, F.col("doc_id") == F.col("__holder"), "left").drop("__holder")
+        joined = docs.join(held, holder == F.col("__holder"), "left").drop("__holder")
     length = "n_chars" if "n_chars" in docs.columns else None
     return joined.mapInArrow(_masker(length), docs.schema)

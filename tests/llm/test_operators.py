@@ -116,7 +116,7 @@ def corpus(seed=3):
 def test_bucket_ranks_equal_those_of_the_whole_table(spark):
     rnd = random.Random(8)
     for rows in ([], [(1, words(rnd, 300))], [(i, words(rnd, 20_000, 10_000)) for i in range(120)]):
-        named = documents(spark, rows).repartition(5).select("doc_id", "text").mapInArrow(jaccard._namer(5), jaccard.NAMED_SQL)
+        named = documents(spark, rows).repartition(5).selectExpr("doc_id", "text", "1L mark").mapInArrow(jaccard._namer(5), jaccard.NAMED_SQL)
         counts = np.zeros(jaccard.BUCKETS)
         for _, text in rows:
             (found,) = shingles.shingle_sets([text])
@@ -494,6 +494,43 @@ def test_ownership_separates_examples_from_live_secrets(spark):
     assert secrets.masked(df).columns == df.columns and secrets.masked(df).count() == len(rows)
 
 
+def test_ownership_of_secrets_equals_counting(spark):
+    rnd = random.Random(6)
+    alphabet = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz23456789"
+    pool = ["".join(rnd.choices(alphabet, k=24)) + "7" for _ in range(30)]
+    often = pool[0]
+    rows = []
+    for i in range(160):
+        source = rnd.randrange(6)  # neighbours share a value
+        held = [often] if i < 40 else rnd.sample(pool[1 + 4 * source : 6 + 4 * source], rnd.randrange(4))
+        text = " ".join(["w", *(v if rnd.random() < 0.7 else f"token={v}" for v in held), "end"])
+        rows.append((i if i % 9 else None, text, "hot" if i < 40 else f"s{source}"))
+    rows += [(500, "x " * 40_000 + pool[3], "s9"), (501, None, None), (501, "", "s1")]
+    spans = [secrets.base_spans(t or "") for _, t, _ in rows]
+    tokens = [secrets.random_tokens(t or "", b) for (_, t, _), b in zip(rows, spans)]
+    owners, repositories = {}, {}
+    for (i, _, source), base, own in zip(rows, spans, tokens):
+        for *_, value in base + own:
+            owners.setdefault(value, set()).add(source)
+            repositories.setdefault(value, set()).add((source, i))
+    live = {v for v in owners if len(owners[v]) < 2 and len(repositories[v]) < secrets.COPIED_REPOSITORIES}
+    assert often not in live and len(owners[often]) == 1 and 5 < len(live) < 29
+    want = sorted(
+        (str(i), secrets.written(sorted(base + [t for t in own if t[3] in live])), sum(t[3] in live for t in base + own))
+        for (i, _, _), base, own in zip(rows, spans, tokens)
+    )
+    df = documents(spark, rows)
+    got = secrets.scan_secrets(df).select("doc_id", secrets.span_text().alias("spans"), "n_live").collect()
+    assert sorted((str(r.doc_id), r.spans, r.n_live) for r in got) == want
+    masked = []
+    for (i, text, _), base, own in zip(rows, spans, tokens):
+        for a, b in reversed(secrets._merged([(a, b) for a, _, b, v in base + [t for t in own if t[3] in live]])):
+            text = text[:a] + secrets.MASK + text[b:]
+        masked.append((str(i), str(text)))
+    assert sorted((str(r.doc_id), str(r.text)) for r in secrets.masked(df).collect()) == sorted(masked)
+
+
+
 # 10 --------------------------------------------------------------------------
 def test_cosine_components_match_brute_force(spark):
     rnd = np.random.default_rng(4)
