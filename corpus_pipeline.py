@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from dispatchlake.llm import jaccard, mixing, packing, secrets, toxicity
 from dispatchlake.session import configure, settle
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 TARGETS: dict[str, float] = {}  # weight of a source in the mix; no target is given for the corpus
 TEMPER = mixing.TEMPER  # sources without target weigh their bytes to this power
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -49,12 +50,17 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack_in_order(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("toxicity", drop_toxic),
-    ("near_copies", drop_near_copies),
-    ("secrets", mask_secrets),
-    ("mixing", mix_sources),
-    ("packing", pack_sequences),
+def stage(name: str, work: Stage) -> tuple[str, Stage]:
+    """A named stage that brings the session's settings with it, also when it is called by itself."""
+    return name, lambda spark, docs, sf_dir: work(configure(spark), docs, sf_dir)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    stage("toxicity", drop_toxic),
+    stage("near_copies", drop_near_copies),
+    stage("secrets", mask_secrets),
+    stage("mixing", mix_sources),
+    stage("packing", pack_sequences),
 ]
 
 ORACLE_SQL = None
@@ -62,8 +68,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
-    configure(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*[F.col(c) for c in COLUMNS])
-    for name, stage in STAGES:
-        docs = settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for name, work in STAGES:
+        docs = settle(work(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -17,6 +17,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Rows go to Python by weight, not by number: a batch of long texts stays small.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4194304",
 }
 
 
