@@ -87,10 +87,22 @@ def _reason(messages: DataFrame, required: dict[str, Column]) -> Column:
     return F.coalesce(*_corrupt_field(messages), *absent)
 
 
-def _as_sent(field: str) -> Column:
-    """A nested value of the message's text; JSON null counts as absent."""
-    sent = F.get_json_object("value", f"$.{field}")
-    return F.when(sent != "null", sent)
+def as_text(contract: T.StructType) -> T.StructType:
+    """The contract with its nested values as text: one parse then gives them exactly as they were sent."""
+    nested = (T.StructType, T.ArrayType)
+    return T.StructType(
+        [T.StructField(f.name, T.StringType()) if isinstance(f.dataType, nested) else f for f in contract.fields]
+    )
+
+
+ORDER_TEXT, COURIER_TEXT = as_text(ORDER_MESSAGE), as_text(COURIER_MESSAGE)
+
+
+def _nested(field: str, contract: T.StructType) -> Column:
+    """A nested value as sent; text that is no object or list of the contract is none."""
+    opened = "[" if isinstance(contract[field].dataType, T.ArrayType) else "{"
+    sent = F.col(f"message.{field}")
+    return F.when(sent.startswith(opened), sent)
 
 
 def _carried(messages: DataFrame) -> list[str]:
@@ -102,15 +114,15 @@ def shape_orders(messages: DataFrame) -> DataFrame:
     """Order messages as rows of the keyed order table, plus ``reason`` where a row cannot be stored.
 
     Nested values stay the JSON text that was sent, also the parts that no contract names. Money becomes
-    double. ``message`` fields are read by name; ``offset`` is kept to order writes to the same key.
+    double. Messages are decoded with ``ORDER_TEXT``; ``offset`` is kept to order writes to the same key.
     """
     m = {f: F.col(f"message.{f}") for f in ORDER_MESSAGE.names}
     shaped = {
         **m,
         "event_timestamp": parse_iso_time(m["event_timestamp"]),
         "estimated_delivery_time": parse_iso_time(m["estimated_delivery_time"]),
-        "items": F.coalesce(_as_sent("items"), F.lit("[]")),
-        "delivery_location": _as_sent("delivery_location"),
+        "items": F.coalesce(_nested("items", ORDER_MESSAGE), F.lit("[]")),
+        "delivery_location": _nested("delivery_location", ORDER_MESSAGE),
         "delivery_fee": to_double(m["delivery_fee"]),
         "total_amount": to_double(m["total_amount"]),
     }
@@ -124,12 +136,12 @@ def shape_orders(messages: DataFrame) -> DataFrame:
 
 
 def shape_couriers(messages: DataFrame) -> DataFrame:
-    """Courier messages as rows of the keyed courier table; the battery level is not kept there."""
+    """Courier messages, decoded with ``COURIER_TEXT``, as rows of the keyed courier table; it has no battery level."""
     m = {f: F.col(f"message.{f}") for f in COURIER_MESSAGE.names}
     shaped = {
         **m,
         "event_timestamp": parse_iso_time(m["event_timestamp"]),
-        "current_location": _as_sent("current_location"),
+        "current_location": _nested("current_location", COURIER_MESSAGE),
     }
     required = ("courier_id", "event_timestamp", "current_location")
     return messages.select(

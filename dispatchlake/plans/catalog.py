@@ -374,7 +374,7 @@ def order_timeline(spark, sf):
 
 
 def _order_messages(spark, sf):
-    return messages.decode(given.order_records(spark, sf), ORDER_MESSAGE)
+    return messages.decode(given.order_records(spark, sf), messages.ORDER_TEXT)
 
 
 @query
@@ -391,7 +391,7 @@ def ops_orders_rejects(spark, sf):
 
 @query
 def ops_courier_upsert(spark, sf):
-    decoded = messages.decode(given.courier_records(_events(spark, sf)), COURIER_MESSAGE)
+    decoded = messages.decode(given.courier_records(_events(spark, sf)), messages.COURIER_TEXT)
     rows = messages.storable(messages.shape_couriers(decoded))
     return keyed.latest_per_key(rows, jobs.KEYS["couriers"], ["offset"])
 

@@ -52,6 +52,24 @@ items AS (
     CAST((2 * cents + q) // (2 * q) AS BIGINT) / 100.0 AS unit_price, cents / 100.0 AS total_price
   FROM lines)"""
 
+MESSAGES = (
+    FEED
+    + """,
+lists AS (
+  SELECT l_orderkey AS k, l_linenumber // 64 AS chunk, '[' || string_agg(
+      '{"item_id":"line-' || l_linenumber || '","name":"Dish ' || (l_partkey % 200)
+      || '","quantity":' || CAST(l_quantity AS DOUBLE)
+      || ',"unit_price":"' || CAST(CAST((2 * CAST(l_extendedprice AS DECIMAL(18,2)) * 100 + l_quantity) // (2 * l_quantity) AS BIGINT)
+        * 0.01::DECIMAL(3,2) AS VARCHAR)
+      || '","total_price":"' || CAST(l_extendedprice AS DECIMAL(18,2))
+      || '","options":{"cold":' || (l_quantity > 25) || '}}', ','
+      ORDER BY l_linenumber, l_partkey, l_quantity, l_extendedprice) || ']' AS listed
+  FROM lineitem GROUP BY ALL),
+sent AS (
+  SELECT t.*, listed, COALESCE(chunk, 0) * 1099511627776 + t.k * 2 + d AS "offset"
+  FROM timed t LEFT JOIN lists USING (k), (VALUES (0), (1)) v(d))"""
+)
+
 COURIERS = """
 couriers AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id, event_id AS n, ts AS event_timestamp,
@@ -333,16 +351,18 @@ def sql() -> dict[str, str]:
         "order_timeline": f"""{s}, {HISTORY} SELECT *, ROW_NUMBER() OVER
             (PARTITION BY order_id ORDER BY event_timestamp DESC, order_status DESC) AS position
             FROM history WHERE event_timestamp IS NOT NULL""",
-        "ops_orders_upsert": f"""WITH {FEED} SELECT event_id, ts AS event_timestamp, order_id,
+        "ops_orders_upsert": f"""WITH {MESSAGES} SELECT event_id, ts AS event_timestamp, order_id,
             merchant_id, CAST(NULL AS VARCHAR) AS courier_id, customer_id, service_type, order_status,
-            CASE WHEN t.k % 3 = 2 THEN '[{{"item_id":"line-1","quantity":' || (t.k % 5 + 1) || ',"options":{{"cold":true}}}}]'
-              ELSE '[]' END AS items,
-            '{{"lat":' || (c % 180) || ',"floor":' || (c % 40) || '}}' AS delivery_location,
+            COALESCE(listed, '[]') AS items,
+            '{{"latitude":' || CAST((c % 180) - 90 + 0.5::DOUBLE AS VARCHAR) || ',"longitude":'
+              || CAST((c % 360) - 180 + 0.25::DOUBLE AS VARCHAR) || ',"address":"No. ' || (c % 500)
+              || ' Market Street","floor":' || (c % 40) || '}}' AS delivery_location,
             CAST(1000 AS DOUBLE) AS delivery_fee, CAST(amount AS DOUBLE) AS total_amount,
-            eta AS estimated_delivery_time, payment_method, 'completed' AS payment_status, t.k * 2 + 1 AS "offset"
-            FROM timed t WHERE {ORDER_REASON} IS NULL""",
-        "ops_orders_rejects": f"""WITH {FEED} SELECT event_id, k * 2 + d AS "offset", {ORDER_REASON} AS reason
-            FROM timed, (VALUES (0), (1)) v(d) WHERE {ORDER_REASON} IS NOT NULL""",
+            eta AS estimated_delivery_time, payment_method, 'completed' AS payment_status, "offset"
+            FROM sent WHERE {ORDER_REASON} IS NULL
+            QUALIFY ROW_NUMBER() OVER (PARTITION BY order_id, ts ORDER BY "offset" DESC) = 1""",
+        "ops_orders_rejects": f"""WITH {MESSAGES} SELECT event_id, "offset", {ORDER_REASON} AS reason
+            FROM sent WHERE {ORDER_REASON} IS NOT NULL""",
         "ops_courier_upsert": f"""WITH {COURIERS} SELECT event_id, event_timestamp, merchant_id, courier_id, order_id,
             delivery_status, '{{"latitude":' || CAST(latitude AS VARCHAR) || ',"longitude":' || CAST(longitude AS VARCHAR)
               || ',"address":"' || address || '"}}' AS current_location, vehicle_type, is_online, n AS "offset"

@@ -24,6 +24,10 @@ from dispatchlake.schemas import (
 )
 
 
+MESSAGE_LINES = 64  # line numbers in an order message
+CHUNK_OFFSET = 1 << 40  # between the messages of one order
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -128,25 +132,30 @@ def bronze_orders_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order as a JSON message delivered twice, the second time with its payment completed.
+    """Every order with its lines as a JSON message delivered twice, the second time with its payment completed.
 
-    Items and location carry fields that the contract does not name.
+    A message holds the lines of up to ``MESSAGE_LINES`` line numbers; an order with more is several messages. Items and
+    location carry fields that the contract does not name. Orders without lines come with a null
+    list (even keys) or an empty one (odd keys).
     """
-    feed = order_columns()
-    item = F.struct(
-        F.lit("line-1").alias("item_id"),
-        F.expr("o_orderkey % 5 + 1").alias("quantity"),
-        F.struct(F.expr("o_orderkey % 3 = 2").alias("cold")).alias("options"),
+    item = line_item().withField("options", F.struct((F.col("l_quantity") > 25).alias("cold")))
+    order = [F.col(c) for c in ("l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")]
+    lists = (
+        table(spark, sf_dir, "lineitem")
+        .select("l_orderkey", F.expr(f"l_linenumber div {MESSAGE_LINES}").alias("chunk"), F.struct(*order, item.alias("item")).alias("line"))
+        .groupBy("l_orderkey", "chunk")
+        .agg(F.transform(F.array_sort(F.collect_list("line")), lambda line: line["item"]).alias("listed"))
     )
-    feed["items"] = F.when(F.expr("o_orderkey % 3 > 0"), F.filter(F.array(item), lambda i: i["options"]["cold"]))
-    feed["delivery_location"] = F.struct(
-        F.expr("cast(o_custkey % 180 as int)").alias("lat"), F.expr("cast(o_custkey % 40 as int)").alias("floor")
-    )
-    twice = _timed(table(spark, sf_dir, "orders")).withColumn("delivery", F.explode(F.array(F.lit(0), F.lit(1))))
+    feed = order_columns()
+    empty = F.array().cast(lists.schema["listed"].dataType)
+    feed["items"] = F.coalesce("listed", F.when(F.expr("o_orderkey % 2 = 1"), empty))
+    feed["delivery_location"] = feed["delivery_location"].withField("floor", F.expr("cast(o_custkey % 40 as int)"))
+    joined = _timed(table(spark, sf_dir, "orders")).join(lists, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    twice = joined.withColumn("delivery", F.explode(F.array(F.lit(0), F.lit(1))))
     feed["payment_status"] = F.when(F.col("delivery") == 1, F.lit("completed")).otherwise(feed["payment_status"])
     return twice.select(
         F.to_json(F.struct(*[c.alias(n) for n, c in feed.items()])).alias("value"),
-        (F.col("o_orderkey") * 2 + F.col("delivery")).alias("offset"),
+        (F.coalesce("chunk", F.lit(0)) * CHUNK_OFFSET + F.col("o_orderkey") * 2 + F.col("delivery")).alias("offset"),
     )
 
 

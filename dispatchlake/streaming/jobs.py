@@ -15,7 +15,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from dispatchlake.functions.keys import DEFAULT_TOPIC_PATTERN
 from dispatchlake.operators import keyed, messages
-from dispatchlake.schemas import COURIER_MESSAGE, ORDER_MESSAGE
 
 DRAIN = {"availableNow": True}
 KEYS = {"orders": ["order_id", "event_timestamp"], "couriers": ["courier_id", "event_timestamp"]}
@@ -81,8 +80,8 @@ def upsert_state(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         for feed, contract, shape in (
-            ("orders", ORDER_MESSAGE, messages.shape_orders),
-            ("couriers", COURIER_MESSAGE, messages.shape_couriers),
+            ("orders", messages.ORDER_TEXT, messages.shape_orders),
+            ("couriers", messages.COURIER_TEXT, messages.shape_couriers),
         ):
             mine = batch.filter(messages.handler(F.col("topic"), topic_pattern) == feed)
             shaped = shape(messages.decode(mine, contract)).persist()

@@ -33,7 +33,7 @@ def records(spark, *values, topic="orders-raw"):
 
 
 def shaped(spark, *values):
-    return messages.shape_orders(messages.decode(records(spark, *values), ORDER_MESSAGE))
+    return messages.shape_orders(messages.decode(records(spark, *values), messages.ORDER_TEXT))
 
 
 def test_order_message(spark):
@@ -96,7 +96,7 @@ def test_courier_message_drops_battery(spark):
         "delivery_status": "assigned", "current_location": {"latitude": 1.0, "longitude": 2.0, "address": "a"},
         "battery_level": 0.5, "vehicle_type": "Van", "is_online": True,
     }
-    row = messages.shape_couriers(messages.decode(records(spark, value), COURIER_MESSAGE)).first()
+    row = messages.shape_couriers(messages.decode(records(spark, value), messages.COURIER_TEXT)).first()
     assert "battery_level" not in row.asDict()
     assert json.loads(row.current_location) == value["current_location"] and row.is_online is True
 

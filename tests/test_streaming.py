@@ -66,7 +66,7 @@ def test_state_equals_batch_upsert(spark, records, folder, sf_dir):
     both = couriers.unionByName(again)
     both.repartition(5).write.parquet(folder("landing"))
     drain(jobs.upsert_state, stream(spark, folder("landing")), folder("state"), folder("mark"))
-    shaped = messages.shape_couriers(messages.decode(both, COURIER_MESSAGE))
+    shaped = messages.shape_couriers(messages.decode(both, messages.COURIER_TEXT))
     expected = keyed.latest_per_key(messages.storable(shaped), jobs.KEYS["couriers"], ["offset"])
     state = jobs.read_state(spark, folder("state"), "couriers")
     assert rows_of(state.select(*expected.columns)) == rows_of(expected)
