@@ -59,12 +59,12 @@ lists AS (
   SELECT l_orderkey AS k, l_linenumber // 64 AS chunk, '[' || string_agg(
       '{"item_id":"line-' || l_linenumber || '","name":"Dish ' || (l_partkey % 200)
       || '","quantity":' || CAST(l_quantity AS DOUBLE)
-      || ',"unit_price":"' || CAST(CAST((2 * CAST(l_extendedprice AS DECIMAL(18,2)) * 100 + l_quantity) // (2 * l_quantity) AS BIGINT)
-        * 0.01::DECIMAL(3,2) AS VARCHAR)
+      || ',"unit_price":"' || CAST((2 * cents + q) // (2 * q) * 0.01::DECIMAL(3,2) AS VARCHAR)
       || '","total_price":"' || CAST(l_extendedprice AS DECIMAL(18,2))
       || '","options":{"cold":' || (l_quantity > 25) || '}}', ','
       ORDER BY l_linenumber, l_partkey, l_quantity, l_extendedprice) || ']' AS listed
-  FROM lineitem GROUP BY ALL),
+  FROM (SELECT *, CAST(l_quantity AS BIGINT) AS q, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS cents
+    FROM lineitem) GROUP BY l_orderkey, l_linenumber // 64),
 sent AS (
   SELECT t.*, listed, COALESCE(chunk, 0) * 1099511627776 + t.k * 2 + d AS "offset"
   FROM timed t LEFT JOIN lists USING (k), (VALUES (0), (1)) v(d))"""
