@@ -25,6 +25,7 @@ DAY, VERSION = "day", "version"
 FOLDERS = [T.StructField(DAY, T.StringType()), T.StructField(VERSION, T.StringType())]
 
 
+SMALL_STAGED = 10 << 20  # bytes of a stored source, which costs little to read again
 BY_DAY, BY_MONTH = "yyyy-MM-dd", "yyyy-MM"
 
 
@@ -92,7 +93,7 @@ class DayTable:
         found = held.join(staged.select(*self.keys), self.keys, "left_semi")
         touched = [r[DAY] for r in staged.select(DAY).union(found.select(DAY)).distinct().collect()]
 
-        merged = merge_staged(self.read(spark, current, touched), staged, self.keys)
+        merged = merge_staged(self.read(spark, current, touched), staged, self.keys, small=SMALL_STAGED)
         write_days(merged.withColumn(VERSION, F.lit(version)), self.data, DAY, VERSION)
         written = self._of_version(spark, version).select(DAY).distinct()
         kept = {d: v for d, v in self.live(spark, current).items() if d not in touched}

@@ -2,7 +2,7 @@
 
 Nothing here gathers a key's rows into one group. Duplicates and current state are aggregates with
 map-side partials; a timeline is range-partitioned on its whole sort order, so one hot key spreads
-over many tasks; a merge is made of left, semi and anti joins, which Spark can broadcast or split.
+over many tasks; a merge is one outer join that reads either side once.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from dispatchlake.session import settle
 
+SMALL_SOURCE = 1 << 16  # bytes up to which a merge computes its source three times rather than shuffle the target
+
 
 def drop_replays(records: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key where copies are identical (redelivered records)."""
@@ -89,6 +91,7 @@ def merge_upsert(
     source: DataFrame,
     keys: list[str] | None = None,
     newest_by: list[str] | None = None,
+    spread_nulls: bool = True,
 ) -> DataFrame:
     """The target after ``source`` was merged into it: matched rows updated, others inserted.
 
@@ -98,29 +101,51 @@ def merge_upsert(
     keys = keys or primary_key(target.columns)
     aligned = align(source, target.columns)
     staged = latest_per_key(aligned, keys, newest_by) if newest_by else keep_one(aligned, keys)
-    return merge_staged(target, staged, keys)
+    return merge_staged(target, staged, keys, spread_nulls)
 
 
-def merge_staged(target: DataFrame, staged: DataFrame, keys: list[str]) -> DataFrame:
+def merge_staged(
+    target: DataFrame, staged: DataFrame, keys: list[str], spread_nulls: bool = True, small: int = SMALL_SOURCE
+) -> DataFrame:
     """:func:`merge_upsert` for a source that has the target's columns and every key once.
 
-    * Updates: target left join source. A small source is broadcast and the target is not shuffled.
-    * Inserts: source keys found in the target come from a semi join that reads only the target's key
-      columns; the source minus those keys is what gets inserted.
-    * A null key matches nothing: target rows stay, source rows are inserted.
+    One full outer join reads either side once: rows of both are updates, of one side rows that stay or are inserted.
+    A target stored by :func:`dispatchlake.operators.sinks.write_buckets` on the keys is not shuffled. A source of
+    at most ``small`` bytes, by Spark's estimate, goes to all tasks instead, see :func:`_merge_small`.
+
+    A null key matches nothing: target rows stay, source rows are inserted. Such rows are dealt out by a number
+    of their own, so that many of them do not meet in one task. ``spread_nulls=False`` leaves that out, for
+    bucketed targets without null keys.
     """
-    marked = staged.withColumn("_matched", F.lit(True))
-    updated = target.alias("t").join(marked.alias("s"), _same_key("t", "s", keys), "left").select(
-        *[
-            F.col(f"t.{c}")
-            if c in keys
-            else F.when(F.col("s._matched"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
-            for c in target.columns
-        ]
-    )
-    present = target.select(*keys).join(staged.select(*keys), keys, "left_semi").distinct()
-    inserted = staged.join(present, keys, "left_anti")
-    return updated.unionByName(inserted)
+    marked = staged.withColumn("_brought", F.lit(True))
+    if estimated_bytes(staged) <= small:
+        return _merge_small(target, marked, keys)
+    on = list(keys)
+    if spread_nulls:
+        no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        target = target.withColumn("_apart", F.when(no_key, F.monotonically_increasing_id()).otherwise(F.lit(-1)))
+        marked = marked.withColumn("_apart", F.when(no_key, F.lit(-2)).otherwise(F.lit(-1)).cast("bigint"))
+        on.append("_apart")
+    joined = target.alias("t").join(marked.alias("s"), _same_key("t", "s", on), "full_outer")
+    kept = [c for c in target.columns if c != "_apart"]
+    return joined.select(*[F.coalesce(f"t.{c}", f"s.{c}").alias(c) if c in keys else _updated(c) for c in kept])
+
+
+def _updated(c: str) -> Column:
+    return F.when(F.col("s._brought"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
+
+
+def _merge_small(target: DataFrame, marked: DataFrame, keys: list[str]) -> DataFrame:
+    """A merge that does not shuffle the target: updates by a left join, inserts by the target's key columns alone."""
+    joined = target.alias("t").join(marked.alias("s"), _same_key("t", "s", keys), "left")
+    updated = joined.select(*[F.col(f"t.{c}") if c in keys else _updated(c) for c in target.columns])
+    present = target.select(*keys).join(marked.select(*keys), keys, "left_semi").distinct()
+    return updated.unionByName(marked.drop("_brought").join(present, keys, "left_anti"))
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of the size of a plan's result."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def merge_into_table(source: DataFrame, table: str, keys: list[str], newest_by: list[str]) -> None:

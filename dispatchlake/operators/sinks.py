@@ -56,3 +56,15 @@ def clean_merchants(merchants: DataFrame) -> DataFrame:
 def append_to(df: DataFrame, path: str) -> None:
     """Add rows to a stored table; what is there stays as it is. A repeated load is stored twice."""
     df.write.mode("append").parquet(path)
+
+
+def write_buckets(df: DataFrame, table: str, keys: list[str], buckets: int) -> None:
+    """Replace a catalog table, hashed and sorted by its keys: joins and merges on them do not shuffle it.
+
+    One file for each bucket, with a Bloom filter on the keys. Take no fewer buckets than shuffle partitions, or Spark
+    shuffles the table to their number.
+    """
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    for key in keys:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+    writer.saveAsTable(table)

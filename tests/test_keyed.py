@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
-from dispatchlake.operators import days, keyed
+from dispatchlake.operators import days, keyed, sinks
 
 
 def as_set(df):
@@ -137,3 +137,31 @@ def test_days(spark):
     assert {r.day.day: r.is_empty for r in days.empty_days(spine, rows).collect()} == {27: True, 28: False, 1: True, 2: True}
     left = days.pending_days(spine.select("day"), days.present_days(rows))
     assert left.filter(F.col("day") == "2025-02-28").count() == 0 and left.count() == 3
+
+
+def test_merge_reads_each_side_once_and_spreads_null_keys(spark, folder, monkeypatch):
+    monkeypatch.setattr(keyed.merge_staged, "__defaults__", (True, 0))
+    target = spark.createDataFrame([(f"{i}", i) for i in range(50)] + [(None, i) for i in range(40)], "order_id string, v int")
+    source = spark.createDataFrame([(f"{i}", -i) for i in range(40, 60)] + [("41", -99), (None, 7)], "order_id string, v int")
+    target.write.parquet(folder("t"))
+    source.write.parquet(folder("s"))
+    merged = keyed.merge_upsert(spark.read.parquet(folder("t")), spark.read.parquet(folder("s")), ["order_id"])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("FullOuter") == 1
+    got = sorted(((r.order_id, r.v) for r in merged.collect()), key=str)
+    want = [(f"{i}", i) for i in range(40)] + [(f"{i}", -i) for i in range(40, 60)] + [(None, i) for i in range(40)] + [(None, 7)]
+    assert got == sorted(want, key=str)
+
+
+def test_bucketed_target_is_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(keyed.merge_staged, "__defaults__", (True, 0))
+    rows = spark.range(2000).selectExpr("cast(id as string) order_id", "id v")
+    sinks.write_buckets(rows, "bucketed_target", ["order_id"], 16)
+    source = spark.range(1990, 2010).selectExpr("cast(id as string) order_id", "-id v")
+    merged = keyed.merge_upsert(spark.table("bucketed_target"), source, ["order_id"], spread_nulls=False)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and plan.count("FileScan") == 1
+    join = plan.index("FullOuter")
+    assert "Exchange" not in plan[join : plan.index("FileScan")]  # the target is the first child
+    assert merged.count() == 2010 and merged.filter("v < 0").count() == 20
+    assert keyed.point_lookup(spark.table("bucketed_target"), "order_id", "77").count() == 1
