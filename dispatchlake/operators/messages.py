@@ -152,8 +152,11 @@ def shape_couriers(messages: DataFrame) -> DataFrame:
     )
 
 
-def storable(shaped: DataFrame) -> DataFrame:
-    return shaped.filter(F.col("reason").isNull()).drop("reason", "record")
+def storable(shaped: DataFrame, order: tuple[str, ...] = ("offset",)) -> DataFrame:
+    """Rows of a keyed table, with the parts of their record that order writes to the same key."""
+    good = shaped.filter(F.col("reason").isNull())
+    carried = [F.col(f"record.{c}").alias(c) for c in order if c != "offset"]
+    return good.select(*[c for c in shaped.columns if c not in ("record", "reason")], *carried)
 
 
 def rejected(shaped: DataFrame) -> DataFrame:

@@ -580,18 +580,17 @@ def stream_to_bronze(spark, sf):
 
 @query
 def stream_dedup(spark, sf):
-    """Every record delivered twice through the stream; one message per topic and id remains."""
+    """Every record delivered three times, before and after two restarts of the stream; stored once."""
     records = given.feed_records(_events(spark, sf))
-    landing = _stage(records, records)
-    good, dead, mark = (scratch(spark, n) for n in ("messages", "dead-letters", "checkpoint"))
-    jobs.land_messages(feeds.read_landing(spark, landing), good, dead, mark).awaitTermination()
-    ids = F.coalesce("message.event_id", "message.review_id").alias("message_id")
-    return keyed.drop_replays(spark.read.parquet(good).select("topic", ids, "key", "offset"), ["topic", "message_id"])
+    landing, path, dead, mark = (scratch(spark, n) for n in ("landing", "messages", "dead-letters", "checkpoint"))
+    for _ in range(3):
+        records.write.mode("append").parquet(landing)
+        jobs.land_once(feeds.read_landing(spark, landing), path, dead, mark).awaitTermination()
+    return spark.read.parquet(path).select("topic", "message_id", "key", "offset")
 
 
-@query
-def stream_upsert_state(spark, sf):
-    """Courier messages and a later correction of each (``is_online``), kept as last write per key."""
+def _courier_state(spark, sf):
+    """Root of a state that took courier messages and a later correction of each (``is_online``)."""
     records = given.courier_records(_events(spark, sf))
     corrected = records.withColumns(
         {
@@ -602,7 +601,23 @@ def stream_upsert_state(spark, sf):
     landing = _stage(records, corrected)
     root, mark = scratch(spark, "state"), scratch(spark, "checkpoint")
     jobs.upsert_state(feeds.read_landing(spark, landing), root, mark).awaitTermination()
-    return jobs.read_state(spark, root, "couriers").drop("offset", "current_location")
+    return root
+
+
+@query
+def stream_upsert_state(spark, sf):
+    """Courier messages and a later correction of each, kept as last write per key."""
+    rows = jobs.read_state(spark, _courier_state(spark, sf), "couriers")
+    return rows.drop("offset", "timestamp", "partition", "current_location")
+
+
+@query
+def state_point_lookup(spark, sf):
+    """The stored rows of one courier, the one with the least id, out of one bucket of each run."""
+    root = _courier_state(spark, sf)
+    courier = str(_events(spark, sf).agg(F.min("user_id")).first()[0])
+    rows = jobs.look_up_state(spark, root, "couriers", courier)
+    return rows.drop("offset", "timestamp", "partition", "current_location")
 
 
 @query

@@ -412,6 +412,10 @@ def sql() -> dict[str, str]:
         "stream_upsert_state": f"""WITH {COURIERS} SELECT event_id, event_timestamp, merchant_id, courier_id, order_id,
             delivery_status, vehicle_type, true AS is_online FROM couriers WHERE NOT torn
             QUALIFY ROW_NUMBER() OVER (PARTITION BY courier_id, event_timestamp ORDER BY n DESC) = 1""",
+        "state_point_lookup": f"""WITH {COURIERS} SELECT event_id, event_timestamp, merchant_id, courier_id, order_id,
+            delivery_status, vehicle_type, true AS is_online FROM couriers
+            WHERE NOT torn AND courier_id = (SELECT CAST(MIN(user_id) AS VARCHAR) FROM events)
+            QUALIFY ROW_NUMBER() OVER (PARTITION BY courier_id, event_timestamp ORDER BY n DESC) = 1""",
         "stream_daily_counts": f"""{s} SELECT event_date, COUNT(*) AS total_orders,
             {_count("order_status = 'delivered'")} AS delivered_orders,
             {_count("order_status = 'cancelled'")} AS cancelled_orders FROM silver GROUP BY 1""",

@@ -151,10 +151,13 @@ FEED_RECORD = T.StructType(
     ]
 )
 
+# A record as it is read: offsets only compare inside a partition. Files without partitions give null.
+READ_RECORD = T.StructType([*FEED_RECORD.fields, T.StructField("partition", T.IntegerType())])
+
 # The raw landing lake: a record and the partition columns it is stored under.
 LANDED_RECORD = T.StructType(
     [
-        *FEED_RECORD.fields,
+        *READ_RECORD.fields,
         T.StructField("ingest_date", T.DateType()),
         T.StructField("ingest_hour", T.IntegerType()),
     ]
@@ -217,3 +220,28 @@ OPS_COURIERS = [
     "vehicle_type",
     "is_online",
 ]
+
+_WRITTEN = [
+    T.StructField("offset", T.LongType()),
+    T.StructField("timestamp", T.TimestampType()),
+    T.StructField("partition", T.IntegerType()),
+]
+
+
+def _state(columns: list[str], typed: dict[str, T.DataType]) -> T.StructType:
+    """A keyed table: text columns but for the typed ones, and what orders the writes."""
+    return T.StructType([T.StructField(c, typed.get(c, T.StringType())) for c in columns] + _WRITTEN)
+
+
+STATE_SCHEMAS = {
+    "orders": _state(
+        OPS_ORDERS,
+        {
+            "event_timestamp": T.TimestampType(),
+            "estimated_delivery_time": T.TimestampType(),
+            "delivery_fee": T.DoubleType(),
+            "total_amount": T.DoubleType(),
+        },
+    ),
+    "couriers": _state(OPS_COURIERS, {"event_timestamp": T.TimestampType(), "is_online": T.BooleanType()}),
+}

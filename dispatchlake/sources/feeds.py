@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from dispatchlake.functions.keys import DEFAULT_TOPIC_PATTERN, topic_name
 from dispatchlake.operators import messages
 from dispatchlake.operators.silver import reject_reason
-from dispatchlake.schemas import BRONZE_ORDERS, FEED_RECORD, FEEDS, LANDED_RECORD
+from dispatchlake.schemas import BRONZE_ORDERS, FEEDS, LANDED_RECORD, READ_RECORD
 
 
 @dataclass
@@ -65,12 +65,13 @@ def read_broker(spark: SparkSession, config: JobConfig) -> DataFrame:
         F.col("value").cast("string").alias("value"),
         "offset",
         "timestamp",
+        "partition",
     )
 
 
 def read_landing(spark: SparkSession, path: str, **options: object) -> DataFrame:
     """Records from files that appear in a folder: the same columns, for replays and tests."""
-    return spark.readStream.schema(FEED_RECORD).options(**options).parquet(path)
+    return spark.readStream.schema(READ_RECORD).options(**options).parquet(path)
 
 
 def read_records(spark: SparkSession, config: JobConfig) -> DataFrame:

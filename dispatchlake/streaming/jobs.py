@@ -11,12 +11,19 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from dispatchlake.functions.keys import DEFAULT_TOPIC_PATTERN
-from dispatchlake.operators import keyed, messages
+from dispatchlake.functions.parsing import parse_iso_time
+from dispatchlake.operators import keyed, messages, sinks
+from dispatchlake.operators.daytable import read_stored
+from dispatchlake.schemas import STATE_SCHEMAS
+from dispatchlake.streaming.state import LevelState
 
+STORED_IDS = "topic string, message_id string, day string, batch_id long"
 DRAIN = {"availableNow": True}
+WRITE_ORDER = ("timestamp", "partition", "offset")
 KEYS = {"orders": ["order_id", "event_timestamp"], "couriers": ["courier_id", "event_timestamp"]}
 
 
@@ -65,6 +72,44 @@ def land_messages(
     return _each_batch(records, write, checkpoint, trigger)
 
 
+def land_once(
+    records: DataFrame, path: str, dead_path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Readable messages, each stored once however often it is delivered; dead letters apart.
+
+    A message is known by topic and id (without an id by its text) and stored under the day of its event. A replay names the
+    same day, so a batch is compared with the stored ids of its own days only, of which two columns are read:
+    its cost does not grow with the history, and a late message is never dropped. A batch that is
+    run again does not see what it wrote before and replaces it. Root and checkpoint belong together.
+    """
+    key = ["day", "topic", "message_id"]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        parsed = messages.decode(batch).persist()
+        try:
+            good, dead = messages.split_decoded(parsed)
+            event_time = parse_iso_time(F.coalesce("message.event_timestamp", "message.feedback_timestamp"))
+            named = good.withColumns(
+                {
+                    "day": F.coalesce(F.date_format(event_time, "yyyy-MM-dd"), F.lit("none")),
+                    "topic": F.coalesce("topic", F.lit("")),
+                    "message_id": F.coalesce("message.event_id", "message.review_id", F.sha2("value", 256)),
+                }
+            )
+            once = named.dropDuplicates(key)
+            days = sorted(r["day"] for r in named.select("day").distinct().collect())  # calendar days
+            stored = read_stored(spark, T.StructType.fromDDL(STORED_IDS), f"{path}/day={{{','.join(days)}}}" if days else path, base=path)
+            seen = stored.filter(F.col("batch_id") != batch_id).select(*key)
+            fresh = once.join(seen, key, "left_anti").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            sinks.write_days(fresh, path, "day", "batch_id")
+            _write_batch(dead, dead_path, batch_id)
+        finally:
+            parsed.unpersist()
+
+    return _each_batch(records, write, checkpoint, trigger)
+
+
 def upsert_state(
     records: DataFrame,
     root: str,
@@ -74,11 +119,22 @@ def upsert_state(
 ) -> StreamingQuery:
     """Order and courier messages into the keyed tables below ``root``; what cannot be stored to dead letters.
 
-    A batch is reduced to its last write per key and stored as that batch's increment; the reader
-    (:func:`read_state`) resolves increments. A batch thus costs what it brings, not what is stored.
+    The state is stored in levels (:class:`dispatchlake.streaming.state.LevelState`): a batch costs what it brings,
+    and its rows are folded with earlier ones as levels fill. Writes are ordered by landing time, partition and
+    offset, as offsets of different partitions do not compare. Records of other topics go to
+    ``unhandled_dead_letters``, so nothing vanishes. The batch is read from its source once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            split(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        other = batch.filter(messages.handler(F.col("topic"), topic_pattern) == "unhandled")
+        _write_batch(other.withColumn("reason", F.lit("no table takes the topic")), f"{root}/unhandled_dead_letters", batch_id)
         for feed, contract, shape in (
             ("orders", messages.ORDER_TEXT, messages.shape_orders),
             ("couriers", messages.COURIER_TEXT, messages.shape_couriers),
@@ -86,8 +142,7 @@ def upsert_state(
             mine = batch.filter(messages.handler(F.col("topic"), topic_pattern) == feed)
             shaped = shape(messages.decode(mine, contract)).persist()
             try:
-                last = keyed.latest_per_key(messages.storable(shaped), KEYS[feed], ["offset"])
-                _write_batch(last, f"{root}/{feed}", batch_id)
+                state_of(root, feed).add(messages.storable(shaped, WRITE_ORDER), batch_id)
                 _write_batch(messages.dead_letters(shaped), f"{root}/{feed}_dead_letters", batch_id)
             finally:
                 shaped.unpersist()
@@ -95,16 +150,23 @@ def upsert_state(
     return _each_batch(records, write, checkpoint, trigger)
 
 
+def state_of(root: str, feed: str) -> LevelState:
+    return LevelState(f"{root}/{feed}", tuple(KEYS[feed]), WRITE_ORDER)
+
+
 def read_state(spark: SparkSession, root: str, feed: str) -> DataFrame:
-    """The keyed table of a feed: the last write of every key over all increments."""
-    rows = spark.read.parquet(f"{root}/{feed}").drop("batch_id")
-    return keyed.latest_per_key(rows, KEYS[feed], ["offset"])
+    """The keyed table of a feed: the last write of every key."""
+    return state_of(root, feed).read(spark, STATE_SCHEMAS[feed])
+
+
+def look_up_state(spark: SparkSession, root: str, feed: str, value: str) -> DataFrame:
+    """The rows of one key of a feed's table, from the buckets that can hold it."""
+    return state_of(root, feed).lookup(spark, STATE_SCHEMAS[feed], value)
 
 
 def compact_state(spark: SparkSession, root: str, feed: str, compacted: str) -> None:
-    """Fold all increments of a stopped query into one, in a new root; point readers and the query there."""
-    state = read_state(spark, root, feed).withColumn("batch_id", F.lit(-1).cast("bigint"))
-    state.write.partitionBy("batch_id").parquet(f"{compacted}/{feed}")
+    """The state of a stopped query as one run in a new root; point readers and the query there."""
+    state_of(compacted, feed).add(read_state(spark, root, feed), -1)
 
 
 def daily_counts(

@@ -1,6 +1,8 @@
 """Streams against their batch answers, over several batches and across restarts."""
 
 import json
+import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from dispatchlake.schemas import BRONZE_ORDERS, COURIER_MESSAGE, FEED_RECORD
 from dispatchlake.sources import driver_tables as given
 from dispatchlake.sources import feeds
 from dispatchlake.streaming import jobs
+from dispatchlake.streaming.state import LevelState
 
 
 def rows_of(df):
@@ -114,6 +117,64 @@ def test_order_and_courier_state_from_one_stream(spark, folder):
     assert [(r.offset, r.reason) for r in dead] == [(3, "bad or missing total_amount")]
 
 
+def test_replays_are_stored_once(spark, folder):
+    def value(i, day):
+        return json.dumps({"event_id": f"e{i}", "event_timestamp": f"2025-03-{day:02d}T10:00:00Z", "order_id": "o"})
+
+    def deliver(*values):
+        rows = [("orders-raw", "k", v, i, None) for i, v in enumerate(values)]
+        spark.createDataFrame(rows, FEED_RECORD).coalesce(1).write.mode("append").parquet(folder("landing"))
+        drain(jobs.land_once, stream(spark, folder("landing")), folder("once"), folder("dead"), folder("mark"))
+
+    no_id = json.dumps({"event_timestamp": "no time"})
+    deliver(value(1, 1), value(1, 1), value(2, 1), no_id)
+    deliver(value(3, 2), value(2, 1), "{torn", no_id)
+    deliver(value(4, 1), value(3, 2), value(1, 1))  # a late one, and replays over a restart
+    stored = spark.read.parquet(folder("once"))
+    got = sorted((str(r.day), str(r.message.event_id)) for r in stored.select("day", "message").collect())
+    assert got == [("2025-03-01", "e1"), ("2025-03-01", "e2"), ("2025-03-01", "e4"), ("2025-03-02", "e3"), ("none", "None")]
+    assert spark.read.parquet(folder("dead")).count() == 1
+
+
+def test_levels_fold_while_batches_come(spark, folder):
+    schema = "courier_id string, event_timestamp timestamp, v long, offset long, timestamp timestamp, partition int"
+    state = LevelState(folder("levels"), ("courier_id", "event_timestamp"), jobs.WRITE_ORDER, fanout=3, buckets=4)
+    clock = datetime(2025, 1, 1)
+    last, rng = {}, random.Random(3)
+    for batch in range(14):
+        rows = []
+        for i in range(12):
+            key = f"c{rng.randrange(9)}"
+            # a later landing wins, whatever its offset is
+            rows.append((key, clock, batch * 100 + i, rng.randrange(50), clock + timedelta(minutes=batch * 20 + i), i % 3))
+        if batch == 5:
+            rows = []
+        last.update({r[0]: r for r in rows})
+        df = spark.createDataFrame(rows, schema)
+        state.add(df, batch)
+        if batch == 7:
+            state.add(df, batch)  # run again after a failure
+    live = state.runs(spark)
+    assert len(live) <= 2 * 4 and max(at for at, _ in live) == 2
+    assert sorted(map(tuple, state.read(spark, df.schema).collect())) == sorted(last.values())
+    for key in ("c3", "c8", "none"):
+        found = state.lookup(spark, df.schema, key)
+        assert [tuple(r) for r in found.collect()] == ([last[key]] if key in last else [])
+        assert len({f.split("bucket=")[1][0] for f in found.inputFiles()}) <= 1
+    assert len(state.vacuum(spark)) > 14 and state.vacuum(spark) == []
+    assert sorted(map(tuple, state.read(spark, df.schema).collect())) == sorted(last.values())
+    assert state.runs(spark) == live
+
+
+def test_unhandled_topics_are_kept(spark, folder):
+    rows = [("elsewhere", "k", "{}", 1, None), ("couriers-raw", "k", "torn", 2, None)]
+    spark.createDataFrame(rows, FEED_RECORD).write.parquet(folder("landing"))
+    drain(jobs.upsert_state, stream(spark, folder("landing")), folder("state"), folder("mark"))
+    kept = spark.read.parquet(folder("state") + "/unhandled_dead_letters").collect()
+    assert [(r.topic, r.value, r.reason) for r in kept] == [("elsewhere", "{}", "no table takes the topic")]
+    assert spark.read.parquet(folder("state") + "/couriers_dead_letters").first().value == "torn"
+
+
 def test_live_counts_equal_batch(spark, folder, sf_dir):
     feed = given.bronze_orders(spark, sf_dir)
     feed.repartition(3).write.parquet(folder("landing"))
