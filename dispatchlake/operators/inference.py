@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,3 +22,9 @@ def plain_shape(records: DataFrame, value: str = "value") -> DataFrame:
 def infer_schema(records: DataFrame, value: str = "value") -> str:
     """Schema string of the values for ``from_json``. Only the one-row shape reaches the driver."""
     return plain_shape(records, value).first()["shape"].replace("OBJECT<", "STRUCT<")
+
+
+def plain_type(shape: str) -> str:
+    """The shape of a value as a type, by the rules of :func:`plain_shape`."""
+    doubles = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", shape)
+    return re.sub(r"\b(VOID|VARIANT)\b", "STRING", doubles).replace("OBJECT<", "STRUCT<")

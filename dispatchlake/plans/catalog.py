@@ -30,7 +30,7 @@ from dispatchlake.schemas import (
 from dispatchlake.session import configure, scratch
 from dispatchlake.sources import driver_tables as given
 from dispatchlake.sources import feeds
-from dispatchlake.streaming import jobs
+from dispatchlake.streaming import jobs, typed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -578,6 +578,37 @@ def stream_to_bronze(spark, sf):
     return spark.read.parquet(lake).select("topic", "ingest_date", "ingest_hour", "key", "offset")
 
 
+@query
+def stream_to_bronze_typed(spark, sf):
+    """Courier records landed as typed columns, twice: the second time with a new field, a new part of the location
+    and ``is_online`` as text, which its column cannot hold."""
+    first = given.feed_records(_events(spark, sf)).filter(F.col("topic") == "couriers-raw")
+    value = F.replace("value", F.lit('{"event_id"'), F.lit('{"channel":"app","event_id"'))
+    value = F.replace(value, F.lit('"is_online":true'), F.lit('"is_online":"yes"'))
+    value = F.replace(value, F.lit('"address":"Dock 1"'), F.lit('"address":"Dock 1","floor":3'))
+    second = first.withColumns({"value": value, "offset": F.col("offset") + 10**12})
+    landing, root, mark = (scratch(spark, n) for n in ("landing", "typed", "checkpoint"))
+    for load in (first, second):
+        load.write.mode("append").parquet(landing)
+        source = feeds.read_landing(spark, landing)
+        landed = F.to_date("record_timestamp")
+        typed.land_typed(source, root, mark, COURIER_MESSAGE, day=landed).awaitTermination()
+    return typed.read_typed(spark, root, COURIER_MESSAGE).select(
+        F.col("record_offset").alias("offset"),
+        "ingest_date",
+        "event_id",
+        "merchant_id",
+        "courier_id",
+        "order_id",
+        F.col("current_location.latitude").alias("latitude"),
+        F.col("current_location.floor").alias("floor"),
+        "is_online",
+        "channel",
+        F.array_join(F.array_sort(F.map_keys("rescued")), ",").alias("rescued_fields"),
+        F.col("rescued")["is_online"].alias("rescued_online"),
+    )
+
+
 @query
 def stream_dedup(spark, sf):
     """Every record delivered three times, before and after two restarts of the stream; stored once."""

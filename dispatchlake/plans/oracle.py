@@ -407,6 +407,19 @@ def sql() -> dict[str, str]:
             CAST(event_id * 2 AS VARCHAR) AS order_id, ts AS event_time FROM records WHERE NOT torn""",
         "stream_to_bronze": f"""WITH {ROUTED} SELECT topic, CAST(landed AS DATE) AS ingest_date,
             CAST(hour(landed) AS INTEGER) AS ingest_hour, key, event_id AS "offset" FROM records""",
+        "stream_to_bronze_typed": f"""WITH {ROUTED} SELECT event_id + d * 1000000000000 AS "offset",
+            CAST(landed AS DATE) AS ingest_date,
+            CASE WHEN NOT torn THEN CAST(event_id AS VARCHAR) END AS event_id,
+            CASE WHEN NOT torn THEN CAST(user_id % 100 AS VARCHAR) END AS merchant_id,
+            CASE WHEN NOT torn AND event_id % 7 <> 0 THEN CAST(user_id AS VARCHAR) END AS courier_id,
+            CASE WHEN NOT torn THEN CAST(event_id * 2 AS VARCHAR) END AS order_id,
+            CASE WHEN NOT torn THEN 10.5::DOUBLE END AS latitude,
+            CASE WHEN NOT torn AND d = 1 THEN 3::BIGINT END AS floor,
+            CASE WHEN NOT torn AND d = 0 THEN true END AS is_online,
+            CASE WHEN NOT torn AND d = 1 THEN 'app' END AS channel,
+            CASE WHEN torn THEN 'value' WHEN d = 1 THEN 'is_online' ELSE '' END AS rescued_fields,
+            CASE WHEN NOT torn AND d = 1 THEN '"yes"' END AS rescued_online
+            FROM routed, (VALUES (0), (1)) v(d) WHERE topic = 'couriers-raw'""",
         "stream_dedup": f"""WITH {ROUTED} SELECT topic, CASE WHEN topic = 'reviews-raw' THEN 'r' ELSE '' END || event_id
             AS message_id, key, event_id AS "offset" FROM records WHERE NOT torn""",
         "stream_upsert_state": f"""WITH {COURIERS} SELECT event_id, event_timestamp, merchant_id, courier_id, order_id,
