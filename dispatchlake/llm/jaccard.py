@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
+from dispatchlake.llm.batches import lean
 from dispatchlake.llm.components import components
 from dispatchlake.llm.shingles import mix, shingle_sets
 from dispatchlake.session import settle
@@ -183,8 +184,8 @@ def levels(named: DataFrame) -> np.ndarray:
     doubling. Counts are added up and ranked by chunk in tasks; a byte for each bucket comes to the driver.
     """
     parts = named.filter("chunk is not null").select("chunk", "counts")
-    counts = settle(parts.repartition("chunk").mapInArrow(_add_counts, "chunk int, counts binary"), "jaccard-counts")
-    sizes = counts.mapInArrow(_count_sizes, "count long, buckets long").groupBy("count").agg(F.sum("buckets").alias("buckets"))
+    counts = settle(parts.repartition("chunk").mapInArrow(lean(_add_counts), "chunk int, counts binary"), "jaccard-counts")
+    sizes = counts.mapInArrow(lean(_count_sizes), "count long, buckets long").groupBy("count").agg(F.sum("buckets").alias("buckets"))
     held = sizes.agg(F.sum("buckets")).first()[0] or 0
     middle = 0.0  # the median over all buckets, the empty ones included
     if 2 * held > BUCKETS:
@@ -194,7 +195,7 @@ def levels(named: DataFrame) -> np.ndarray:
     blank = int(np.clip(np.round(-4 * middle / chance) + HOT // 3, 0, HOT - 1))
     level = np.full(BUCKETS, blank, dtype=np.uint8)
     size = BUCKETS // COUNT_CHUNKS
-    for row in counts.mapInArrow(_ranker(middle), "chunk int, ranks binary").collect():
+    for row in counts.mapInArrow(lean(_ranker(middle)), "chunk int, ranks binary").collect():
         level[row["chunk"] * size : (row["chunk"] + 1) * size] = np.frombuffer(bytes(row["ranks"]), np.uint8)
     return level
 
@@ -400,7 +401,7 @@ def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         pairs = pairs.join(
             side.select(F.col("key").alias(c), F.col("size").alias(f"n_{c}"), F.col("shape").alias(f"shape_{c}")), c
         )
-    return settle(pairs.mapInArrow(_thinner(percent), "a long, b long, n_a long, n_b long"), "jaccard-near")
+    return settle(pairs.mapInArrow(lean(_thinner(percent)), "a long, b long, n_a long, n_b long"), "jaccard-near")
 
 
 def _few(ids: DataFrame) -> DataFrame:
@@ -415,7 +416,7 @@ def _overlapping(near: DataFrame, sets: DataFrame, docs: DataFrame, width: int,
     ids = sets.join(wanted, "key").select(F.col("doc").alias("doc_id")).distinct()
     texts = docs.join(_few(ids), "doc_id", "left_semi").select("doc_id", "text")
     segments = settle(
-        texts.mapInArrow(_segmenter(width), SEGMENT_SQL)
+        texts.mapInArrow(lean(_segmenter(width)), SEGMENT_SQL)
         .join(wanted, "key", "left_semi")
         .dropDuplicates(["key", "fragment"]),
         "jaccard-segments",
@@ -425,7 +426,7 @@ def _overlapping(near: DataFrame, sets: DataFrame, docs: DataFrame, width: int,
         cut = cut.join(
             segments.select(F.col("key").alias(c), "fragment", F.col("hashes").alias(f"of_{c}")), [c, "fragment"]
         )
-    partial = cut.mapInArrow(_count_overlaps, "a long, b long, n_a long, n_b long, shared long")
+    partial = cut.mapInArrow(lean(_count_overlaps), "a long, b long, n_a long, n_b long, shared long")
     total = partial.groupBy("a", "b").agg(
         F.sum("shared").alias("shared"), F.first(F.col("n_a") + F.col("n_b")).alias("members")
     )
@@ -533,7 +534,7 @@ def _still_apart(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     order = ["cluster", "n", "key"]
     tiles_sql = "cluster long, tile long, least long, most long, keys binary, roots binary, sizes binary, shapes binary"
     tiles = settle(
-        members.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_tile_sets, tiles_sql), "jaccard-tiles"
+        members.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(lean(_tile_sets), tiles_sql), "jaccard-tiles"
     )
     head = ["cluster", "tile", "least", "most"]
     left, right = (tiles.select(*[F.col(c).alias(f"{c}_{s}") for c in head]) for s in "ab")
@@ -545,7 +546,7 @@ def _still_apart(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     body = ("keys", "roots", "sizes", "shapes")
     for s in "ab":
         met = met.join(tiles.select(F.col("tile").alias(f"tile_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in body]), f"tile_{s}")
-    return met.mapInArrow(_tile_pairs(percent), "a long, b long, n_a long, n_b long")
+    return met.mapInArrow(lean(_tile_pairs(percent)), "a long, b long, n_a long, n_b long")
 
 
 def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -553,7 +554,7 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     text = F.col("text").cast("string")
     marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("mark"))
     narrow = marked.drop("mark")
-    named = settle(marked.mapInArrow(_namer(width), NAMED_SQL), "jaccard-named")
+    named = settle(marked.mapInArrow(lean(_namer(width)), NAMED_SQL), "jaccard-named")
     ranks = docs.sparkSession.sparkContext.broadcast(levels(named))  # 2 MB, whatever the corpus is
     rows = named.filter("chunk is null").drop("chunk", "counts")
     sets = settle(
@@ -563,11 +564,11 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
         .select("key", "doc", "s.n", "s.shape"),
         "jaccard-sets",
     )
-    prefixes = narrow.mapInArrow(_prefixer(ranks, width, percent), PREFIX_SQL)
+    prefixes = narrow.mapInArrow(lean(_prefixer(ranks, width, percent)), PREFIX_SQL)
     listed = settle(
         prefixes.repartition("token", "salt")
         .sortWithinPartitions("token", "salt", "key")
-        .mapInArrow(_lister(ranks, percent), LISTED_SQL),
+        .mapInArrow(lean(_lister(ranks, percent)), LISTED_SQL),
         "jaccard-lists",
     )
     ranks.destroy()

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dispatchlake.llm.batches import lean
 from dispatchlake.session import settle
 
 BLOCK_BYTES = 64 << 10
@@ -183,7 +184,7 @@ def mix(
         "doc_id",
         "row_hash",
     )
-    placed = cut.mapInArrow(_placer(schedule), PLACES_SQL)
+    placed = cut.mapInArrow(lean(_placer(schedule)), PLACES_SQL)
     return placed.join(F.broadcast(ids), "source_id").select(
         "doc_id", "row_hash", "source", "block", "within", "phase", "slot", "release", "due"
     )

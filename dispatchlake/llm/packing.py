@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
+from dispatchlake.llm.batches import lean
 from dispatchlake.llm.encoding import END_ID, encoder
 from dispatchlake.session import settle
 
@@ -255,7 +256,7 @@ def pack_documents(
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    pieces = settle(narrow.mapInArrow(_cutter(tokenizer, capacity, end_id), PIECES_SQL), "pieces")
+    pieces = settle(narrow.mapInArrow(lean(_cutter(tokenizer, capacity, end_id)), PIECES_SQL), "pieces")
     counted = pieces.groupBy("length", "chunk").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("length").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     bases = counted.select("length", "chunk", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
@@ -264,7 +265,7 @@ def pack_documents(
         histogram[row["length"]] = row["count"]
     slots = _slots(bin_completion(histogram, capacity, max_nodes))
     ranked = pieces.join(bases, ["length", "chunk"]).withColumn("rank", F.col("base") + F.col("nth"))
-    return ranked.mapInArrow(_placer(slots), PLACED_SQL)
+    return ranked.mapInArrow(lean(_placer(slots)), PLACED_SQL)
 
 
 PLANNED_SQL = "window long, length long, rank long, sequence long, offset long"
@@ -329,7 +330,7 @@ def pack_in_order(
     """
     spark = docs.sparkSession
     cutter = _cutter(tokenizer, capacity, end_id, ("file", "row"))
-    pieces = settle(_with_spots(docs).mapInArrow(cutter, PIECES_SQL + ", file string, row long"), "ordered-pieces")
+    pieces = settle(_with_spots(docs).mapInArrow(lean(cutter), PIECES_SQL + ", file string, row long"), "ordered-pieces")
     rows = {r["file"]: r["n"] for r in pieces.groupBy("file").agg((F.max("row") + 1).alias("n")).toLocalIterator()}
     files = sorted(rows, key=_file_order)
     bases = list(zip(files, accumulate([rows[f] for f in files], initial=0)))
@@ -338,7 +339,7 @@ def pack_in_order(
     spotted = spotted.withColumn("window", F.expr(f"spot div {window}"))
     histograms = spotted.groupBy("window", "length").agg(F.count(F.lit(1)).alias("n"))
     planned = settle(
-        histograms.repartition("window").sortWithinPartitions("window").mapInArrow(_planner(capacity, max_nodes), PLANNED_SQL),
+        histograms.repartition("window").sortWithinPartitions("window").mapInArrow(lean(_planner(capacity, max_nodes)), PLANNED_SQL),
         "ordered-plan",
     )
     used = planned.groupBy("window").agg((F.max("sequence") + 1).alias("n"))

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
+from dispatchlake.llm.batches import lean
 from dispatchlake.session import settle
 
 KINDS = ("assign", "access", "hex", "owned")
@@ -160,7 +161,7 @@ def scan_secrets(
         F.col(owner).cast("string").alias("owner"),
         F.col(repository).cast("string").alias("repository"),
     )
-    rows = settle(narrow.mapInArrow(_scan, SCANNED), "secret-rows")
+    rows = settle(narrow.mapInArrow(lean(_scan), SCANNED), "secret-rows")
     found = rows.filter(F.size("found") > 0).select(
         "row_id", "owner", "repository", F.explode("found").alias("f")
     ).select("row_id", "owner", "repository", "f.*")
@@ -272,7 +273,7 @@ def masked(
         F.col(repository).cast("string").alias("repository"),
     )
     values = settle(
-        narrow.mapInArrow(_values, "holder long, value string, owner string, repository string, random boolean"),
+        narrow.mapInArrow(lean(_values), "holder long, value string, owner string, repository string, random boolean"),
         "secret-values",
     )
     live = ownership(values).filter(is_live(copied_owners, copied_repositories)).select("value")
@@ -287,4 +288,4 @@ def masked(
     else:
         joined = docs.join(held, holder == F.col("__holder"), "left").drop("__holder")
     length = "n_chars" if "n_chars" in docs.columns else None
-    return joined.mapInArrow(_masker(length), docs.schema)
+    return joined.mapInArrow(lean(_masker(length)), docs.schema)

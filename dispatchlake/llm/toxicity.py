@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dispatchlake.llm.batches import lean
 from dispatchlake.session import settle
 
 SAMPLE = 20_000  # labelled documents of each class that the fit sees at most
@@ -261,7 +262,7 @@ def learn_terms(texts: DataFrame, n_toxic: int, n_clean: int) -> tuple[list[str]
         return [], []
     base = n_toxic / (n_toxic + n_clean)
     counted = settle(
-        texts.mapInArrow(_count_terms, TERMS_SQL)
+        texts.mapInArrow(lean(_count_terms), TERMS_SQL)
         .groupBy("term")
         .agg(F.sum("toxic").alias("toxic"), F.sum("docs").alias("docs")),
         "toxicity-terms",
@@ -280,7 +281,7 @@ def learn_terms(texts: DataFrame, n_toxic: int, n_clean: int) -> tuple[list[str]
     covered = lambda t: any(t.rstrip("*")[:n] in stems for n in STEMS if len(t.rstrip("*")) > n)
     terms = [t for t in terms if not (t.endswith("*") and covered(t))]
     plain = (clean >= MIN_CLEAN) & (share <= base) & F.expr("length(term) >= 4 and not endswith(term, '*')")
-    spared = counted.filter(plain).select("term").mapInArrow(_words_near(terms), "term string")
+    spared = counted.filter(plain).select("term").mapInArrow(lean(_words_near(terms)), "term string")
     return terms, sorted(r["term"] for r in spared.toLocalIterator())
 
 
@@ -316,7 +317,7 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[l
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     terms, spared = learn_terms(seen.select("text", "toxic"), n_toxic, n_clean)
     if n_toxic and n_clean:
-        counted = seen.mapInArrow(_featurer(terms, spared, ["toxic"]), f"{FEATURE_SQL}, toxic int")
+        counted = seen.mapInArrow(lean(_featurer(terms, spared, ["toxic"])), f"{FEATURE_SQL}, toxic int")
         rows = counted.groupBy(*FEATURES, "toxic").count().collect()  # of the sample: bounded
         x = np.repeat([[r[f] for f in FEATURES] for r in rows], [r["count"] for r in rows], axis=0)
         y = np.repeat([float(r["toxic"]) for r in rows], [r["count"] for r in rows])
@@ -337,7 +338,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     """One row per document: doc_id, held_out, score, predicted, and the hit counts behind the score."""
     terms, spared, weights = learned(docs, labels, sample)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = narrow.mapInArrow(_featurer(terms, spared), FEATURE_SQL).withColumn("score", _score(weights))
+    scored = narrow.mapInArrow(lean(_featurer(terms, spared)), FEATURE_SQL).withColumn("score", _score(weights))
     return scored.select(
         "doc_id",
         held_out().alias("held_out"),
@@ -359,4 +360,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
             scores = 1 / (1 + np.exp(-np.clip(design(hits) @ model, -700, 700)))
             yield batch.filter(pa.array(scores < CUT_SCORE))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
