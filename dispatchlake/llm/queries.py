@@ -26,6 +26,7 @@ from dispatchlake.session import configure, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+MIX_TARGETS = {"src0": 0.2, "src1": 0.1}  # the largest source of the given tables held down; the others divide the rest
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -79,7 +80,7 @@ def op8_toxicity(spark, sf):
 
 @query
 def op5_pfair_mix(spark, sf):
-    return mixing.mix(table(spark, sf, "documents")).drop("row_hash")
+    return mixing.mix(table(spark, sf, "documents"), MIX_TARGETS).drop("row_hash")
 
 
 @query

@@ -5,6 +5,7 @@ import math
 import random
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -301,6 +302,74 @@ def test_schedule_deviates_less_than_one_block(seed):
     assert sorted(slots) == list(range(sum(blocks)))
 
 
+def earliest_deadline_first(weights, blocks):
+    """Every slot looks at every source: the released block with the earliest deadline goes out."""
+    out, done = [], [0] * len(weights)
+    while sum(done) < sum(blocks):
+        now = [s for s in range(len(weights)) if done[s] < blocks[s]]
+        now = [s for s in now if weights[s]] or now
+        w = {s: weights[s] or 1 for s in now}
+        total, sent, t = sum(w.values()), dict.fromkeys(now, 0), 0
+        while all(done[s] < blocks[s] for s in now):
+            ready = [s for s in now if Fraction(sent[s] * total, w[s]) < t + 1]
+            s = min(ready, key=lambda s: (-(-(sent[s] + 1) * total // w[s]), s))
+            sent[s], done[s], t = sent[s] + 1, done[s] + 1, t + 1
+            out.append(s)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_schedule_is_earliest_deadline_first(seed):
+    rnd = random.Random(seed)
+    n = rnd.randint(1, 8)
+    weights, blocks = [rnd.randint(0, 9) for _ in range(n)], [rnd.randint(0, 40) for _ in range(n)]
+    schedule, slots = mixing.Schedule(weights, blocks), {}
+    for s in range(n):
+        slots |= dict.fromkeys(schedule.place(s, np.arange(blocks[s]))[1].tolist(), s)
+    assert [slots[t] for t in range(sum(blocks))] == earliest_deadline_first(weights, blocks)
+
+
+def test_shares_follow_the_targets():
+    assert mixing.shares([10, 10], [0.5, None]) == [0.5, 0.5]
+    assert mixing.shares([1, 1, 9], [0.6, None, None]) == pytest.approx([0.6, 0.1, 0.3])
+    assert mixing.shares([1, 1], [3, None]) == [3, 0]
+    assert mixing.shares([1, 4], [None, None]) == pytest.approx([1 / 3, 2 / 3])
+    assert mixing.shares([1, 4], [0.2, None], other=0.1) == [0.2, 0.1]
+    for parts in ([0.9, 0.0999, 0.0001], [1, 1, 1], [0.7, 0.2999, 0.0001 / 3]):
+        weights = mixing.whole_weights(parts)
+        assert [w / sum(weights) for w in weights] == pytest.approx([p / sum(parts) for p in parts], rel=0.25)
+    assert mixing.whole_weights([0.9, 0.0999, 0.0001]) == [90_000, 9_990, 10]
+    for wrong in (-1, float("nan"), float("inf")):
+        with pytest.raises(ValueError):
+            mixing.shares([1], [wrong])
+
+
+@pytest.mark.parametrize("fan", [3, 7, 100])
+def test_levels_keep_every_block_and_the_shares(fan):
+    rnd = random.Random(fan)
+    parts, blocks = [rnd.choice([1, 2, 5, 40]) for _ in range(60)], [200] * 60
+    levels, slots = mixing.Levels(parts, blocks, fan), {}
+    for s, n in enumerate(blocks):
+        slots |= dict.fromkeys(levels.place(s, np.arange(n))[1].tolist(), s)
+    assert sorted(slots) == list(range(sum(blocks)))
+    depth = {3: 4, 7: 3, 100: 1}[fan]
+    first_end = 200 * sum(parts) // 40  # until then all sources are there
+    sent = [0] * 60
+    for t in range(first_end // 2):
+        sent[slots[t]] += 1
+        assert all(abs(n - (t + 1) * p / sum(parts)) < depth * 1.1 for n, p in zip(sent, parts))
+
+
+def test_half_of_the_mix_is_a_half(spark):
+    rnd = random.Random(4)
+    df = documents(spark, [(i, words(rnd, 40), "ab"[i % 2]) for i in range(600)])
+    got = mixing.mix(df, targets={"a": 0.5, "nowhere": 0.5}, block_bytes=256).collect()
+    first = {r.slot: r.source for r in got if r.slot < 100}
+    assert abs(list(first.values()).count("a") - len(first) / 2) <= 3
+    nothing_left = mixing.mix(df, targets={"a": 1.0}, block_bytes=256).collect()
+    assert max(r.slot for r in nothing_left if r.source == "a") < min(r.slot for r in nothing_left if r.source == "b")
+
+
 def test_mix_places_documents_as_a_stream(spark):
     rnd = random.Random(8)
     rows = [(i, words(rnd, rnd.randrange(60)), rnd.choice(["a", "a", "a", "b", None])) for i in range(300)]
