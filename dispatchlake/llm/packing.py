@@ -2,11 +2,12 @@
 
 Sequences depend on piece lengths only, so the search runs on the histogram of lengths: ``capacity`` numbers,
 however many documents there are. Best fit decreasing on the histogram gives the first incumbent. Bin
-completion then fills a sequence around the largest piece left: of the ways to fill the rest of it, only those
-that no other dominates are tried, least waste first, each as often as the counts allow. A branch is cut when
-the waste so far cannot beat the incumbent, and the search ends when the incumbent meets the lower bound or
-after ``max_nodes`` branches (the incumbent is then the answer). The plan has at most a few fillings for each
-length. Documents find their place in it by their rank within their length, which is counted in two levels
+completion then fills a sequence around the largest piece left. A filling of the rest is dominated if its pieces
+can be grouped into the pieces of another one; all fillings that are not are tried, one by one as the search asks
+for them, least waste first, first as often as the counts allow and then less often. A branch is cut when the
+waste so far cannot beat the incumbent. The search ends when the incumbent meets the lower bound, when every
+branch was tried (the plan is then optimal), or after ``max_nodes`` fillings looked at, the only limit: the
+incumbent is then the answer. The plan has at most a few fillings for each length. Documents find their place in it by their rank within their length, which is counted in two levels
 (within a task, then over tasks), so no length, however common, meets in one task.
 
 ``pack_in_order`` keeps the order of the documents: windows of ``window`` documents that follow one another are
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate, repeat
 
 import numpy as np
@@ -37,10 +38,8 @@ from dispatchlake.llm.encoding import END_ID, encoder
 from dispatchlake.session import settle
 
 CAPACITY = 1024
-MAX_NODES = 20_000  # branches of the search
-WIDTH = 8  # fillings tried at a branch
+MAX_NODES = 20_000  # fillings that the search looks at
 WINDOW_DOCS = 4_096  # documents that follow one another and are packed together, when order counts
-COMPLETION_STEPS = 4_000  # partial fillings looked at for one sequence
 
 Filling = tuple[tuple[int, int], ...]  # (length, pieces of it), longest first
 Plan = list[tuple[int, Filling]]  # sequences of each filling
@@ -89,36 +88,67 @@ def best_fit(counts: list[int], capacity: int) -> Plan:
     return [(many, filling) for groups in open_.values() for filling, many in groups.items()]
 
 
-def completions(counts: list[int], largest: int, room: int) -> list[Filling]:
-    """Undominated ways to fill ``room`` with pieces no longer than ``largest``, least waste first.
+def _sums(lengths: list[int], counts: list[int], room: int) -> list[int]:
+    """For each position the totals up to ``room`` that the lengths from there on can make, as bits."""
+    inside, sums = (1 << room + 1) - 1, [1]
+    for s in reversed(lengths):
+        reach, copies, step = sums[-1], min(counts[s], room // s), 1
+        while copies:
+            step = min(step, copies)
+            reach |= reach << step * s & inside
+            copies -= step
+            step *= 2
+        sums.append(reach)
+    return sums[::-1]
 
-    A filling is maximal (no piece left fits beside it); of two with the same total the one with the longer
-    pieces dominates, as short pieces fit wherever long ones do.
+
+def dominated(filling: Filling, waste: int, spare: int) -> bool:
+    """Whether a piece left over (a bit of ``spare``) can take the place of some pieces, or of none, of a filling.
+
+    The piece must hold them, must fit with the waste, and must not be one piece of that length itself.
     """
-    lengths = [s for s in range(min(largest, room), 0, -1) if counts[s]]
-    best: dict[int, Filling] = {}
-    steps = 0
+    if spare & (1 << waste + 1) - 1:
+        return True
+    one = many = 0  # totals of one piece, of two or more
+    for s, k in filling:
+        for _ in range(k):
+            many |= (one | many) << s
+            one |= 1 << s
+    return bool(spare & many) or any(spare & (one | many) << more for more in range(1, waste + 1))
+
 
-    def fill(at: int, room_left: int, chosen: Filling) -> None:
-        nonlocal steps
+def fillings(counts: list[int], room: int, most_waste: Callable[[], int]) -> Iterator[Filling | None]:
+    """All undominated ways to fill ``room``, least waste first; None for each dominated one looked at.
+
+    Totals are tried downwards, and only steps that can still make the total are taken. ``most_waste`` is asked
+    again and again, as the incumbent gets better.
+    """
+    lengths = [s for s in range(min(room, len(counts) - 1), 0, -1) if counts[s]]
+    sums = _sums(lengths, counts, room)
+    spare = sum(1 << s for s in lengths)
+
+    def exactly(at: int, total: int, chosen: Filling) -> Iterator[Filling]:
+        if not total:
+            yield chosen
+            return
         for i in range(at, len(lengths)):
+            if not sums[i] >> total & 1:
+                return
             s = lengths[i]
-            if s > room_left:
-                continue
-            steps += 1
-            if steps > COMPLETION_STEPS or 0 in best:
+            for k in range(min(counts[s], total // s), 0, -1):
+                if sums[i + 1] >> total - k * s & 1:
+                    yield from exactly(i + 1, total - k * s, (*chosen, (s, k)))
+
+    for waste in range(room + 1):
+        if waste > most_waste():
+            return
+        if not sums[0] >> room - waste & 1:
+            continue
+        for filling in exactly(0, room - waste, ()):
+            gone = sum(1 << s for s, k in filling if k == counts[s])
+            yield None if dominated(filling, waste, spare ^ gone) else filling
+            if waste > most_waste():
                 return
-            most = min(counts[s], room_left // s)
-            for k in range(most, 0, -1):
-                fill(i + 1, room_left - k * s, (*chosen, (s, k)))
-                if steps > COMPLETION_STEPS or 0 in best:
-                    return
-            if room_left - lengths[-1] < s and len(chosen) > 3:
-                break
-        best.setdefault(room_left, chosen)
-
-    fill(0, room, ())
-    return [best[w] for w in sorted(best)[:WIDTH]]
 
 
 def bin_completion(counts: list[int], capacity: int = CAPACITY, max_nodes: int = MAX_NODES) -> Plan:
@@ -129,26 +159,34 @@ def bin_completion(counts: list[int], capacity: int = CAPACITY, max_nodes: int =
     volume = sum(s * c for s, c in enumerate(counts))
     nodes = 0
 
-    def choices(left: list[int]) -> Iterator[tuple[int, Filling, int]]:
-        """Fillings around the largest piece left: how often, the filling, its waste."""
+    def waste_left() -> int:
+        """What may still be wasted if the plan is to be better than the incumbent."""
+        return (fewest - 1) * capacity - volume - wasted
+
+    def choices(left: list[int]) -> Iterator[tuple[int, Filling, int] | None]:
+        """Fillings around the largest piece left: how often, the filling, its waste. ``left`` is the same at each step."""
         largest = max(s for s, c in enumerate(left) if c)
-        left[largest] -= 1
-        found = completions(left, largest, capacity - largest)
-        left[largest] += 1
-        for rest in found:
+        rest_of = left[:]
+        rest_of[largest] -= 1
+        for rest in fillings(rest_of, capacity - largest, waste_left):
+            if rest is None:
+                yield None
+                continue
             filling = {largest: 1}
             for s, k in rest:
                 filling[s] = filling.get(s, 0) + k
             whole = tuple(sorted(filling.items(), reverse=True))
-            often = min(left[s] // k for s, k in whole)
-            yield often, whole, capacity - sum(s * k for s, k in whole)
+            waste = capacity - sum(s * k for s, k in whole)
+            for often in range(min(left[s] // k for s, k in whole), 0, -1):
+                if often * waste <= waste_left():
+                    yield often, whole, waste
 
     # Depth first without recursion: the path can be thousands of fillings long.
-    left, path, wasted, used = counts[:], [], 0, 0
+    left, path, wasted, used, done = counts[:], [], 0, 0, object()
     stack = [choices(left)] if volume else []
     while stack and fewest > bound and nodes < max_nodes:
-        step = next(stack[-1], None)
-        if step is None:
+        step = next(stack[-1], done)
+        if step is done:
             stack.pop()
             if path:
                 often, filling = path.pop()
@@ -157,10 +195,10 @@ def bin_completion(counts: list[int], capacity: int = CAPACITY, max_nodes: int =
                 used -= often
                 wasted -= often * (capacity - sum(s * k for s, k in filling))
             continue
-        often, filling, waste = step
         nodes += 1
-        if wasted + often * waste > (fewest - 1) * capacity - volume:
-            continue  # even without further waste this is no better than the incumbent
+        if step is None:
+            continue
+        often, filling, waste = step
         path.append((often, filling))
         for s, k in filling:
             left[s] -= often * k
