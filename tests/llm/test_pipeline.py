@@ -118,7 +118,7 @@ def test_the_mix_governs_the_pipelines_sequences(spark, sf_dir, tmp_path, monkey
     path = str(tmp_path / "mixed")
     steps["mixing"](spark, docs, sf_dir).write.parquet(path)
     got = steps["packing"](spark, spark.read.parquet(path), sf_dir).select("doc_id", "sequence_id").collect()
-    slots = sorted((r.slot, r.block, r.within, r.doc_id) for r in mixing.mix(docs).collect())
+    slots = sorted((r.slot, r.block, r.within, r.doc_id) for r in mixing.mix(docs, targets=pipeline.TARGETS).collect())
     window = {r[3]: i // 100 for i, r in enumerate(slots)}
     seen = [window[r.doc_id] for r in sorted(got, key=lambda r: r.sequence_id)]
     assert seen == sorted(seen) and len(set(seen)) > 1
