@@ -19,8 +19,8 @@ from dispatchlake.llm import jaccard, mixing, packing, secrets, toxicity
 from dispatchlake.session import configure, settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-TARGETS: dict[str, float] = {}  # weight of a source in the mix; no target is given for the corpus
-TEMPER = mixing.TEMPER  # sources without target weigh their bytes to this power
+TARGETS = {"src0": 0.2, "src1": 0.1}  # shares of the mix: the largest source is held down
+TEMPER = mixing.TEMPER  # sources without target divide the rest by their bytes to this power
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
