@@ -165,6 +165,11 @@ def item_checks() -> dict[str, Column]:
     }
 
 
+def first_broken(checks: dict[str, Column]) -> Column:
+    """The first check that a row breaks, or null."""
+    return F.coalesce(*[F.when(broken, F.lit(name)) for name, broken in checks.items()])
+
+
 def gold_checks() -> dict[str, Column]:
     return {
         "fulfillment_rate out of range": ~F.col("fulfillment_rate").between(0, 100),
@@ -184,6 +189,30 @@ def gate_report(layers: dict[str, tuple[DataFrame, dict[str, Column]]]) -> DataF
     return reduce(lambda a, b: a.unionByName(b), reports)
 
 
+def quarantine_report(
+    layer: str, expected: DataFrame, kept: DataFrame, rejected: DataFrame, checks: dict[str, Column], share: float
+) -> DataFrame:
+    """(layer, check, failed, passed) of a layer whose bad rows were set aside with the check they broke as ``reason``.
+
+    A check passes while it took no more than ``share`` of the rows; ``expected`` has one column with the rows to
+    account for, and "rows lost" says how many are neither kept nor rejected (below zero: came twice). One aggregate.
+    """
+    rows = kept.select(F.lit(None).cast("string").alias("reason"), F.lit(-1).cast("bigint").alias("n"))
+    rows = rows.unionByName(rejected.select("reason", F.lit(-1).cast("bigint").alias("n")))
+    want = expected.select(F.lit(None).cast("string").alias("reason"), F.col(expected.columns[0]).cast("bigint").alias("n"))
+    taken = [F.count_if(F.col("reason") == name).alias(f"c{i}") for i, name in enumerate(checks)]
+    wide = rows.unionByName(want).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("lost"), F.count_if(F.col("n") < 0).alias("rows"), *taken
+    )
+    lines = [(name, F.col(f"c{i}"), F.col(f"c{i}") <= F.col("rows") * share) for i, name in enumerate(checks)]
+    lines.append(("rows lost", F.col("lost"), F.col("lost") == 0))
+    report = [
+        F.struct(F.lit(layer).alias("layer"), F.lit(name).alias("check"), n.alias("failed"), ok.alias("passed"))
+        for name, n, ok in lines
+    ]
+    return wide.select(F.explode(F.array(*report)).alias("r")).select("r.*")
+
+
 def enforce(report: DataFrame) -> None:
     """Stop the run if a check failed. The report has one row per check, so it may come to the driver."""
     broken = report.filter(~F.col("passed")).collect()

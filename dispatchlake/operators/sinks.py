@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import date
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dispatchlake.schemas import ADDRESS_PREFIX, MERCHANT_CSV
 
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # folder name of a null
+
 
 def write_days(df: DataFrame, path: str, *by: str) -> None:
     """Replace the partitions present in ``df``: by ``event_date`` unless told otherwise.
@@ -24,6 +30,32 @@ def write_days(df: DataFrame, path: str, *by: str) -> None:
     )
 
 
+def replace_days(df: DataFrame, path: str, owner: str, days: list[date], *by: str) -> None:
+    """Replace all that the ``days`` of ``owner``, one of the columns in ``by``, ever brought to a table.
+
+    Like :func:`write_days`, but partitions that the days filled before and no longer fill end empty. They are cleared
+    after the write, so a reader finds old or new rows and never less. Partitions are counted in calendar days, so
+    their list may come to the driver; only a repeated day computes ``df`` a second time, for that list.
+    """
+
+    def folders(rows: DataFrame) -> set[str]:
+        names = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE))) for c in by]
+        return {r[0] for r in rows.select(F.concat_ws("/", *names)).distinct().collect()}
+
+    spark = df.sparkSession
+    keys = T.StructType([df.schema[c] for c in by])
+    try:
+        stored = spark.read.schema(keys).parquet(path).filter(F.col(owner).isin(days))
+    except AnalysisException:  # the first write
+        stored = None
+    before = folders(stored) if stored is not None else set()
+    write_days(df, path, *by)
+    if before:
+        nothing = spark.createDataFrame([], T.StructType([f for f in df.schema if f.name not in by]))
+        for folder in sorted(before - folders(df)):
+            write_all(nothing, f"{path}/{folder}")
+
+
 def write_all(df: DataFrame, path: str) -> None:
     """Replace the whole table."""
     df.write.mode("overwrite").parquet(path)

@@ -2,8 +2,11 @@
 
 Each step is a few whole-table jobs over the days at hand; nothing loops over days on the driver.
 
-* Silver is stored by event day and ingest day. A run replaces only what its own ingest days brought:
-  late events join their event day without touching what earlier runs stored there.
+* Silver is stored by event day and ingest day. A run replaces all that its own ingest days brought, and nothing else:
+  late events join their event day without touching what earlier runs stored there, and a day that is run again
+  leaves no rows in event days it no longer reaches.
+* Items that break a check are set aside with the reason, and the run goes on with the others. It stops where a check
+  takes more than ``REJECTED_SHARE`` of the items, or where items are lost between the layers.
 * The warehouse merge rewrites the event days it touches, and gold is recomputed for those days.
 * The ledger is the commit point: it names the days done and the version they went into, and is written
   when all gates have passed. Until then the earlier version stays current. A run that failed half way
@@ -12,6 +15,7 @@ Each step is a few whole-table jobs over the days at hand; nothing loops over da
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
@@ -27,6 +31,7 @@ from dispatchlake.session import configure
 from dispatchlake.sources import feeds
 
 GOLD = ["daily_metrics", "fulfillment_metrics", "delivery_time_metrics", "order_volume_metrics", "eta_accuracy_metrics"]
+REJECTED_SHARE = 0.1  # of the items of a run, for each check
 INGEST_DAY = T.StructField("ingest_date", T.DateType())
 LEDGER = "day date, version string, finished_at timestamp"
 # Items carry the time and day of their order: the one decides which item is newer, the other where it is stored.
@@ -58,6 +63,10 @@ class Lake:
     def rejects(self) -> str:
         return f"{self.root}/silver/rejects"
 
+    @property
+    def item_rejects(self) -> str:
+        return f"{self.root}/silver/item_rejects"
+
     @property
     def ledger(self) -> str:
         return f"{self.root}/ledger"
@@ -122,6 +131,12 @@ def silver_items_table(spark: SparkSession, lake: Lake) -> DataFrame:
     return read_stored(spark, T.StructType([*WAREHOUSE_ITEMS.fields, INGEST_DAY]), lake.silver_items)
 
 
+def item_rejects_table(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Items that broke a check, whole and with the check they broke first."""
+    reason = T.StructField("reason", T.StringType())
+    return read_stored(spark, T.StructType([*WAREHOUSE_ITEMS.fields, reason, INGEST_DAY]), lake.item_rejects)
+
+
 def of_days(table: DataFrame, ingest_days: list[date]) -> DataFrame:
     return table.filter(F.col("ingest_date").isin(ingest_days))
 
@@ -129,28 +144,34 @@ def of_days(table: DataFrame, ingest_days: list[date]) -> DataFrame:
 def refresh_silver(spark: SparkSession, lake: Lake, ingest_days: list[date]) -> None:
     """Clean the given ingest days into silver orders, then cut their items out of what was stored.
 
-    Records that cannot be read or break a rule go to the table of rejects, whole and with the reason. Reading
-    the item lists back costs one nested column.
+    Records that cannot be read or break a rule go to the table of rejects, whole and with the reason, and so do
+    items, to a table of their own. Reading the item lists back costs one nested column.
     """
     configure(spark)
+
+    def replace(rows: DataFrame, path: str, *by: str) -> None:
+        sinks.replace_days(rows, path, "ingest_date", ingest_days, *by)
+
     landed = feeds.read_lake_messages(spark, lake.bronze, lake.orders_topic, ingest_days)
-    sinks.write_days(silver.silver_orders(feeds.lake_orders(landed)), lake.silver_orders, "event_date", "ingest_date")
-    sinks.write_days(feeds.lake_rejects(landed), lake.rejects, "ingest_date")
+    replace(silver.silver_orders(feeds.lake_orders(landed)), lake.silver_orders, "event_date", "ingest_date")
+    replace(feeds.lake_rejects(landed), lake.rejects, "ingest_date")
     orders = of_days(silver_orders_table(spark, lake), ingest_days)
     items = silver.order_items(orders, carry=("event_timestamp", "event_date", "ingest_date"))
-    sinks.write_days(items, lake.silver_items, "event_date", "ingest_date")
+    items = items.withColumn("reason", quality.first_broken(quality.item_checks()))
+    replace(items.filter(F.col("reason").isNull()).drop("reason"), lake.silver_items, "event_date", "ingest_date")
+    replace(items.filter(F.col("reason").isNotNull()), lake.item_rejects, "ingest_date")
 
 
 def check_silver(spark: SparkSession, lake: Lake, ingest_days: list[date]) -> DataFrame:
     """Gate over what the given ingest days brought."""
     checks = quality.silver_checks()
     checks.pop("event_timestamp is null")  # kept on purpose: such orders are reported, not refused
-    return quality.gate_report(
-        {
-            "silver_orders": (of_days(silver_orders_table(spark, lake), ingest_days), checks),
-            "silver_items": (of_days(silver_items_table(spark, lake), ingest_days), quality.item_checks()),
-        }
+    orders, items, rejects = (
+        of_days(table(spark, lake), ingest_days) for table in (silver_orders_table, silver_items_table, item_rejects_table)
     )
+    listed = orders.select(F.greatest(F.size("items"), F.lit(0)).alias("items"))
+    set_aside = quality.quarantine_report("silver_items", listed, items, rejects, quality.item_checks(), REJECTED_SHARE)
+    return quality.gate_report({"silver_orders": (orders, checks)}).unionByName(set_aside)
 
 
 # ---------------------------------------------------------------------------
@@ -215,15 +236,20 @@ def publish_views(spark: SparkSession, lake: Lake, version: str) -> None:
         spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{lake.gold(name, version)}`")
 
 
-def run(spark: SparkSession, lake: Lake, version: str, before: date | None = None) -> list[date]:
+def run(
+    spark: SparkSession, lake: Lake, version: str, before: date | None = None, again: Iterable[date] = ()
+) -> list[date]:
     """One daily run over the landed days before ``before`` (default: today, as that day is still filling).
 
+    ``again`` names finished days to run once more from what landed, such as after a contract or a check has changed:
+    rejects that pass now move on, and a second replay changes nothing. The warehouse keeps the newest row of a key,
+    so keys that a day no longer brings stay there.
     Readers are moved to the current version on every run. A failed gate raises before the next layer is written, and leaves the current version in place.
     Returns the ingest days done.
     """
     configure(spark)
     now = datetime.now(timezone.utc)
-    todo = pending_ingest_days(spark, lake, before or now.date())
+    todo = sorted({*pending_ingest_days(spark, lake, before or now.date()), *again})
     if not todo:
         current = current_version(spark, lake)
         if current is not None:

@@ -105,6 +105,73 @@ def test_a_failed_gate_leaves_the_day_pending(spark, folder, lake):
     assert daily.current_version(spark, lake) is None and not spark.catalog.tableExists("orders")
 
 
+def test_bad_items_are_set_aside_and_later_days_go_on(spark, folder, lake):
+    bad = message("1")
+    bad["items"] = [*bad["items"] * 10, {**bad["items"][0], "item_id": "zero", "quantity": 0.0}]
+    land(spark, folder, lake, datetime(2025, 2, 10, 11), bad, message("7", items=None))
+    assert daily.run(spark, lake, "v1") == [date(2025, 2, 10)]
+    assert daily.silver_items_table(spark, lake).count() == 20
+    (reject,) = daily.item_rejects_table(spark, lake).collect()
+    assert (reject.order_id, reject.item_id, reject.quantity, reject.reason) == ("1", "zero", 0, "quantity <= 0")
+    report = {r.check: (r.failed, r.passed) for r in daily.check_silver(spark, lake, [date(2025, 2, 10)]).collect()}
+    assert report["quantity <= 0"] == (1, True) and report["rows lost"] == (0, True)
+    assert spark.table("order_items").count() == 1 and spark.table("orders").count() == 2
+    land(spark, folder, lake, datetime(2025, 2, 11, 11), message("2"))
+    assert daily.run(spark, lake, "v2") == [date(2025, 2, 11)]
+
+
+def test_lost_items_fail_the_gate(spark, folder, lake):
+    land(spark, folder, lake, datetime(2025, 2, 10, 11), message("1"), message("2"))
+    day = [date(2025, 2, 10)]
+    daily.refresh_silver(spark, lake, day)
+    sinks.write_days(daily.silver_items_table(spark, lake).filter("order_id = '1'"), lake.silver_items + "-cut", "event_date", "ingest_date")
+    cut = daily.Lake(lake.root)
+    report = quality.quarantine_report(
+        "items", daily.silver_orders_table(spark, cut).select(F.size("items")),
+        spark.read.parquet(lake.silver_items + "-cut"), daily.item_rejects_table(spark, cut), quality.item_checks(), 0.1,
+    )
+    with pytest.raises(quality.QualityGateError, match="rows lost on 2 rows"):
+        quality.enforce(report)
+    quality.enforce(daily.check_silver(spark, lake, day))
+
+
+def test_a_repeated_day_leaves_nothing_behind(spark, folder, lake):
+    """Run again after its records changed, an ingest day empties the event days it no longer brings."""
+    day = [date(2025, 2, 10)]
+    land(spark, folder, lake, datetime(2025, 2, 10, 11), message("1"), message("2", at="2025-02-09 10:00:00.000000"),
+         message("3", at="never"), message("4", total_amount="0"))
+    land(spark, folder, lake, datetime(2025, 2, 11, 11), message("9", at="2025-02-09 10:00:00.000000"))
+    daily.refresh_silver(spark, lake, [*day, date(2025, 2, 11)])
+    assert daily.silver_orders_table(spark, lake).count() == 4
+    landed = spark.read.parquet(lake.bronze).filter(F.get_json_object("value", "$.order_id").isin("1", "9"))
+    other = daily.Lake(folder("other"))
+    landed.write.partitionBy("topic", "ingest_date").parquet(other.bronze)
+    moved = daily.Lake(lake.root)
+    moved.__class__ = type("Moved", (daily.Lake,), {"bronze": property(lambda _: other.bronze)})
+    for _ in range(2):
+        daily.refresh_silver(spark, moved, day)
+        kept = {r.order_id: str(r.event_date) for r in daily.silver_orders_table(spark, lake).collect()}
+        assert kept == {"1": "2025-02-10", "9": "2025-02-09"}
+        assert {r.order_id for r in daily.silver_items_table(spark, lake).collect()} == {"1", "9"}
+        assert spark.read.parquet(lake.rejects).count() == 0
+
+
+def test_rejects_are_replayed_under_a_new_check(spark, folder, lake, monkeypatch):
+    bad = message("1")
+    bad["items"] = [*bad["items"] * 10, {**bad["items"][0], "item_id": "zero", "quantity": 0.0}]
+    land(spark, folder, lake, datetime(2025, 2, 10, 11), bad)
+    daily.run(spark, lake, "v1")
+    assert spark.table("order_items").count() == 1
+    with monkeypatch.context() as newer:
+        newer.setattr(quality, "item_checks", lambda: {"quantity < 0": F.col("quantity") < 0})
+        for version in ("v2", "v3"):
+            assert daily.run(spark, lake, version, again=[date(2025, 2, 10)]) == [date(2025, 2, 10)]
+            assert daily.item_rejects_table(spark, lake).count() == 0
+            assert {r.item_id for r in spark.table("order_items").collect()} == {"i1", "zero"}
+            assert spark.table("fulfillment_metrics").first().total_orders == 1
+    assert daily.pending_ingest_days(spark, lake, date(2025, 3, 1)) == []
+
+
 def test_a_run_that_dies_late_is_repeated(spark, folder, lake, monkeypatch):
     land(spark, folder, lake, datetime(2025, 2, 10, 11), message("1"), message("2"))
     assert daily.run(spark, lake, "v1") == [date(2025, 2, 10)]
