@@ -1,9 +1,10 @@
-"""Token ids of whole texts by the public byte-level BPE tokenizer, with a memo of their words.
+"""Token ids of whole texts by the public byte-level BPE tokenizer, with a memo of their parts.
 
-The tokenizer cuts a text into pieces that never reach from a character that is no space over a space
-behind it, and encodes each piece by itself. So a text can be cut before any such space, and its ids are the
-ids of these parts in a row. Parts repeat: each worker keeps those it has seen (two generations of bounded
-size) and asks the library only for new ones.
+The tokenizer cuts a text into pieces and encodes each piece by itself, so a text can be cut wherever no piece can
+reach over the cut: before a space behind a character that is no white space, around a single line feed, and
+between letters and the signs behind them. Its ids are the ids of these parts in a row. Parts repeat: a batch is
+cut and its distinct parts are found in Arrow and numpy, each worker keeps the parts it has seen (two generations
+of bounded size) and asks the library only for new ones.
 """
 
 from __future__ import annotations
@@ -11,24 +12,38 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Iterable
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 GENERATION = 500_000  # parts in a generation of the memo; two generations take about 170 MB
 LONG_PART = 48
-SIGNS = 20_000
-GROUP = 64  # texts whose new parts are encoded together
+GROUP_BYTES = 4 << 20  # of text cut together; some 20 times as much memory
 
-DOUBLE = re.compile(r"\s\s")
 SPACE = re.compile(r"\s")
-CUT = re.compile(r"(?<=\S)(?= )")
-# Letters and the signs behind them are encoded apart from each other; an apostrophe can begin a piece with letters.
-SIGNED = re.compile(r"(\n?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-^{-~]+)")
-LETTERS = re.compile(r"\n?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
+def _table(*codes: int) -> np.ndarray:
+    table = np.zeros(256, dtype=bool)
+    table[list(codes)] = True
+    return table
+
+
+WHITE = _table(*range(0x09, 0x0E), *range(0x1C, 0x21))
+LETTER = _table(*range(0x41, 0x5B), *range(0x61, 0x7B))
+# An apostrophe can begin a piece with letters.
+SIGN = _table(*range(0x21, 0x27), *range(0x28, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x5F), *range(0x7B, 0x7F))
+# First, middle and last bytes of white space beyond ASCII: a character made of such bytes may be white space.
+LEAD, MIDDLE, LAST = (
+    _table(0xC2, 0xE1, 0xE2, 0xE3),
+    _table(0x80, 0x81, 0x9A, 0xA0),
+    _table(*range(0x80, 0x8B), 0x8E, 0x9F, 0xA0, 0xA8, 0xA9, 0xAF),
+)
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -41,6 +56,29 @@ def _byte_alphabet() -> dict[int, str]:
     return {b: chr(b) if b in printable else chr(256 + others.index(b)) for b in range(256)}
 
 
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Marks the bytes of UTF-8 text before which it may be cut."""
+    near = np.zeros(len(data) + 4, dtype=np.uint8)  # byte i of the data is byte i + 3 here
+    near[3:-1] = data
+    white = WHITE[near]
+    marked = np.zeros(len(data) + 1, dtype=bool)
+
+    def behind_black(at: np.ndarray) -> np.ndarray:
+        """Those that follow a character which is surely no white space."""
+        at = at[~white[at + 2]]
+        last, middle, lead = near[at + 2], near[at + 1], near[at]
+        return at[~(LAST[last] & ((middle == 0xC2) | MIDDLE[middle] & LEAD[lead]))]
+
+    marked[behind_black(np.flatnonzero(data == 0x20))] = True
+    feeds = behind_black(np.flatnonzero(data == 0x0A))
+    feeds = feeds[~(white | LEAD[near])[feeds + 4]]
+    marked[feeds] = marked[feeds + 1] = True
+    signs = np.flatnonzero(SIGN[data])
+    last, lead = near[signs + 2], near[signs + 1]
+    marked[signs[LETTER[last] | (lead == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7)]] = True
+    return marked[:-1]
+
+
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids."""
 
@@ -51,130 +89,109 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path or public_tokenizers.path(TOKENIZER))
         self.model = self.library.model
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.line_feed = self.library.encode("\n", add_special_tokens=False).ids[0]
         self.vocabulary = self.library.get_vocab_size()
-        alphabet = _byte_alphabet()
-        self.space = alphabet[0x20]
-        self.spelled = {c: "".join(alphabet[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.signs: dict[str, bytes] = {}
+        self.spelled = {**_byte_alphabet(), 0x0A: "\n"}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         encoded = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in encoded]
 
-    def _joined(self, parts: list[str], before: str) -> list[bytes]:
-        """Ids of parts without white space, each with ``before`` in front.
+    def _joined(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts without white space but for a space in front.
 
         They go in one text, a line feed between them: it is a token of its own there, so it shows where a part
         ends. One long text costs the library half of many short ones.
         """
         if not parts:
             return []
-        text = "\n".join([before + p for p in parts])
-        ids = np.frombuffer(self._whole([text])[0], dtype="<u4")
+        ids = np.frombuffer(self._whole(["\n".join(parts)])[0], dtype="<u4")
         ends = np.flatnonzero(ids == self.line_feed)
         if len(ends) != len(parts) - 1:
-            return self._whole([before + p for p in parts])
+            return self._whole(parts)
         raw, bounds = ids.tobytes(), [-1, *ends.tolist(), len(ids)]
         return [raw[4 * a + 4 : 4 * b] for a, b in zip(bounds, bounds[1:])]
 
-    def _parts(self, text: str) -> list[str] | None:
-        """The text's head and its other parts.
+    def _words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of letters, with or without a space in front: one piece, which the library's model takes as it is."""
+        spelled = b"\n".join(words).decode("latin-1").translate(self.spelled).split("\n")
+        return [array("I", [t.id for t in tokens]).tobytes() for tokens in map(self.model.tokenize, spelled)]
 
-        A part without white space stands for itself behind a space, one that begins with a space or a line
-        feed for just itself.
-        """
-        if any(s in text for s in self.special):
-            return None
-        if not DOUBLE.search(text):
-            return text.replace("\n", " \n").split(" ")
-        head, *rest = CUT.split(text)
-        return [head, *(r if SPACE.search(r, 1) or len(r) == 1 else r[1:] for r in rest)]
-
-    def _bare(self, words: Iterable[str]) -> dict[str, bytes]:
-        """Ids of words with nothing in front."""
-        words = dict.fromkeys(words)
-        odd = [w for w in words if SPACE.search(w) or not w]
-        plain = [w for w in words if w not in odd] if odd else list(words)
-        return {**dict(zip(plain, self._joined(plain, ""))), **dict(zip(odd, self._whole(odd) if odd else []))}
-
-    def _word(self, part: str) -> bytes:
-        """Ids of letters behind a space or a line feed: one piece, which the library's model takes as it is."""
-        line = part[0] == "\n"
-        word = part[1:] if line else part
-        if not word.isascii():
-            word = word.translate(self.spelled)
-        ids = [t.id for t in self.model.tokenize(word if line else self.space + word)]
-        return array("I", [self.line_feed, *ids] if line else ids).tobytes()
-
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
+    def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
         """Ids of parts that the memo does not hold."""
-        ids: dict[str, bytes] = {}
-        plain, lines, others = [], [], []
-        for part, letters in zip(new, map(LETTERS.fullmatch, new)):
-            if letters:
-                ids[part] = self._word(part)
-            elif part and not SPACE.search(part):
+        words, plain, others = [], [], []
+        for part, text in zip(new, map(bytes.decode, new)):
+            if LETTERS.fullmatch(text):
+                words.append(part)
+            elif len(text) > 1 and not SPACE.search(text, 1) and not any(s in part for s in self.special):
                 plain.append(part)
-            elif part[:1] == "\n" and len(part) > 1 and not SPACE.search(part, 1):
-                lines.append(part)
             else:
                 others.append(part)
-        ids.update(zip(plain, self._joined(plain, " ")))
-        if lines:
-            feed, bare = np.array([self.line_feed], dtype="<u4").tobytes(), self._bare([p[1:] for p in lines])
-            ids.update((p, feed + bare[p[1:]]) for p in lines)
+        ids = dict(zip(words, self._words(words))) if words else {}
+        ids.update(zip(plain, self._joined([p.decode() for p in plain])))
         if others:
-            ids.update(zip(others, self._whole([p if p[:1] in (" ", "\n") else " " + p for p in others])))
+            ids.update(zip(others, self._whole([p.decode() for p in others])))
         return ids
 
-    def _held(self, parts: Iterable[str]) -> tuple[dict[str, bytes | None], list[str]]:
-        """Ids of parts as far as the memo has them, and the other parts. What the older generation has goes to the younger."""
-        ids = dict(zip(parts, map(self.young.get, parts)))
-        missing = [p for p, found in ids.items() if found is None]
-        again = dict(zip(missing, map(self.old.get, missing)))
-        unknown = [p for p, found in again.items() if found is None]
-        for part in unknown:
-            del again[part]
-        self.young.update(again)
-        ids.update(again)
-        return ids, unknown
-
-    def _ids(self, parts: set[str]) -> dict[str, bytes]:
-        """Ids of the parts; all but long ones are in the younger generation afterwards."""
-        ids, unknown = self._held(parts)
-        cuts = list(map(SIGNED.fullmatch, unknown))
-        new = [p for p, cut in zip(unknown, cuts) if cut is None]
-        signed = [(p, cut[1], cut[2]) for p, cut in zip(unknown, cuts) if cut is not None]
-        stems, unknown_stems = self._held({stem for _, stem, _ in signed})
-        learnt = self._learn(list({*new, *unknown_stems}))
-        stems.update((stem, learnt[stem]) for stem in unknown_stems)
-        self.signs.update(self._bare({tail for _, _, tail in signed}.difference(self.signs)))
-        learnt.update((part, stems[stem] + self.signs[tail]) for part, stem, tail in signed)
-        ids.update(learnt)
-        self.young.update((p, found) for p, found in learnt.items() if len(p) <= LONG_PART)
-        return ids
-
-    def group(self, texts: list[str]) -> list[bytes]:
-        split = [self._parts(t) for t in texts]
-        heads = self._bare([p[0] for p in split if p])
-        tails = [p[1:] if p else [] for p in split]
-        get = self._ids(set(chain.from_iterable(tails))).__getitem__
-        whole = iter(self._whole([t for t, p in zip(texts, split) if p is None]))
-        out = [heads[p[0]] + b"".join(map(get, tail)) if p else next(whole) for p, tail in zip(split, tails)]
+    def _ids(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of distinct parts; all but long ones are in the younger generation afterwards."""
+        ids = list(map(self.young.get, parts))
+        missing = [i for i, found in enumerate(ids) if found is None]
+        again = [(i, self.old.get(parts[i])) for i in missing]
+        learnt = self._learn([parts[i] for i, found in again if found is None])
+        for i, found in again:
+            part = parts[i]
+            ids[i] = learnt[part] if found is None else found
+            if len(part) <= LONG_PART:
+                self.young[part] = ids[i]
         if len(self.young) > GENERATION:  # parts in use come back from the older generation
             self.old, self.young = self.young, {}
-        if len(self.signs) > SIGNS:
-            self.signs = {}
-        return out
+        return ids
 
-    def encode(self, texts: list[str | None]):
+    def _group(self, data: np.ndarray, bounds: np.ndarray) -> Iterator[bytes]:
+        """Ids of the texts between the bounds of the data."""
+        if not len(data):
+            yield from [b""] * (len(bounds) - 1)
+            return
+        marked, raw = cuts(data), data.tobytes()
+        for special in self.special:  # such texts go to the library whole
+            at = raw.find(special)
+            while at >= 0:
+                text = np.searchsorted(bounds, at, side="right")
+                marked[bounds[text - 1] : bounds[text]] = False
+                at = raw.find(special, int(bounds[text]))
+        marked[bounds[:-1][bounds[:-1] < len(data)]] = True
+        starts = np.flatnonzero(marked)
+        offsets = np.append(starts, len(data))
+        parts = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+        coded = parts.dictionary_encode()
+        ids, which = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), coded.indices.to_numpy()
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        firsts = np.cumsum(sizes) - sizes
+        each = sizes[which]
+        ends = np.cumsum(each)
+        places = np.repeat(firsts[which] - (ends - each), each) + np.arange(ends[-1])
+        out = np.frombuffer(b"".join(ids), "<u4")[places].tobytes()
+        until = 4 * np.concatenate([[0], ends])[np.searchsorted(starts, bounds)]
+        yield from (out[a:b] for a, b in zip(until.tolist(), until[1:].tolist()))
+
+    def encode(self, texts: list[str | None] | pa.Array) -> Iterator[bytes]:
         """Ids of each text in order, as bytes; a null text is empty."""
-        for at in range(0, len(texts), GROUP):
-            yield from self.group([t or "" for t in texts[at : at + GROUP]])
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        column = column.cast(pa.large_string()).fill_null("")
+        if not len(column):
+            return
+        _, offsets, data = column.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+        data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+        at = 0
+        while at < len(column):
+            to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + GROUP_BYTES, side="right")) - 1)
+            yield from self._group(data[bounds[at] : bounds[to]], bounds[at : to + 1] - bounds[at])
+            at = to
 
 
 _ENCODERS: dict[str | None, Encoder] = {}

@@ -225,7 +225,7 @@ def _cutter(tokenizer: str | None, capacity: int, end_id: int, keep: tuple[str,
         for batch in batches:
             rows = []
             kept = zip(*(batch.column(k).to_pylist() for k in keep)) if keep else repeat(())
-            for doc, ids, more in zip(batch.column(0).to_pylist(), encode.encode(batch.column(1).to_pylist()), kept):
+            for doc, ids, more in zip(batch.column(0).to_pylist(), encode.encode(batch.column(1)), kept):
                 ids += end
                 total = len(ids) // 4
                 first = total % capacity or capacity

@@ -8,6 +8,7 @@ import zlib
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from dispatchlake.llm import (
     chat,
     components,
     cosine,
+    encoding,
     jaccard,
     mixing,
     neighbours,
@@ -212,6 +214,25 @@ def test_token_files_round_trip(spark, folder, library):
     assert tokenfiles.read_document(spark, path, 30) == [ids_of(library, rows[10][1])]
 
 
+def test_encoder_cuts_change_no_ids(library):
+    rnd = random.Random(8)
+    signs = [*" \n\t\r\x1c\x85\xa0,.'-_`<|~[", " ", " ", "\u1680", "\u2003", "\u2028", "\u3000", "\u200b", "“", "。", "\u0301", "\0"]
+    pieces = [*signs, "'s", "'LL", "the", "É", "à", "×", "÷", "ß", "7", "½", "中", "ا", "😀", "ǅ", "<|endoftext|>", "<|end"]
+    encode = encoding.Encoder()
+    for k in range(400):
+        texts = [None if rnd.random() < 0.1 else "".join(rnd.choices(pieces, k=rnd.randrange(14))) for _ in range(k % 9)]
+        column = pa.array(["zz", *texts], pa.string()).slice(1)
+        want = [np.array(ids_of(library, t)[:-1], "<u4").tobytes() for t in texts]
+        assert list(encode.encode(column)) == list(encode.encode(texts)) == want
+
+
+def test_encoder_keeps_letters_and_signs_apart():
+    """A word is learnt once, whatever signs follow it, and a batch is looked up by its distinct parts."""
+    encode = encoding.Encoder()
+    assert len(list(encode.encode(pa.array(["été, été. été\nfoo's", None, " été; été"])))) == 3
+    assert set(encode.young) == {p.encode() for p in ("été", " été", ",", ".", ";", "\n", "foo's")}
+
+
 def test_token_files_of_nothing(spark, folder):
     tokenfiles.write_tokens(documents(spark, []).limit(0), folder("none"))
     assert tokenfiles.read_digests(spark, folder("none")).count() == 0
