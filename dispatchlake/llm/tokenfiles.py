@@ -89,7 +89,7 @@ def _packer(tokenizer: str | None, end_id: int):
             return pa.RecordBatch.from_pylist([dict(zip(BLOCKS.names, values))], schema=BLOCKS)
 
         for batch in batches:
-            for doc, ids in zip(batch.column(0).to_pylist(), encode.encode(batch.column(1).to_pylist())):
+            for doc, ids in zip(batch.column(0).to_pylist(), encode.encode(batch.column(1))):
                 docs.append(doc)
                 parts += (ids, end)
                 counts.append(len(ids) // 4 + 1)
