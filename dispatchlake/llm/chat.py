@@ -5,6 +5,8 @@ tool's with ``tool_call_id``; any other text is plain content. Calls and results
 and identifier. A result takes the place of its own turn, or the place behind its call where it came before
 it, so (place_turn, place_depth, turn) orders every call ahead of its results. Arguments are checked against the
 tool's schema: every required one present, none that the schema does not name, each of the named JSON type.
+Schemas are those that the system turns of the call's own conversation state (a JSON object with ``tools``, each
+with ``name`` and ``parameters``, there or under ``function``), and for other names the given ``tools``.
 Messages are serialised as canonical JSON: keys in order, no white space, absent parts left out.
 
 One row per message: no conversation, however long, is gathered in one place.
@@ -12,7 +14,9 @@ One row per message: no conversation, however long, is gathered in one place.
 Defined results: a null text is null content, an empty one empty content; a null role is left out; text that
 is no JSON object, or has no tool fields, is plain content; a call without id, or whose id an earlier call of
 the conversation has, links with nothing; a result without a call has ``linked`` false; repeated rows give
-repeated messages; messages without conversation or turn are formatted, not linked; other columns are ignored.
+repeated messages; messages without conversation or turn are formatted, not linked; a system turn that states tools
+is plain content as well; a stated tool without parameters takes none, an argument without one named type any value,
+and a tool that a conversation states in two ways is unknown there; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TOOLS = "name string, required array<string>, properties map<string,string>"
+ANY = "any"  # the type of an argument whose schema names none, or several
 
 
 def no_tools(spark: SparkSession) -> DataFrame:
@@ -59,18 +64,69 @@ def tool_calls(parsed: DataFrame) -> DataFrame:
     )
 
 
-def checked(calls: DataFrame, tools: DataFrame) -> DataFrame:
-    """Calls with ``valid``. Tools are unique by name; those named twice are taken as unknown."""
+def stated_tools(parsed: DataFrame) -> DataFrame:
+    """The tools that system turns state: conv_id, name, times, required, properties."""
+    listed = F.try_variant_get("json", "$.tools", "array<variant>")
+    turns = parsed.filter((F.col("role") == "system") & F.col("conv_id").isNotNull()).select("conv_id", listed.alias("tools"))
+    either = lambda path, kind: F.coalesce(
+        F.try_variant_get("tool", f"$.function.{path}", kind), F.try_variant_get("tool", f"$.{path}", kind)
+    )
+    one_type = lambda name, schema: F.when(
+        F.schema_of_variant(F.try_variant_get(schema, "$.type", "variant")) == "STRING",
+        F.try_variant_get(schema, "$.type", "string"),
+    )
+    tools = (
+        turns.filter("tools is not null")
+        .select("conv_id", F.explode("tools").alias("tool"))
+        .select(
+            "conv_id",
+            either("name", "string").alias("name"),
+            either("parameters.required", "array<string>").alias("required"),
+            either("parameters.properties", "map<string,variant>").alias("schemas"),
+        )
+        .filter("name is not null")
+    )
+    typed = F.transform_values("schemas", lambda name, schema: F.coalesce(one_type(name, schema), F.lit(ANY)))
+    none = F.create_map().cast("map<string,string>")
+    tools = tools.select("conv_id", "name", "required", F.coalesce(typed, none).alias("properties"))
+    # The same statement may come twice.
+    said = F.to_json(F.struct(F.array_sort("required").alias("r"), F.array_sort(F.map_entries("properties")).alias("p")))
+    return tools.groupBy("conv_id", "name").agg(
+        F.count_distinct(said).alias("times"), F.first("required").alias("required"), F.first("properties").alias("properties")
+    )
+
+
+def checked(calls: DataFrame, tools: DataFrame, stated: DataFrame) -> DataFrame:
+    """Calls with ``valid``. Tools are unique by name; those named twice are taken as unknown.
+
+    What the call's conversation states about a name counts before ``tools``.
+    """
     single = tools.groupBy("name").agg(
         F.count(F.lit(1)).alias("times"), F.first("required").alias("required"), F.first("properties").alias("properties")
     )
-    known = calls.join(single.filter("times = 1").drop("times"), "name", "left")
+    own = F.col("said.times").isNotNull()
+    once = F.col("said.times") == 1
+    known = (
+        calls.alias("call")
+        .join(stated.alias("said"), F.expr("call.conv_id = said.conv_id and call.name = said.name"), "left")
+        .select(
+            "call.*",
+            own.alias("own"),
+            F.when(once, F.col("said.required")).alias("own_required"),
+            F.when(once, F.col("said.properties")).alias("own_properties"),
+        )
+        .join(single.filter("times = 1").drop("times"), "name", "left")
+        .withColumn("required", F.when(F.col("own"), F.col("own_required")).otherwise(F.col("required")))
+        .withColumn("properties", F.when(F.col("own"), F.col("own_properties")).otherwise(F.col("properties")))
+        .drop("own", "own_required", "own_properties")
+    )
     given = F.try_variant_get("arguments", "$", "map<string,variant>")
     wanted = F.col("properties")
     typed = F.forall(
         F.map_entries("given"),
         lambda e: F.coalesce(
             (wanted[e["key"]] == _json_type(e["value"]))
+            | (wanted[e["key"]] == ANY)
             | ((wanted[e["key"]] == "number") & (_json_type(e["value"]) == "integer")),
             F.lit(False),
         ),
@@ -99,7 +155,8 @@ def format_chat(messages: DataFrame, tools: DataFrame | None = None) -> DataFram
         .withColumn("answers", F.when(F.col("role") == "tool", F.try_variant_get("json", "$.tool_call_id", "string")))
         .withColumn("row_key", F.xxhash64("conv_id", "turn", "role", "text"))
     )
-    calls = checked(tool_calls(parsed.dropDuplicates(["conv_id", "turn", "role", "text"])), tools)
+    calling = parsed.filter(F.col("calls").isNotNull()).dropDuplicates(["conv_id", "turn", "role", "text"])
+    calls = checked(tool_calls(calling), tools, stated_tools(parsed))
     owners = (
         calls.filter("call_id is not null and conv_id is not null and turn is not null")
         .groupBy("conv_id", "call_id")

@@ -21,6 +21,7 @@ from dispatchlake.llm import (
     mixing,
     neighbours,
     packing,
+    queries,
     secrets,
     shingles,
     tokencounts,
@@ -509,6 +510,39 @@ def test_chat_links_calls_and_results(spark):
     assert chat.format_chat(df.limit(0)).count() == 0
 
 
+def test_chat_checks_calls_against_what_their_conversation_states(spark, folder):
+    add = '{"name":"add","parameters":{"properties":{"a":{"type":"integer"},"b":{"type":["string","null"]}},"required":["a"]}}'
+    now = '{"type":"function","function":{"name":"now"}}'
+    other = '{"name":"add","parameters":{"properties":{"a":{"type":"string"}}}}'
+    calls = ['{"id":"1","name":"add","arguments":{"a":1,"b":"x"}}', '{"id":"2","name":"add","arguments":{"a":"x"}}']
+    calls += ['{"id":"3","name":"add","arguments":{"b":1}}', '{"id":"4","name":"now","arguments":{}}']
+    calls += ['{"id":"5","name":"now","arguments":{"c":1}}', '{"id":"6","name":"neg","arguments":{"a":1}}']
+    call = '{"tool_calls":[' + ",".join(calls) + "]}"
+    rows = [
+        (1, 0, "system", f'{{"tools":[{add},{now},{add}]}}'),
+        (2, 0, "system", f'{{"tools":[{other}]}}'),
+        (3, 0, "system", f'{{"tools":[{other}]}}'),
+        (3, 1, "system", f'{{"tools":[{add},{{"name":null}},7]}}'),
+        (4, 0, "user", f'{{"tools":[{add}]}}'),
+        (5, 0, "system", '{"tools":"none"}'),
+        (None, 0, "system", f'{{"tools":[{add}]}}'),
+        *((conv, 9, "assistant", call) for conv in (1, 2, 3, 4, 5, None)),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+
+    def valid(got):
+        ids = lambda m: re.findall(r'"id":"(.)"[^{}]*"valid":true', m)
+        assert got.count() == len(rows)
+        return {r.conv_id: ids(r.message) for r in got.filter("turn = 9").collect()}
+
+    assert valid(chat.format_chat(df)) == {1: ["1", "4"], 2: ["2"], 3: [], 4: [], 5: [], None: []}
+    given = spark.createDataFrame([("add", ["b"], {"b": "integer"}), ("neg", None, {"a": "integer"})], chat.TOOLS)
+    assert valid(chat.format_chat(df, given)) == {1: ["1", "4", "6"], 2: ["2", "6"], 3: ["6"], 4: ["3", "6"], 5: ["3", "6"], None: ["3", "6"]}
+    path = folder("chats")
+    df.write.parquet(f"{path}/conversations.parquet")
+    assert queries.QUERIES["op7_chat_format"](spark, path).agg(F.sum("n_valid")).first()[0] == 3
+
+
 # 8 ---------------------------------------------------------------------------
 def edits(a, b):
     row = list(range(len(b) + 1))
