@@ -115,7 +115,7 @@ def _namer(width: int) -> Callable[[Batches], Batches]:
                 types = pa.int64(), pa.int64(), pa.int64(), pa.binary()
                 named = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
                 yield pa.RecordBatch.from_arrays([*named, batch.column(2), *blank], schema=schema)
-        met = [(chunk, _sparse(part)) for chunk, part in enumerate(np.split(counts, COUNT_CHUNKS)) if part.any()]
+        met = [(chunk, _pack_counts(part)) for chunk, part in enumerate(np.split(counts, COUNT_CHUNKS)) if part.any()]
         if met:
             blank = [pa.nulls(len(met), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64())]
             chunks, parts = zip(*met)
@@ -126,10 +126,28 @@ def _namer(width: int) -> Callable[[Batches], Batches]:
     return run
 
 
-def _sparse(counts: np.ndarray) -> bytes:
-    """Pairs (bucket, count) of the buckets that are not empty."""
+def _pack_counts(counts: np.ndarray) -> bytes:
+    """The counts of a chunk's buckets in the narrowest type that holds them: all, or those that are not empty.
+
+    The first byte is the bytes of a count, the next four are the number of buckets named, 0 if all counts follow.
+    """
+    size = np.min_scalar_type(int(counts.max())).itemsize
+    held = np.flatnonzero(counts)
+    if len(held) * (4 + size) >= len(counts) * size:
+        held = held[:0]
+    named = held.astype("<u4").tobytes()
+    kept = counts[held] if len(held) else counts
+    return bytes([size]) + len(held).to_bytes(4, "little") + named + kept.astype(f"<u{size}").tobytes()
+
+
+def _held_counts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that are not empty, and their counts."""
+    named = int.from_bytes(raw[1:5], "little")
+    counts = np.frombuffer(raw, f"<u{raw[0]}", offset=5 + 4 * named).astype(np.int64)
+    if named:
+        return np.frombuffer(raw, "<u4", named, 5).astype(np.int64), counts
     held = np.flatnonzero(counts)
-    return np.stack([held, counts[held]]).astype("<i8").tobytes()
+    return held, counts[held]
 
 
 def _add_counts(batches: Batches) -> Batches:
@@ -137,13 +155,13 @@ def _add_counts(batches: Batches) -> Batches:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for chunk, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            held, counts = np.frombuffer(raw, "<i8").reshape(2, -1)
+            held, counts = _held_counts(raw)
             if chunk not in total:
                 total[chunk] = np.zeros(BUCKETS // COUNT_CHUNKS, dtype=np.int64)
             total[chunk][held] += counts
     if total:
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.int32()), pa.array([_sparse(c) for c in total.values()], pa.binary())],
+            [pa.array(list(total), pa.int32()), pa.array([_pack_counts(c) for c in total.values()], pa.binary())],
             names=["chunk", "counts"],
         )
 
@@ -152,7 +170,7 @@ def _count_sizes(batches: Batches) -> Batches:
     """How many buckets have which count."""
     for batch in batches:
         for raw in batch.column(1).to_pylist():
-            counts, buckets = np.unique(np.frombuffer(raw, "<i8").reshape(2, -1)[1], return_counts=True)
+            counts, buckets = np.unique(_held_counts(raw)[1], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(counts), pa.array(buckets)], names=["count", "buckets"])
 
 
@@ -164,7 +182,7 @@ def _ranker(middle: float) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         for batch in batches:
             for chunk, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held, found = np.frombuffer(raw, "<i8").reshape(2, -1)
+                held, found = _held_counts(raw)
                 counts = np.zeros(BUCKETS // COUNT_CHUNKS)
                 counts[held] = found
                 steps = np.clip(np.round(4 * (counts - middle) / chance) + HOT // 3, 0, HOT - 1)

@@ -165,6 +165,18 @@ def test_jaccard_links_single_variants_of_spread_shingles(spark, monkeypatch):
     assert got == {i: roots[same[t]] for i, t in rows} and len(set(got.values())) == 6
 
 
+def test_jaccard_count_tables_are_narrow():
+    size = jaccard.BUCKETS // jaccard.COUNT_CHUNKS
+    rnd = np.random.default_rng(3)
+    for most, share, bound in ((3, 1.0, size), (255, 0.5, size), (256, 0.5, 2 * size), (3, 0.001, 1000), (2**40, 1.0, 8 * size)):
+        counts = np.where(rnd.random(size) < share, rnd.integers(1, most, size, endpoint=True), 0)
+        counts[rnd.integers(size)] = most
+        raw = jaccard._pack_counts(counts)
+        held, found = jaccard._held_counts(raw)
+        assert held.tolist() == np.flatnonzero(counts).tolist() and found.tolist() == counts[held].tolist()
+        assert len(raw) <= 5 + bound
+
+
 def test_jaccard_of_nothing(spark):
     assert jaccard.similar_documents(documents(spark, []).limit(0)).count() == 0
 
