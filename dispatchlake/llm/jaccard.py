@@ -10,10 +10,11 @@ Lists of up to ``FULL_LIST`` sets give all their pairs of fitting sizes. A longe
 ``HUBS`` smallest members only; when those links are known, what is left are pairs of its members that are
 not yet connected. They are bounded in tiles, and only pairs that the bound leaves open become rows.
 
-Pairs are thinned by the counts of both sets in ``SHAPE`` fragments of the order, whose differences cannot
-exceed the symmetric difference. Of the others only as many are compared as connectedness needs: first every
-set with its least partner, then the pairs that are still apart. Their sets are cut into ``FRAGMENTS`` fragments, partial
-overlaps are counted fragment by fragment and added up per pair.
+Pairs are thinned by the shapes of both sets, the parities of their counts in about one cell a shingle: cells
+that differ cannot be more than the symmetric difference. Of the others only as many are compared as connectedness
+needs: first every set with its least partner, then the pairs that are still apart. Their sets are cut into
+``FRAGMENTS`` fragments and go, once for each list of up to about ``LOT`` pairs of one set, from the texts straight to the
+task that counts the partial overlaps of that list and fragment; these are added up per pair.
 
 Defined results: a null or empty text, or one without words, has no shingles and is its own component; a row
 without an id has a null component and links with nothing; repeated rows link with each other; an empty
@@ -39,18 +40,23 @@ from dispatchlake.session import settle
 WIDTH, PERCENT = 5, 80
 BUCKETS = 1 << 21  # of the count table: 16 MB in a task, 2 MB on the driver, whatever the corpus is
 COUNT_CHUNKS = 64
-SHAPE, FRAGMENTS = 128, 4
+SHAPE_FROM, SHAPE_TO = 256, 1 << 16  # cells of a shape, a bit each; larger sets are only thinned less
+FRAGMENTS = 4
+LOT = 64  # pairs of one set for which its fragments are sent once
+SEND_BYTES = 4 << 20  # of fragments in a batch
 FULL_LIST, HUBS = 64, 32
 HOT = 96  # ranks below are explained by chance
 SALT_FROM = 9  # doublings over chance from which a shingle is spread over several lists
 TILE_SETS = 1024
 BROADCAST_IDS = 1_000_000  # 8 MB of ids; more are joined by a shuffle
+BROADCAST_SENDS = 200_000  # some 20 MB of places that fragments are sent to
 TEXTS = 512  # documents whose sets are in memory together
 
 NAMED_SQL = "doc_id long, n long, key long, shape binary, mark long, chunk int, counts binary"
 PREFIX_SQL = "token long, salt int, key long, n int"
 LISTED_SQL = "a long, b long, token long, n int"
-SEGMENT_SQL = "key long, fragment int, hashes binary"
+SEGMENT_SQL = "first long, lot int, fragment int, key long, n long, hashes binary"
+OVERLAP_SQL = "a long, b long, members long, shared long"
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -80,9 +86,36 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
+def _cells(n: int) -> int:
+    return min(max(SHAPE_FROM, 1 << max(n - 1, 0).bit_length()), SHAPE_TO)
+
+
+def _shape(hashes: np.ndarray) -> bytes:
+    """The parity of the number of members in each cell; the cells are a power of two, at least the members while few."""
+    cells = _cells(len(hashes))
+    counts = np.bincount((hashes & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
+def _shapes(raw: list[bytes]) -> np.ndarray:
+    """Shapes of one length, a row each."""
+    return np.frombuffer(b"".join(raw), np.uint64).reshape(len(raw), -1)
+
+
+def _differing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many cells of the shapes differ, by row: never more than the sets' symmetric difference has members."""
+    width = min(left.shape[1], right.shape[1])
+    folded = []
+    for cells in (left, right):
+        while cells.shape[1] > width:  # cells taken together: their parities add up
+            half = cells.shape[1] // 2
+            cells = cells[:, :half] ^ cells[:, half:]
+        folded.append(cells)
+    return np.bitwise_count(folded[0] ^ folded[1]).sum(axis=1, dtype=np.int64)
+
+
 def _namer(width: int) -> Callable[[Batches], Batches]:
     """A row for each document, and for each chunk of the count table the buckets that this task has met."""
-    shift = np.uint64(64 - SHAPE.bit_length() + 1)
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
@@ -101,8 +134,7 @@ def _namer(width: int) -> Callable[[Batches], Batches]:
             rows = []
             waiting, size = [], 0
             for doc, hashes in _sets(batch, width):
-                shape = np.bincount((hashes >> shift).astype(np.int64), minlength=SHAPE)
-                rows.append((doc, len(hashes), set_key(hashes), np.minimum(shape, 255).astype(np.uint8).tobytes()))
+                rows.append((doc, len(hashes), set_key(hashes), _shape(hashes)))
                 waiting.append(hashes)
                 size += len(hashes)
                 if size > BUCKETS:
@@ -368,12 +400,13 @@ def _thinner(percent: int) -> Callable[[Batches], Batches]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            shapes = [
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SHAPE).astype(np.int16)
-                for c in ("shape_a", "shape_b")
-            ]
+            shapes = [batch.column(c).to_pylist() for c in ("shape_a", "shape_b")]
+            widths = np.array([[len(x) for x in side] for side in shapes])
+            apart = np.zeros(batch.num_rows, dtype=np.int64)
+            for x, y in set(zip(*widths.tolist())):
+                at = np.flatnonzero((widths[0] == x) & (widths[1] == y))
+                apart[at] = _differing(*(_shapes([side[i] for i in at]) for side in shapes))
             total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
-            apart = np.abs(shapes[0] - shapes[1]).sum(axis=1)
             keep = pa.array(apart <= total - 2 * least_overlap(total, percent))
             yield batch.select(["a", "b", "n_a", "n_b"]).filter(keep)
 
@@ -381,35 +414,55 @@ def _thinner(percent: int) -> Callable[[Batches], Batches]:
 
 
 def _segmenter(width: int) -> Callable[[Batches], Batches]:
+    """The fragments of the wanted sets, for each list that they are sent to."""
     bounds = (np.arange(1, FRAGMENTS, dtype=np.uint64) << np.uint64(64 - FRAGMENTS.bit_length() + 1))
+    types = pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()
+    names = ["first", "lot", "fragment", "key", "n", "hashes"]
+
+    def cut(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            rows = []
-            for _, hashes in _sets(batch, width):
-                if len(hashes):
-                    key = set_key(hashes)
-                    parts = np.split(hashes, np.searchsorted(hashes, bounds))
-                    rows += [(key, f, p.tobytes()) for f, p in enumerate(parts)]
+            rows, size = [], 0
+            keys, sends = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            for (_, hashes), key, to in zip(_sets(batch, width), keys, sends):
+                if not len(hashes) or set_key(hashes) != key:  # another text of the same id
+                    continue
+                parts = [(f, p.tobytes()) for f, p in enumerate(np.split(hashes, np.searchsorted(hashes, bounds))) if len(p)]
+                for place in to:
+                    rows += [(place["first"], place["lot"], f, key, len(hashes), p) for f, p in parts]
+                    size += hashes.nbytes
+                    if size > SEND_BYTES:
+                        yield cut(rows)
+                        rows, size = [], 0
             if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.binary()))],
-                    names=["key", "fragment", "hashes"],
-                )
+                yield cut(rows)
 
     return run
 
 
 def _count_overlaps(batches: Batches) -> Batches:
+    """Partial overlaps of the first set of each list with the others.
+
+    Rows come sorted by list and fragment, the first set's own before the others by key; a list may span batches.
+    """
+    own, own_n, here, last = np.zeros(0, np.uint64), 0, None, None
     for batch in batches:
-        shared = [
-            len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-            for x, y in zip(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist())
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("a", "b", "n_a", "n_b")), pa.array(shared, pa.int64())],
-            names=["a", "b", "n_a", "n_b", "shared"],
-        )
+        found = []
+        for first, lot, fragment, key, n, raw in zip(*(c.to_pylist() for c in batch.columns)):
+            place = first, lot, fragment
+            if key == first:
+                own, own_n, here, last = np.frombuffer(raw, np.uint64), n, place, None
+            elif place == here and key != last:  # a set that several rows have counts once
+                last = key
+                shared = len(np.intersect1d(own, np.frombuffer(raw, np.uint64), assume_unique=True))
+                if shared:
+                    found.append((first, key, own_n + n, shared))
+        if found:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b", "members", "shared"]
+            )
 
 
 def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -428,26 +481,44 @@ def _few(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def _overlapping(near: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those of the pairs that reach the similarity: overlaps are counted by fragment and added up."""
-    wanted = near.select(F.col("a").alias("key")).union(near.select(F.col("b").alias("key"))).distinct()
-    ids = sets.join(wanted, "key").select(F.col("doc").alias("doc_id")).distinct()
-    texts = docs.join(_few(ids), "doc_id", "left_semi").select("doc_id", "text")
-    segments = settle(
-        texts.mapInArrow(lean(_segmenter(width)), SEGMENT_SQL)
-        .join(wanted, "key", "left_semi")
-        .dropDuplicates(["key", "fragment"]),
-        "jaccard-segments",
+def _sends(near: DataFrame, sets: DataFrame) -> DataFrame:
+    """Where the sets of the pairs (a, b) go: doc_id, key, and the lists, those of a set with many pairs in lots."""
+    many = near.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / LOT).alias("lots")).filter("lots > 1")
+    lot = F.pmod(F.xxhash64("b"), F.coalesce("lots", F.lit(1).cast("long"))).cast("int")
+    lists = near.select("a", "b").join(many, "a", "left").select("b", F.col("a").alias("first"), lot.alias("lot"))
+    own = lists.select(F.col("first").alias("key"), "first", "lot").distinct()
+    return (
+        lists.withColumnRenamed("b", "key").union(own)
+        .join(sets.select("key", F.col("doc").alias("doc_id")), "key")
+        .groupBy("doc_id", "key")
+        .agg(F.collect_list(F.struct("first", "lot")).alias("to"))
     )
-    cut = near.withColumn("fragment", F.explode(F.array(*[F.lit(f) for f in range(FRAGMENTS)])))
-    for c in ("a", "b"):
-        cut = cut.join(
-            segments.select(F.col("key").alias(c), "fragment", F.col("hashes").alias(f"of_{c}")), [c, "fragment"]
-        )
-    partial = cut.mapInArrow(lean(_count_overlaps), "a long, b long, n_a long, n_b long, shared long")
-    total = partial.groupBy("a", "b").agg(
-        F.sum("shared").alias("shared"), F.first(F.col("n_a") + F.col("n_b")).alias("members")
+
+
+def _wanted_texts(docs: DataFrame, sends: DataFrame) -> DataFrame:
+    """The texts whose sets are sent, with their places: no text is shuffled while these are few."""
+    sends = settle(sends, "jaccard-sends")
+    if (sends.agg(F.sum(F.size("to"))).first()[0] or 0) <= BROADCAST_SENDS:
+        texts = docs.join(F.broadcast(sends), "doc_id")
+    else:
+        texts = docs.join(_few(sends.select("doc_id").distinct()), "doc_id", "left_semi").join(sends, "doc_id")
+    return texts.select("doc_id", "text", "key", "to")
+
+
+def _overlapping(near: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Those of the pairs that reach the similarity: overlaps are counted by fragment and added up.
+
+    Every set is shuffled once for each list it is in; nothing is stored in between.
+    """
+    place = ["first", "lot", "fragment"]
+    partial = (
+        _wanted_texts(docs, _sends(near, sets))
+        .mapInArrow(lean(_segmenter(width)), SEGMENT_SQL)
+        .repartition(*place)
+        .sortWithinPartitions(*place, F.col("key") != F.col("first"), "key")
+        .mapInArrow(lean(_count_overlaps), OVERLAP_SQL)
     )
+    total = partial.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.first("members").alias("members"))
     reached = F.lit(100) * F.col("shared") >= F.lit(percent) * (F.col("members") - F.col("shared"))
     return settle(total.filter(reached).select("a", "b"), "jaccard-links")
 
@@ -503,6 +574,12 @@ def _tile_sets(batches: Batches) -> Batches:
         yield cut()
 
 
+def _cut_shapes(sizes: np.ndarray, raw: bytes) -> list[bytes]:
+    """The shapes of a tile's sets; the size of a set gives the length of its shape."""
+    ends = np.cumsum([_cells(n) // 8 for n in sizes.tolist()]).tolist()
+    return [raw[i:j] for i, j in zip([0, *ends], ends)]
+
+
 def _tile_pairs(percent: int) -> Callable[[Batches], Batches]:
     """Pairs of two tiles that are apart so far and whose sizes and shapes allow the similarity."""
 
@@ -510,19 +587,22 @@ def _tile_pairs(percent: int) -> Callable[[Batches], Batches]:
         for batch in batches:
             for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 a, b = ([np.frombuffer(row[f"{c}_{s}"], np.int64) for c in ("keys", "roots", "sizes")] for s in "ab")
-                shapes = [np.frombuffer(row[f"shapes_{s}"], np.uint8).reshape(-1, SHAPE).astype(np.int16) for s in "ab"]
+                shapes = [_cut_shapes(sizes, row[f"shapes_{s}"]) for s, sizes in (("a", a[2]), ("b", b[2]))]
+                widths = np.array([len(x) for x in shapes[1]])
+                alike = [(at, _shapes([shapes[1][j] for j in at])) for at in (np.flatnonzero(widths == w) for w in np.unique(widths))]
                 same, found = row["tile_a"] == row["tile_b"], []
                 for i in range(len(a[0])):
+                    own = _shapes([shapes[0][i]])
                     small, large = np.minimum(a[2][i], b[2]), np.maximum(a[2][i], b[2])
                     open_ = (a[1][i] != b[1]) & (100 * small >= percent * large)
                     if same:
                         open_[: i + 1] = False
-                    j = np.flatnonzero(open_)
-                    if len(j):
-                        total = a[2][i] + b[2][j]
-                        apart = np.abs(shapes[0][i] - shapes[1][j]).sum(axis=1)
-                        j = j[apart <= total - 2 * least_overlap(total, percent)]
-                        found.append((np.full(len(j), i), j))
+                    for at, cells in alike:
+                        k = np.flatnonzero(open_[at])
+                        if len(k):
+                            total = a[2][i] + b[2][at[k]]
+                            j = at[k[_differing(own, cells[k]) <= total - 2 * least_overlap(total, percent)]]
+                            found.append((np.full(len(j), i), j))
                 if found:
                     i, j = (np.concatenate(c) for c in zip(*found))
                     turn = a[0][i] > b[0][j]

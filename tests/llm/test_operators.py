@@ -177,6 +177,78 @@ def test_jaccard_count_tables_are_narrow():
         assert len(raw) <= 5 + bound
 
 
+def named_sets(spark, rows):
+    named = documents(spark, rows).selectExpr("doc_id", "text", "1L mark").mapInArrow(jaccard._namer(5), jaccard.NAMED_SQL)
+    return named.filter("chunk is null").selectExpr("key", "doc_id doc", "n", "shape")
+
+
+def test_jaccard_shapes_tell_long_unrelated_sets_apart(spark):
+    rnd = random.Random(21)
+    rows = [(i, words(rnd, 5000 + 100 * i, 5000)) for i in range(4)]
+    w = rows[0][1].split()
+    w[::100] = [f"z{i}" for i in range(50)]  # 250 of some 5000 shingles differ
+    rows.append((4, " ".join(w)))
+    sets = named_sets(spark, rows)
+    keys = {r.doc: r.key for r in sets.collect()}
+    pairs = [tuple(sorted((keys[i], keys[j]))) for i in keys for j in keys if i < j]
+    near = jaccard._near(spark.createDataFrame(pairs, "a long, b long"), sets, 80)
+    assert [(r.a, r.b) for r in near.collect()] == [tuple(sorted((keys[0], keys[4])))]
+
+
+def test_jaccard_shapes_never_exceed_the_difference():
+    rnd = np.random.default_rng(5)
+    for n, m, both in ((1, 1, 0), (30, 25, 24), (250, 300, 240), (500, 520, 450), (3000, 2600, 2500), (70_000, 140_000, 65_000)):
+        drawn = np.unique(rnd.integers(0, 1 << 63, n + m - both, dtype=np.uint64))
+        a, b = drawn[:n], drawn[n - both :]
+        found = jaccard._differing(*(jaccard._shapes([jaccard._shape(x)]) for x in (a, b)))
+        assert 0 < found[0] <= len(np.setxor1d(a, b)) and (found[0] - len(np.setxor1d(a, b))) % 2 == 0
+
+
+@pytest.mark.parametrize("broadcast", [0, 200_000])
+def test_jaccard_sends_sets_once_for_each_lot(spark, monkeypatch, broadcast):
+    settled = {}
+    keep = jaccard.settle
+    monkeypatch.setattr(jaccard, "settle", lambda df, label: settled.setdefault(label, keep(df, label)))
+    monkeypatch.setattr(jaccard, "LOT", 4, raising=False)
+    monkeypatch.setattr(jaccard, "BROADCAST_SENDS", broadcast, raising=False)
+    rnd = random.Random(22)
+    base = words(rnd, 300, 3000).split()
+    texts = [" ".join(base)]
+    for i in range(30):
+        w = list(base)
+        for k in rnd.sample(range(300), 2 + i // 2):
+            w[k] = f"x{rnd.randrange(9999)}"
+        texts.append(" ".join(w))
+    rows = list(enumerate(texts)) + [(3, texts[3]), (4, "another text of the same id")]
+    docs = documents(spark, rows).select("doc_id", "text").repartition(3)
+    sets = named_sets(spark, rows[: len(texts)])
+    of = {r.key: word_set(texts[r.doc]) for r in sets.collect()}
+    hub = next(r.key for r in sets.collect() if r.doc == 0)
+    pairs = [(hub, k, len(of[hub]), len(of[k])) for k in of if k != hub]
+    near = spark.createDataFrame(pairs, "a long, b long, n_a long, n_b long")
+    got = {(r.a, r.b) for r in jaccard._overlapping(near, sets, docs, 5, 80).collect()}
+    assert got == {(a, b) for a, b, *_ in pairs if 100 * len(of[a] & of[b]) >= 80 * len(of[a] | of[b])} and 0 < len(got) < 30
+    assert not any("hashes" in df.columns for df in settled.values())  # no copy of the sets in the shared folder
+    to = [(r.key, p.first, p.lot) for r in settled["jaccard-sends"].collect() for p in r.to]
+    assert len(to) == len(set(to)) <= len(pairs) + -(-len(pairs) // 4)
+    assert [p for p in to if p[0] != hub and p[1] != hub] == [] and len({p for p in to if p[0] == hub}) > 1
+
+
+def test_jaccard_fragments_leave_in_bounded_batches(monkeypatch):
+    monkeypatch.setattr(jaccard, "SEND_BYTES", 1, raising=False)
+    text = words(random.Random(23), 500)
+    (found,) = shingles.shingle_sets([text])
+    key = jaccard.set_key(found)
+    places = [{"first": i, "lot": 0} for i in range(5)]
+    kind = pa.list_(pa.struct([("first", pa.int64()), ("lot", pa.int32())]))
+    rows = [pa.array([1, 1]), pa.array([text, "not the wanted set"]), pa.array([key, key]), pa.array([places, places], kind)]
+    batches = list(jaccard._segmenter(5)(iter([pa.RecordBatch.from_arrays(rows, names=["doc_id", "text", "key", "to"])])))
+    assert len(batches) == 5
+    for batch in batches:
+        assert batch.column(4).to_pylist() == [len(found)] * batch.num_rows
+        assert np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint64).tolist() == found.tolist()
+
+
 def test_jaccard_of_nothing(spark):
     assert jaccard.similar_documents(documents(spark, []).limit(0)).count() == 0
 
